@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, url_filter
+from . import decontam, line_dedup, packing, pii, quality, substring, token_counts, url_filter
 from .common import prepare
 
 
@@ -127,9 +127,89 @@ FROM e
 """
 
 
+def model_file(name: str) -> str:
+    """A file of the installed tokenizer package, which every executor has."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), model_file("piece_bpe_32k.model"), 4096)
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_substrings(table(spark, sf_dir, "documents"), 20, digest=True)
+
+
+OP5_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM docs)
+), later AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS r FROM windows) WHERE r > 1
+), gone AS (
+  SELECT DISTINCT doc_id, p + o AS i FROM later, (SELECT unnest(range(20)) AS o)
+), words AS (
+  SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM docs
+), kept AS (
+  SELECT a.doc_id, count(g.i) AS n, string_agg(x, ' ' ORDER BY a.i) FILTER (WHERE g.i IS NULL) AS t FROM words a LEFT JOIN gone g ON g.doc_id = a.doc_id AND g.i = a.i GROUP BY a.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM docs d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[p:p + 9], ' ') AS s FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM items WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT n FROM item_windows
+), doc_windows AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM docs JOIN sizes ON n <= len(w))
+), hits AS (
+  SELECT doc_id, n, p, item FROM doc_windows JOIN item_windows USING (n, s)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p + o) AS n_hit FROM hits, (SELECT unnest(range(10)) AS o) WHERE o < n GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS s FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), model_file("word_bpe_49k.json"), 4096, 1)
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"), digest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_decontamination": op6_decontamination,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_pii": op9_pii,
     "op10_url_filters": op10_url_filters,
 }
-SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_quality_rules": OP4_SQL, "op10_url_filters": OP10_SQL}
+SQL: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op4_quality_rules": OP4_SQL,
+    "op5_substring_dedup": OP5_SQL,
+    "op6_decontamination": OP6_SQL,
+    "op10_url_filters": OP10_SQL,
+}
