@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, packing, pii, quality, substring, token_counts, url_filter
+from . import decontam, jaccard, line_dedup, packing, pii, quality, secret_scan, substring, token_counts, url_filter
 from .common import prepare
 
 
@@ -138,6 +138,29 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), model_file("piece_bpe_32k.model"), 4096)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), 4, 85, 100)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, least(len(w), 4) AS k, array_to_string(w[p:p + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS p FROM docs WHERE len(w) > 0)
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id
+FROM docs d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x, min(y) AS m FROM reach GROUP BY x) r ON r.x = d.doc_id
+"""
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_substrings(table(spark, sf_dir, "documents"), 20, digest=True)
 
@@ -188,6 +211,10 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.by_document(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), model_file("word_bpe_49k.json"), 4096, 1)
 
@@ -198,16 +225,19 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pii": op9_pii,
     "op10_url_filters": op10_url_filters,
 }
 SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
+    "op2_ngram_jaccard": OP2_SQL,
     "op4_quality_rules": OP4_SQL,
     "op5_substring_dedup": OP5_SQL,
     "op6_decontamination": OP6_SQL,
