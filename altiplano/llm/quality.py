@@ -88,13 +88,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     repeat an id share the verdict of their lines; a null id counts its lines for nobody.  No rows: no rows.
     """
     gone = frequent_lines(docs, id_col, text_col, host_col, max_docs, max_share)
-    by_doc = gone.groupBy("k").agg(F.sum("w").cast("long").alias("__gone_words"), F.collect_set("i").alias("__gone_lines"))
+    by_doc = gone.groupBy(F.col("k").alias("__k")).agg(F.sum("w").cast("long").alias("__gone_words"), F.collect_set("i").alias("__gone_lines"))
     added = (*COUNTS, "n_frequent_words", "base_failed", "kept")
     keep = [c for c in docs.columns if c not in added] if with_text else [id_col]
-    base = docs.select(*keep, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), counts(F.col(text_col)).alias("__c")).select(*keep, "k", "__c.*")
+    base = docs.select(*keep, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__k"), counts(F.col(text_col)).alias("__c")).select(*keep, "__k", "__c.*")
     if not with_text:
         by_doc = by_doc.drop("__gone_lines")
-    out = base.join(by_doc, "k", "left")
+    out = base.join(by_doc, "__k", "left")
     gone_words = F.coalesce("__gone_words", F.lit(0).cast("long"))
     # rows that repeat an id add their lines up, so no more than all words are gone
     left = F.greatest(F.col("n_words") - gone_words, F.lit(0).cast("long"))

@@ -1,8 +1,64 @@
-"""The corpus pipeline: stages over `documents`."""
+"""The corpus pipeline over `documents`: quality rules, line dedup, near duplicates, decontamination, packing.
 
-STAGES = []
+Counted as part of the subpackage llm.  Every stage takes what its predecessor kept; all but the last return the
+columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from altiplano.llm import decontam, jaccard, line_dedup, packing, quality
+from altiplano.llm.common import staged
+from altiplano.llm.queries import model_file, table
+
+
+def _documents(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of documents, with n_chars of the text as it is now."""
+    return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the rules reject, and without the lines that too many documents of a host share."""
+    return _documents(quality.judge(docs, with_text=True).where("kept"), docs)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without later copies of repeated line runs; a document goes when they were all its words."""
+    out = line_dedup.dedup_lines(docs)
+    return _documents(out.where(F.col("text").isNull() | (F.col("n_removed") == 0) | F.col("text").rlike(line_dedup.WORD)), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group on five-word shingles at a similarity of 0.8: that of the smallest id."""
+    return _documents(jaccard.drop_near_duplicates(docs, 5, 80, 100), docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without spans of ten benchmark words; a document goes when they cover more than half of it."""
+    return _documents(decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), 10, 0.5), docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document and their places in sequences of 4096 tokens."""
+    return packing.pack(docs, model_file("word_bpe_49k.json"), 4096, 1)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", dedup_lines),
+    ("ngram_jaccard", near_duplicates),
+    ("decontamination", decontaminated),
+    ("best_fit_packing", packed),
+]
+
+#: SQL has neither the tokenizer nor the packing; the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
