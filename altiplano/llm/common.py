@@ -155,6 +155,40 @@ def join_hot(left: DataFrame, right: DataFrame, keys: list[str], count: str, tot
     return left.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))
 
 
+#: Blocks of a Bloom filter that go by broadcast (64 bytes each: 16 MiB); more are joined by block in a shuffle.
+BROADCAST_BLOCKS = 1 << 18
+KEYS_PER_BLOCK = 32
+
+
+def _bloom_bits(key: Column) -> list[Column]:
+    h = F.xxhash64(F.lit(11), key)
+    return [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * i).bitwiseAND(63).cast("int")) for i in range(8)]
+
+
+def _bloom_block(key: Column, blocks: int) -> Column:
+    return F.xxhash64(key).bitwiseAND(blocks - 1)
+
+
+def bloom(keys: DataFrame, col: str, n: int, most: int | None = None) -> tuple[DataFrame, int]:
+    """A blocked Bloom filter of n keys as a table (block, w0..w7), and its blocks, a power of two, at most `most`."""
+    blocks = 1
+    while blocks * KEYS_PER_BLOCK < n and (most is None or blocks < most):
+        blocks *= 2
+    words = keys.select(_bloom_block(F.col(col), blocks).alias("block"), *[w.alias(f"w{i}") for i, w in enumerate(_bloom_bits(F.col(col)))])
+    return words.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8)]), blocks
+
+
+def maybe_in(df: DataFrame, col: str, table: DataFrame, blocks: int, name: str) -> DataFrame:
+    """df with a boolean column: false where the key is in no row that the filter was made of (or null)."""
+    hit = F.lit(True)
+    for i, bit in enumerate(_bloom_bits(F.col(col))):
+        hit = hit & (F.col(f"__w{i}").bitwiseAND(bit) != 0)
+    table = table.select(F.col("block").alias("__block"), *[F.col(f"w{i}").alias(f"__w{i}") for i in range(8)])
+    table = F.broadcast(table) if blocks <= BROADCAST_BLOCKS else table
+    met = df.withColumn("__at", _bloom_block(F.col(col), blocks)).join(table, F.col("__at") == F.col("__block"), "left")
+    return met.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(col).isNotNull() & F.coalesce(hit, F.lit(False))).alias(name))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", tag: str = "cc") -> DataFrame:
     """(node, root): the smallest node reachable, for every node of the edges; by alternating star contraction.
 

@@ -11,8 +11,8 @@ smallest (1 - t) * n + 1 hashes, and a partition is the documents that have one
 2. Equal sets become one (by fingerprint); only one document of them goes on.
 3. Partitions with two members or more, without repetitions, get their members' vectors, and a tree joins each.
 4. The pairs that survive the bound make candidate groups, by connected components.
-5. Each group's texts meet in one task (a large group's in tasks for pairs of its blocks); pairs not yet connected are
-   bounded and then counted exactly.
+5. Each group's texts meet in one task; pairs not yet connected are bounded and then counted exactly.  A large group
+   meets in blocks, each with the group's first document; what that leaves unconnected then meets every block.
 6. Components of the verified links, carried back to equal sets.
 """
 
@@ -21,12 +21,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, arrow_map, components, hash_words, join_hot, known_id, mix, raw, rolling, runs, staged
+from .common import BROADCAST_BLOCKS, NO_ID, arrow_map, bloom, components, hash_words, join_hot, known_id, maybe_in, mix, raw, rolling, runs, staged
 
-#: Members of one tree, and documents verified in one task; larger ones are cut into blocks and met in pairs.
+#: Members of one tree, and documents verified in one task; larger ones are cut into blocks.
 BLOCK = 2500
 GRAMS = 10_000_000
 LEAF = 32
@@ -360,14 +360,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     # blocks by members and by n-grams, as texts can be long
     weighed = candidates.join(groups.select(F.col("rep").alias("node"), "n"), "node")
     sizes = weighed.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"))
-    placed = staged(join_hot(candidates, staged(sizes, "jaccard-sizes"), ["root"], "size", max(1, n_sets)), "jaccard-groups")
-    texts = rows.join(placed, F.col("k") == F.col("node")).select("root", "k", "b", F.greatest(F.ceil(F.col("size") / F.lit(BLOCK)), F.ceil(F.col("grams") / F.lit(GRAMS))).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")
-    # block i of a group meets block j in the part (least, largest)
-    part = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j).cast("long") * F.col("blocks") + F.greatest(own, j))
-    dealt = texts.select("root", F.explode(part).alias("part"), "k", "b")
-    edges = arrow_map(dealt.repartition("root", "part").sortWithinPartitions("root", "part", "k"), _verify(width, num, den), "a long, b long")
-    linked = components(edges, tag="jaccard-links").select(F.col("node").alias("rep"), "root")
+    blocks = F.greatest(F.ceil(F.col("size") / F.lit(BLOCK)), F.ceil(F.col("grams") / F.lit(GRAMS))).cast("int")
+    placed = staged(join_hot(candidates, staged(sizes, "jaccard-sizes"), ["root"], "size", max(1, n_sets)).select("root", "node", blocks.alias("blocks")), "jaccard-groups")
+
+    def verified(some: DataFrame, everywhere: Column) -> DataFrame:
+        """Links between documents that meet: each is in its block, and in all blocks of its group if `everywhere`."""
+        table, size = bloom(some, "node", some.count(), BROADCAST_BLOCKS)
+        near = maybe_in(rows, "k", table, size, "near").where("near")
+        texts = near.join(some, F.col("k") == F.col("node")).select("root", "k", "b", "blocks", everywhere.alias("every"))
+        at = F.when(F.col("every"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")))
+        dealt = texts.select("root", F.explode(at).alias("part"), "k", "b")
+        return arrow_map(dealt.repartition("root", "part").sortWithinPartitions("root", "part", "k"), _verify(width, num, den), "a long, b long")
+
+    # the group's first document is everywhere: what links with it, directly or by a block, is connected
+    edges = staged(verified(placed, F.col("k") == F.col("root")), "jaccard-verified")
+    links = components(edges, tag="jaccard-links")
+    large = placed.where("blocks > 1").join(links.withColumnRenamed("root", "found"), "node", "left").select("root", "node", "blocks", (F.coalesce("found", "node") != F.col("root")).alias("other"))
+    large = staged(large, "jaccard-large")
+    if not large.where("other").isEmpty():
+        # what is not connected with it meets every block; two that both are need not meet
+        open_ = staged(large.join(large.where("other").select("root").distinct(), "root", "left_semi"), "jaccard-open")
+        links = components(edges.unionByName(verified(open_, F.col("other"))), tag="jaccard-links")
+    linked = links.select(F.col("node").alias("rep"), "root")
     named = staged(groups.join(linked, "rep", "left").select(*same, "copies", F.coalesce("root", "rep").alias("component_id")), "jaccard-named")
     found = join_hot(profiles.select("k", *same), named, same, "copies", max(1, n_sets)).select("k", "n", "component_id")
     alone = profiles.where("n = 0").select("k", "n", F.col("k").alias("component_id"))

@@ -10,12 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, staged
+from .common import bloom, join_hot, maybe_in, staged
 from .quality import LOWER, UPPER
 
-#: Blocks of up to this many go by broadcast (64 bytes each: 4 MiB); more are joined by block in a shuffle.
-BROADCAST_BLOCKS = 1 << 16
-URLS_PER_BLOCK = 32
 TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
 
 
@@ -50,24 +47,6 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def _bits(url: Column) -> list[Column]:
-    h = F.xxhash64(F.lit(11), url)
-    return [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * i).bitwiseAND(63).cast("int")) for i in range(8)]
-
-
-def _block(url: Column, blocks: int) -> Column:
-    return F.xxhash64(url).bitwiseAND(blocks - 1)
-
-
-def bloom(listed: DataFrame, url_col: str, n: int) -> tuple[DataFrame, int]:
-    """(block, w0..w7) of the distinct URLs, and the number of blocks (a power of two)."""
-    blocks = 1
-    while blocks * URLS_PER_BLOCK < n:
-        blocks *= 2
-    words = listed.select(_block(F.col(url_col), blocks).alias("block"), *[w.alias(f"w{i}") for i, w in enumerate(_bits(F.col(url_col)))])
-    return words.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8)]), blocks
-
-
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", listed_col: str = "url") -> DataFrame:
     """id_col, host, path, rule, verdict for every row of pages: the longest rule's, else block for a listed URL.
 
@@ -79,12 +58,8 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]]
     table, blocks = bloom(known, "c", known.count())
     host, path, _ = parts(F.col(url_col))
     seen = pages.select(F.col(id_col), host.alias("host"), path.alias("path"), canonical(F.col(url_col)).alias("c"))
-    seen = seen.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)).select(id_col, "host", "path", "c", "r.rule", F.col("r.verdict").alias("ruled"), _block(F.col("c"), blocks).alias("block"))
-    table = F.broadcast(table) if blocks <= BROADCAST_BLOCKS else table
-    hit = F.lit(True)
-    for i, bit in enumerate(_bits(F.col("c"))):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(bit) != 0)
-    looked = seen.join(table, "block", "left").select(id_col, "host", "path", "rule", "ruled", "c", (F.col("c").isNotNull() & F.col("ruled").isNull() & F.coalesce(hit, F.lit(False))).alias("maybe"))
+    seen = seen.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)).select(id_col, "host", "path", "c", "r.rule", F.col("r.verdict").alias("ruled"))
+    looked = maybe_in(seen, "c", table, blocks, "hit").select(id_col, "host", "path", "rule", "ruled", "c", (F.col("hit") & F.col("ruled").isNull()).alias("maybe"))
     looked = staged(looked, "urls-looked")
     plain = looked.where("NOT maybe").select(id_col, "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"))
     maybe = looked.where("maybe")
