@@ -43,7 +43,7 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     """df, written once to the shared folder and read back: cuts lineage and outlives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -85,7 +85,7 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
 class WordHash(dict):
     """64-bit hash of each word, remembered; emptied where it grows large (that only costs time)."""
 
-    LIMIT = 2_000_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

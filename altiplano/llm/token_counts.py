@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +76,29 @@ class _Numbers(dict):
         return n
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data) if data else data
+
+
+def _documents(rows: list[tuple[int, int, bytes]]) -> bytes:
+    """A block's documents as one blob: their number, ids, sizes, lengths of the frequencies, and the frequencies."""
+    head = np.array([[k, n, len(f)] for k, n, f in rows], "<i8").T
+    return np.int64(len(rows)).tobytes() + head.tobytes() + b"".join(f for _, _, f in rows)
+
+
+def _undocuments(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    k, sizes, lengths = np.frombuffer(data, "<i8", 3 * n, 8).reshape(3, n)
+    at = 8 + 24 * n
+    for x, size, length in zip(k.tolist(), sizes.tolist(), lengths.tolist(), strict=True):
+        yield x, size, data[at : at + length]
+        at += length
+
+
 def _blocks(n_buckets: int):
     def run(batches) -> Iterator[dict]:
         task = TaskContext.get()
@@ -88,11 +112,11 @@ def _blocks(n_buckets: int):
             order = np.argsort(bucket, kind="stable")
             sorted_buckets = bucket[order]
             starts = np.flatnonzero(np.r_[True, sorted_buckets[1:] != sorted_buckets[:-1]]) if len(order) else []
-            out = [(2, block, -1, None, 0, bucket.tobytes())]
+            out = [(2, block, -1, squeeze(bucket.tobytes()))]
             for a, b in zip(starts, [*starts[1:], len(order)], strict=True):
-                out.append((0, block, int(sorted_buckets[a]), None, 0, b"\xff".join([tokens[i] for i in order[a:b]])))
-            out += [(1, block, -1, k, n, data) for k, n, data in rows]
-            return dict(zip(("kind", "block", "bucket", "k", "n_bytes", "data"), map(list, zip(*out, strict=True)), strict=True))
+                out.append((0, block, int(sorted_buckets[a]), squeeze(b"\xff".join([tokens[i] for i in order[a:b]]))))
+            out.append((1, block, -1, squeeze(_documents(rows))))
+            return dict(zip(("kind", "block", "bucket", "data"), map(list, zip(*out, strict=True)), strict=True))
 
         for batch in batches:
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -120,10 +144,10 @@ def _count(model_file: str):
             for block, b, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if b != bucket:
                     bucket, known = b, {}
-                tokens = data.split(b"\xff")
+                tokens = unsqueeze(data).split(b"\xff")
                 new = [t for t in dict.fromkeys(tokens) if t not in known]
                 known.update(zip(new, piece_counts(model, new), strict=True))
-                out.append((block, b, np.fromiter(map(known.__getitem__, tokens), np.uint32, len(tokens)).tobytes()))
+                out.append((block, b, squeeze(np.fromiter(map(known.__getitem__, tokens), np.uint32, len(tokens)).tobytes())))
             if out:
                 yield dict(zip(("block", "bucket", "data"), map(list, zip(*out, strict=True)), strict=True))
 
@@ -132,24 +156,24 @@ def _count(model_file: str):
 
 def _sum(batches) -> Iterator[dict]:
     """Rows come by block: first the block's bucket numbers, then the counts by bucket, then the documents."""
-    now, buckets, replies, counts = None, None, {}, None
+    now, buckets, replies = None, None, {}
     for batch in batches:
         ks, sizes, sums = [], [], []
-        for kind, block, bucket, k, n_bytes, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for kind, block, bucket, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             if block != now:
-                now, buckets, replies, counts = block, None, {}, None
+                now, buckets, replies = block, None, {}
             if kind == 0:
-                buckets = np.frombuffer(data, np.uint32)
+                buckets = np.frombuffer(unsqueeze(data), np.uint32)
             elif kind == 1:
-                replies[bucket] = np.frombuffer(data, np.uint32)
+                replies[bucket] = np.frombuffer(unsqueeze(data), np.uint32)
             else:
-                if counts is None:
-                    counts = np.zeros(len(buckets), np.int64)
-                    if replies:
-                        counts[np.argsort(buckets, kind="stable")] = np.concatenate([replies[b] for b in sorted(replies)])
-                ks.append(k)
-                sizes.append(n_bytes)
-                sums.append(int(counts[unpack_sorted(data)].sum()))
+                counts = np.zeros(len(buckets), np.int64)
+                if replies:
+                    counts[np.argsort(buckets, kind="stable")] = np.concatenate([replies[b] for b in sorted(replies)])
+                for k, n_bytes, ids in _undocuments(unsqueeze(data)):
+                    ks.append(k)
+                    sizes.append(n_bytes)
+                    sums.append(int(counts[unpack_sorted(ids)].sum()))
         if ks:
             yield {"k": ks, "n_bytes": sizes, "n_tokens": sums}
 
@@ -163,10 +187,10 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int, id_col: str = "do
     rows = raw(docs, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n_buckets = int(min(1 << 20, max(16, size // 5 // BUCKET_BYTES)))
-    cols = "kind int, block long, bucket int, k long, n_bytes long, data binary"
+    cols = "kind int, block long, bucket int, data binary"
     blocks = staged(arrow_map(rows, _blocks(n_buckets), cols), "tokens-blocks")
     asked = blocks.where("kind = 0").select("block", "bucket", "data").repartition("bucket").sortWithinPartitions("bucket")
     replies = arrow_map(asked, _count(model_file), "block long, bucket int, data binary")
-    back = blocks.where("kind = 2").withColumn("kind", F.lit(0)).unionByName(replies.select(F.lit(1).alias("kind"), "block", "bucket", F.lit(None).cast("long").alias("k"), F.lit(0).cast("long").alias("n_bytes"), "data")).unionByName(blocks.where("kind = 1").withColumn("kind", F.lit(2)))
+    back = blocks.where("kind = 2").withColumn("kind", F.lit(0)).unionByName(replies.select(F.lit(1).alias("kind"), "block", "bucket", "data")).unionByName(blocks.where("kind = 1").withColumn("kind", F.lit(2)))
     out = arrow_map(back.repartition("block").sortWithinPartitions("block", "kind", "bucket"), _sum, "k long, n_bytes long, n_tokens long")
     return out.select(known_id().alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
