@@ -3,7 +3,7 @@
 Pass one hashes every window into a count-min sketch: each task adds its windows to two rows of counters (sparse, in
 segments), segments are merged, and a bit says which counter was reached at least twice.  Counters never underestimate,
 so a window that occurs twice has both its bits set.  Pass two looks every window up and groups only those with both
-bits, exactly, by a 128-bit hash of their words, so nothing repeated is lost.  The bits are broadcast: at most
+bits, exactly, by a 96-bit hash of their words, so nothing repeated is lost.  The bits are broadcast: at most
 2 * 2**MAX_BITS bits (64 MiB) whatever the input.  Beyond some 10**9 windows the filter lets more unique windows pass;
 results stay exact.
 """
@@ -17,14 +17,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, hash_words, known_id, mix, raw, rolling, runs
-from .token_counts import pack_sorted, unpack_sorted
+from .common import BROADCAST_BLOCKS, arrow_map, bloom, hash_words, known_id, maybe_in, mix, raw, rolling, runs, staged
+from .token_counts import pack_sorted, squeeze, unpack_sorted, unsqueeze
 
 MAX_BITS, SEGMENT_BITS = 28, 18
 #: Windows held by a task before it hands over what it has.
-FLUSH = 3_000_000
+FLUSH = 1_500_000
 _ROW = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
-_RECORD = np.dtype([("a", "<u8"), ("b", "<u8"), ("k", "<i8"), ("s", "<i4")])
+_RECORD = np.dtype([("a", "<u8"), ("b", "<u4"), ("k", "<i8"), ("s", "<i4")])
 
 
 def _windows(batch, width: int, second: bool = False) -> tuple[np.ndarray, ...]:
@@ -143,8 +143,8 @@ def _candidates(width: int, bits: int, tables, n_buckets: int):
             order = np.argsort(bucket, kind="stable")
             first, bucket = first[order], bucket[order]
             a, b = runs(bucket)
-            # column by column, so that the shuffle's compression finds the like bytes
-            data = [b"".join(np.ascontiguousarray(first[f][i:j]).tobytes() for f in _RECORD.names) for i, j in zip(a, b, strict=True)]
+            # column by column, so that the compression finds the like bytes
+            data = [squeeze(b"".join(np.ascontiguousarray(first[f][i:j]).tobytes() for f in _RECORD.names)) for i, j in zip(a, b, strict=True)]
             yield {"bucket": bucket[a].tolist(), "k": [None] * len(a), "data": data}
 
         for batch in batches:
@@ -152,7 +152,7 @@ def _candidates(width: int, bits: int, tables, n_buckets: int):
             hit = _lookup(table[0], _cells(h, 0, bits))
             hit[hit] = _lookup(table[1], _cells(h[hit], 1, bits))
             rec = np.empty(int(hit.sum()), _RECORD)
-            rec["a"], rec["b"], rec["k"], rec["s"] = h[hit], b[hit], k[hit], s[hit]
+            rec["a"], rec["b"], rec["k"], rec["s"] = h[hit], b[hit] >> np.uint64(32), k[hit], s[hit]
             held.append(rec)
             n += len(rec)
             if n >= FLUSH // 3:
@@ -196,7 +196,7 @@ def _exact(batches) -> Iterator[dict]:
             if bucket != now and held:
                 yield from close()
                 held = []
-            now = bucket
+            now, data = bucket, unsqueeze(data)
             n = len(data) // _RECORD.itemsize
             rec, at = np.empty(n, _RECORD), 0
             for f in _RECORD.names:
@@ -272,8 +272,11 @@ def dedup_substrings(docs: DataFrame, width: int = 20, id_col: str = "doc_id", t
     no words; null ids are one document that comes first and come back null; rows that repeat an id are that document
     again, at the same places, so they are no copies of each other.  Texts shorter than a window lose nothing.
     """
-    later = later_windows(docs, width, id_col, text_col, max_bits)
-    both = raw(docs, id_col, text_col).join(later, "k", "left").select("k", "b", "starts")
+    later = staged(later_windows(docs, width, id_col, text_col, max_bits), "substring-later")
+    # only texts that may have one are shuffled to them
+    table, blocks = bloom(later, "k", later.count(), BROADCAST_BLOCKS)
+    rows = maybe_in(raw(docs, id_col, text_col), "k", table, blocks, "near")
+    both = rows.where("near").join(later, "k", "left").select("k", "b", "starts").unionByName(rows.where("NOT near").select("k", "b", F.lit(None).cast("array<binary>").alias("starts")))
     if digest:
         out = arrow_map(both, _digest(width), "k long, n_words long, n_removed long, kept string").withColumnRenamed("kept", "kept_sha256")
     else:
