@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_BLOCKS, NO_ID, arrow_map, bloom, components, hash_words, join_hot, known_id, maybe_in, mix, raw, rolling, runs, staged
+from .token_counts import squeeze, unsqueeze
 
 #: Members of one tree, and documents verified in one task; larger ones are cut into blocks.
 BLOCK = 2500
@@ -192,7 +193,7 @@ def _postings(n_buckets: int):
             order = np.lexsort((got["h"], bucket))
             got, bucket = got[order], bucket[order]
             a, b = runs(bucket)
-            return {"bucket": bucket[a].tolist(), "data": [b"".join(np.ascontiguousarray(got[f][i:j]).tobytes() for f in _POSTING.names) for i, j in zip(a, b, strict=True)]}
+            return {"bucket": bucket[a].tolist(), "data": [squeeze(b"".join(np.ascontiguousarray(got[f][i:j]).tobytes() for f in _POSTING.names)) for i, j in zip(a, b, strict=True)]}
 
         for batch in batches:
             prefix = batch.column(2).to_pylist()
@@ -256,7 +257,7 @@ def _members(num: int, den: int):
                 if bucket != now and held:
                     yield from close()
                     held = []
-                now = bucket
+                now, data = bucket, unsqueeze(data)
                 n = len(data) // _POSTING.itemsize
                 rec, at = np.empty(n, _POSTING), 0
                 for f in _POSTING.names:
