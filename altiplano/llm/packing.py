@@ -10,59 +10,147 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, known_id, raw, staged
 
 GROUP_BINS, GROUP_PIECES = 2000, 60_000
-#: Words whose ids a worker remembers, and the longest word it remembers.
-KNOWN_WORDS, KNOWN_BYTES = 400_000, 200
+#: Text handled at once, word forms that a worker remembers (forgetting only costs time), and the longest of them.
+CHUNK_BYTES, KNOWN_FORMS, KNOWN_CHARS = 8 << 20, 1_000_000, 60
 
 
-def _pieces(model_file: str, end_id: int, size: int):
-    """k, piece, start, length, crc of every piece of every document.
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs [start, start + size) of flat, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+
 
-    The tokenizer drops white space and never merges across it, so a text's ids are those of its words in turn.
+class WordIds:
+    """Ids of texts word by word: words are split, lowered and numbered in Arrow, and only new forms are tokenised.
+
+    The tokenizer drops white space, never merges across it, and lowers; so a text's ids are those of its words in
+    turn, and ASCII letters may be lowered before.  A word's form is the word less a last . or , after an ASCII letter
+    or digit, as that is a token run of its own.  Texts that may hold a special token are tokenised whole.
     """
 
-    def run(batches) -> Iterator[dict]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    def __init__(self, model_file: str):
         from tokenizers import Tokenizer
 
-        model, known = Tokenizer.from_file(model_file), {}
-        end = np.uint32(end_id).tobytes()
+        self.model = Tokenizer.from_file(model_file)
+        self.plain = Tokenizer.from_file(model_file)
+        self.plain.normalizer = None  # lower-case ASCII letters and digits are normal already
+        self.tails = [self.model.encode(x, add_special_tokens=False).ids for x in ("", ".", ",")]
+        if any(len(t) != 1 for t in self.tails[1:]):
+            raise ValueError("the tokenizer has no single ids for . and ,")
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.flat, self.starts = array("I"), array("q", [0])
+
+    def _learn(self, forms: list[str]) -> np.ndarray:
+        """Rows of the forms in the store."""
+        get = self.rows.get
+        rows = np.fromiter((get(f, -1) for f in forms), np.int64, len(forms))
+        new = np.flatnonzero(rows < 0).tolist()
+        for model, some in ((self.plain, [i for i in new if forms[i].isascii() and forms[i].isalnum()]), (self.model, [i for i in new if not (forms[i].isascii() and forms[i].isalnum())])):
+            ids = [g.ids for g in model.encode_batch_fast([forms[i] for i in some], add_special_tokens=False)]
+            first, at = len(self.starts) - 1, self.starts[-1]
+            self.flat.extend(chain.from_iterable(ids))
+            self.starts.extend(at + n for n in accumulate(map(len, ids)))
+            rows[some] = np.arange(first, first + len(some))
+            self.rows.update((forms[i], first + j) for j, i in enumerate(some) if len(forms[i]) <= KNOWN_CHARS)
+        return rows
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's end."""
+        if len(self.rows) > KNOWN_FORMS or len(self.flat) > 16 * KNOWN_FORMS:
+            self.forget()
+        whole = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        words = parts.flatten().dictionary_encode()
+        code = words.indices.to_numpy()
+        tailed = pc.match_substring_regex(words.dictionary, r"[a-z0-9][.,]\z")
+        tail = np.where(tailed.to_numpy(zero_copy_only=False), np.where(pc.ends_with(words.dictionary, ".").to_numpy(zero_copy_only=False), 1, 2), 0)
+        forms = pc.if_else(tailed, pc.utf8_slice_codeunits(words.dictionary, 0, -1), words.dictionary).dictionary_encode()
+        rows = self._learn(forms.dictionary.to_pylist())[forms.indices.to_numpy()] if len(words.dictionary) else np.empty(0, np.int64)
+        starts, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.empty(0, np.uint32)
+        # each distinct word's ids, with room for its tail
+        size = starts[rows + 1] - starts[rows]
+        each = size + (tail > 0)
+        begin = np.cumsum(each) - each
+        own = np.empty(int(each.sum()), np.uint32)
+        own[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))] = gather(flat, starts[rows], size)
+        last = begin + size
+        for k in (1, 2):
+            own[last[tail == k]] = self.tails[k][0]
+        del starts, flat  # the store can grow again
+        sizes = each[code]
+        ids = gather(own, begin[code], sizes)
+        ends = np.r_[0, np.cumsum(sizes)][parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
+        if len(whole):
+            pieces = np.split(ids, ends[:-1])
+            for i in whole.tolist():
+                pieces[i] = np.array(self.model.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+            ids, ends = np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
+        return ids, ends
+
+
+_IDS: dict[str, WordIds] = {}
+
+
+def as_text(column: pa.Array) -> pa.Array:
+    """UTF-8 bytes as text; what is not valid is replaced."""
+    try:
+        return column.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([b.decode("utf-8", "replace") for b in column.to_pylist()], pa.string())
 
-        def learn(words: list[bytes]) -> dict:
-            got = model.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-            return {w: np.array(g.ids, "<u4").tobytes() for w, g in zip(words, got, strict=True)}
 
-        for batch in batches:
+def _pieces(model_file: str, end_id: int, size: int):
+    """k, piece, start, length, crc of every piece of every document."""
+
+    def run(batches) -> Iterator[dict]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        if model_file not in _IDS:  # a worker keeps what it has learnt for its next task
+            _IDS[model_file] = WordIds(model_file)
+        end = np.uint32(end_id).tobytes()
+
+        def cut(held: list) -> dict:
+            ids, ends = _IDS[model_file].of(pa.concat_arrays([as_text(b.column(1)) for b in held]))
+            data, at = ids.astype("<u4").tobytes(), 0
             out = {"k": [], "piece": [], "start": [], "length": [], "crc": []}
-            texts = [t.split() for t in batch.column(1).to_pylist()]
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-            # words too long to remember are used and forgotten
-            new = learn([w for w in set().union(*texts) if w not in known])
-            known.update(new)
-            for k, words in zip(batch.column(0).to_pylist(), texts, strict=True):
-                ids = b"".join(map(known.__getitem__, words)) + end
-                for p, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at : at + 4 * size]
+            for k, stop in zip(np.concatenate([b.column(0).to_numpy() for b in held]).tolist(), ends.tolist(), strict=True):
+                own, at = data[4 * at : 4 * stop] + end, stop
+                for p, begin in enumerate(range(0, len(own), 4 * size)):
+                    part = own[begin : begin + 4 * size]
                     out["k"].append(k)
                     out["piece"].append(p)
-                    out["start"].append(at // 4)
+                    out["start"].append(begin // 4)
                     out["length"].append(len(part) // 4)
                     out["crc"].append(zlib.crc32(part))
-            for w in new:
-                if len(w) > KNOWN_BYTES:
-                    del known[w]
-            if out["k"]:
-                yield out
+            return out
+
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.column(1).nbytes
+            if n > CHUNK_BYTES:
+                yield cut(held)
+                held, n = [], 0
+        if held:
+            yield cut(held)
 
     return run
 
