@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .rpc import bind
+
 #: Fixed values of WGS 84 and of UTM.
 SEMI_MAJOR, FLATTENING, SCALE, FALSE_EAST, FALSE_NORTH = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0, 10000000.0
 
@@ -127,18 +129,26 @@ def transform(x: Column, y: Column, z: Column, source: int | str, target: int |
     a, b = crs(source), crs(target)
     if a.vertical != b.vertical:
         raise ValueError("heights above a geoid need a user-supplied grid: see operators.altitude.geoid_to_ellipsoid")
-    if a.kind == "utm":
-        lon, lat = utm_to_lonlat(x, y, F.lit(a.zone), F.lit(a.north))
-        alt = z
-    elif a.kind == "geocentric":
-        lon, lat, alt = geocentric_to_lonlat(x, y, z)
-    else:
-        lon, lat, alt = x, y, z
-    if b.kind == "utm":
-        return (*lonlat_to_utm(lon, lat, F.lit(b.zone), F.lit(b.north)), alt)
-    if b.kind == "geocentric":
-        return lonlat_to_geocentric(lon, lat, alt)
-    return lon, lat, alt
+    def back(s: Column) -> Column:
+        if a.kind == "utm":
+            out = (*utm_to_lonlat(s["x"], s["y"], F.lit(a.zone), F.lit(a.north)), s["z"])
+        elif a.kind == "geocentric":
+            out = geocentric_to_lonlat(s["x"], s["y"], s["z"])
+        else:
+            out = s["x"], s["y"], s["z"]
+        return F.struct(*[v.cast("double").alias(k) for k, v in zip(("lon", "lat", "alt"), out, strict=True)])
+
+    def forth(lon: Column, lat: Column, alt: Column) -> tuple[Column, Column, Column]:
+        if b.kind == "utm":
+            return (*lonlat_to_utm(lon, lat, F.lit(b.zone), F.lit(b.north)), alt)
+        return lonlat_to_geocentric(lon, lat, alt) if b.kind == "geocentric" else (lon, lat, alt)
+
+    if a.kind == "geographic":  # one step, which stays in generated code
+        return forth(x, y, z)
+    # two steps: what lies between them, and what came in, is evaluated once
+    degrees = bind(back, x=x, y=y, z=z)
+    out = bind(lambda s: F.array(*forth(s["at"]["lon"], s["at"]["lat"], s["at"]["alt"])), at=degrees)
+    return out[0], out[1], out[2]
 
 
 def align(low: Column, high: Column, step: float) -> tuple[Column, Column]:

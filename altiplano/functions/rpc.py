@@ -1,4 +1,4 @@
-"""Rational-polynomial cameras as column expressions.
+"""Rational-polynomial cameras as column expressions.  Arguments should be columns, or be bound (see bind).
 
 A camera is a struct of arrays of 20 (col_num col_den row_num row_den, and where known lon_num lon_den lat_num lat_den)
 and of offsets and scales (col row lon lat alt).  The cubic's monomials take the first normalised argument as l, the
@@ -42,6 +42,12 @@ def gradient(coef: Column, x: Column, y: Column, z: Column) -> tuple[Column, Col
     return tuple(out)
 
 
+def bind(body, **values: Column) -> Column:
+    """body(s) with a struct s of the values, each evaluated once: a cubic names its arguments some sixty times, so an
+    expression put in their place would be copied as often."""
+    return F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body)[0]
+
+
 def project(rpc: Column, lon: Column, lat: Column, alt: Column) -> tuple[Column, Column]:
     """(col, row) of a ground point."""
     x, y, z = (lon - rpc["lon_offset"]) / rpc["lon_scale"], (lat - rpc["lat_offset"]) / rpc["lat_scale"], (alt - rpc["alt_offset"]) / rpc["alt_scale"]
@@ -58,7 +64,14 @@ def localize(rpc: Column, col: Column, row: Column, alt: Column) -> tuple[Column
 
 def transfer(a: Column, b: Column, x: Column, y: Column, alt: Column) -> tuple[Column, Column]:
     """Where a point of image a at a height is in image b."""
-    return project(b, *localize(a, x, y, alt), alt)
+    lon, lat = localize(a, x, y, alt)
+
+    def there(s: Column) -> Column:
+        u, v = project(b, s["lon"], s["lat"], s["alt"])
+        return F.struct(u.alias("u"), v.alias("v"))
+
+    out = bind(there, lon=lon, lat=lat, alt=alt)
+    return out["u"], out["v"]
 
 
 def coarse_altitudes(rpc: Column, factor: float = 1.0) -> tuple[Column, Column]:
@@ -75,8 +88,12 @@ def altitude_to_disparity(a: Column, b: Column, x: Column, y: Column, alt: Colum
     """x2 - x1 in rectified space of image point (x, y) at a height: transfer, undo the pointing, apply both."""
     from .planar import apply_homography, invert
 
-    u, v = apply_homography(invert(pointing), *transfer(a, b, x, y, alt))
-    return apply_homography(h2, u, v)[0] - apply_homography(h1, x, y)[0]
+    def undone(s: Column) -> Column:
+        u, v = apply_homography(s["back"], s["u"], s["v"])
+        return bind(lambda t: apply_homography(h2, t["u"], t["v"])[0], u=u, v=v)
+
+    u, v = transfer(a, b, x, y, alt)
+    return bind(undone, u=u, v=v, back=invert(pointing)) - apply_homography(h1, x, y)[0]
 
 
 def zoomed(rpc: Column, factor: float) -> Column:

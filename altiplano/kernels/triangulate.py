@@ -53,7 +53,7 @@ class Camera:
         for _ in range(most):
             c0, r0 = back(u, v)
             dx, dy = (col - c0) / self["col_scale"], (row - r0) / self["row_scale"]
-            done = dx * dx + dy * dy <= 1e-18
+            done = dx * dx + dy * dy <= 1e-24
             if done.all():
                 break
             cu, ru = back(u + step, v)

@@ -115,5 +115,11 @@ def ground_sampling_distance(rpc: Column, z: float = 0.0) -> Column:
     """Distance on the ground between neighbouring columns at the image's centre."""
     from ..functions.geo import lonlat_to_geocentric
 
-    one, two = (lonlat_to_geocentric(*R.localize(rpc, rpc["col_offset"] + d, rpc["row_offset"], F.lit(float(z))), F.lit(float(z))) for d in (0, 1))
-    return F.sqrt(sum(((p - q) * (p - q) for p, q in zip(one, two, strict=True)), F.lit(0e0)))
+    def place(d: int) -> Column:
+        lon, lat = R.localize(rpc, rpc["col_offset"] + d, rpc["row_offset"], F.lit(float(z)))
+        return R.bind(lambda s: F.array(*lonlat_to_geocentric(s["lon"], s["lat"], F.lit(float(z)))), lon=lon, lat=lat)
+
+    def distance(s: Column) -> Column:
+        return F.sqrt(sum(((s["p"][i] - s["q"][i]) * (s["p"][i] - s["q"][i]) for i in range(3)), F.lit(0e0)))
+
+    return R.bind(distance, p=place(0), q=place(1))
