@@ -1,52 +1,23 @@
-"""What the operators of this subpackage share: staged tables, Arrow passes, word hashing, hot-key joins, components."""
+"""What the operators of this subpackage share: Arrow passes, word hashing and Bloom filters, beside ..stage."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROOT = str(Path(__file__).resolve().parents[2])
+from ..stage import components, join_hot, prepare, shared_dir, staged
+
+__all__ = ["components", "join_hot", "prepare", "shared_dir", "staged"]
+
 #: ASCII white space, as the contracts list it; the same bytes that ``bytes.split()`` splits at.
 SPACE = r"[\x20\x09-\x0D]+"
 NO_ID = -(2**63)
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package, and bound an Arrow batch by rows (texts can be long)."""
-    env = spark.sparkContext.environment
-    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH") or os.environ.get("PYTHONPATH", "")) if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
-    return spark
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where that is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        sc = spark.sparkContext
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="altiplano-"))
-        at = sc.getCheckpointDir()
-    return at.rstrip("/")
-
-
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """df, written once to the shared folder and read back: cuts lineage and outlives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value evaluated once even where body uses it inside lambdas."""
     return F.transform(F.array(value), body)[0]
@@ -143,18 +114,6 @@ def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.r_[at[1:], len(sorted_keys)]
 
 
-def join_hot(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, parts: int = 2000) -> DataFrame:
-    """Inner join of left with right, which has one row for each key and the key's number of left rows in `count`.
-
-    Keys with at least total / parts left rows are fewer than `parts`, so they go by broadcast; what is left for the
-    shuffle has no key with more than total / parts rows.
-    """
-    least = max(1, -(-total // parts))
-    hot, cold = right.where(F.col(count) >= least), right.where(F.col(count) < least)
-    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return left.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))
-
-
 #: Blocks of a Bloom filter that go by broadcast (64 bytes each: 16 MiB); more are joined by block in a shuffle.
 BROADCAST_BLOCKS = 1 << 18
 KEYS_PER_BLOCK = 32
@@ -187,28 +146,3 @@ def maybe_in(df: DataFrame, col: str, table: DataFrame, blocks: int, name: str)
     table = F.broadcast(table) if blocks <= BROADCAST_BLOCKS else table
     met = df.withColumn("__at", _bloom_block(F.col(col), blocks)).join(table, F.col("__at") == F.col("__block"), "left")
     return met.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(col).isNotNull() & F.coalesce(hit, F.lit(False))).alias(name))
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b", tag: str = "cc") -> DataFrame:
-    """(node, root): the smallest node reachable, for every node of the edges; by alternating star contraction.
-
-    Each round writes its edges to the shared folder; rounds end when nothing changes.  Rows are pre-aggregated by
-    node, so a node with many edges is a few partial rows, and the hub join is by the node's smallest neighbour.
-    """
-    cur = staged(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u < v").distinct(), tag)
-    while True:
-        # every node's smallest known neighbour or itself; then each edge's ends are hooked to the smallest of both
-        low = cur.select(F.col("v").alias("x"), F.col("u").alias("m")).unionByName(cur.select(F.col("u").alias("x"), F.col("u").alias("m"))).groupBy("x").agg(F.min("m").alias("m"), F.count(F.lit(1)).alias("n"))
-        low = staged(low, tag)
-        total = max(1, cur.count())
-        right = low.withColumnRenamed("x", "v").withColumnRenamed("m", "mv").withColumnRenamed("n", "nv")
-        left = low.withColumnRenamed("x", "u").withColumnRenamed("m", "mu").withColumnRenamed("n", "nu")
-        both = join_hot(join_hot(cur, left, ["u"], "nu", 2 * total), right, ["v"], "nv", 2 * total)
-        root = F.least("mu", "mv")
-        linked = both.select(F.explode(F.array(*[F.struct(root.alias("u"), F.col(x).alias("v")) for x in ("u", "v", "mu", "mv")])).alias("e")).select("e.u", "e.v").where("u < v").distinct()
-        nxt = staged(linked, tag)
-        # settled: every node has one edge, to a node that is nobody's child
-        loose = nxt.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() or nxt.select(F.col("u").alias("v")).distinct().join(nxt.select("v").distinct(), "v", "left_semi").limit(1).count()
-        cur = nxt
-        if not loose:
-            return cur.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(cur.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
