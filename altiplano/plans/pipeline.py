@@ -24,7 +24,7 @@ from ..operators import cloud, dsm, estimation
 from ..operators.tiling import tile_grid
 from ..sources.images import Tiff
 
-STEPS = ("tiles", "matches", "pointing", "rectification", "disparity", "points", "cloud", "dsm")
+STEPS = ("plan", "matches", "pointing", "rectification", "disparity", "points", "cloud", "dsm")
 
 
 class StageFailed(RuntimeError):
@@ -107,13 +107,79 @@ class Run:
         high = self.cfg.alt_max if self.cfg.alt_max is not None else cam["alt_offset"] + k * cam["alt_scale"]
         return low, high
 
-    def rectification(self, pointing: dict[int, list[float]] | None = None) -> DataFrame:
+    def _boxes(self) -> dict[int, tuple[int, int, int, int]]:
+        """The plan's tiles, small rows, on the driver."""
+        return {r["tile_id"]: (r["x"], r["y"], r["w"], r["h"]) for r in self.table("tiles").collect()}
+
+    def matches(self) -> DataFrame:
+        """tile_id, pair, x1, y1, x2, y2: keypoints of a tile matched to those of the region that it is seen in.
+
+        The second threshold is tried where the first gives ten matches or fewer; a tile with no more has none.
+        """
+        boxes, (low, high) = self._boxes(), self.altitudes()
+        shared, cams, c = self.spark.sparkContext.broadcast(self.scene.images), self.scene.cameras, self.cfg
+        tiles.prepare(self.spark)
+
+        def found(box, pair):
+            import numpy as np
+
+            x, y, w, h = box
+            virtual = virtual_matches(cams[0], cams[pair], box, c.n_gcp_per_axis, low, high)
+            f = images.affine_fundamental(virtual)
+            m = int(np.ceil(c.max_pointing_error))
+            x0, y0 = (max(0, int(np.floor(v.min())) - m) for v in virtual[:, 2:].T)
+            x1, y1 = (int(np.ceil(v.max())) + m + 1 for v in virtual[:, 2:].T)
+            for threshold in (0.0133, 0.0133 / 2):
+                a = images.keypoints(shared.value[0][max(0, y) : y + h, max(0, x) : x + w], threshold, origin=(max(0, x), max(0, y)))
+                b = images.keypoints(shared.value[pair][y0:y1, x0:x1], threshold, origin=(x0, y0))
+                if len(a) and len(b) > 1:
+                    d = ((a[:, None, 4:] - b[None, :, 4:]) ** 2).sum(2) if len(a) * len(b) < 2_000_000 else np.maximum(0, (a[:, 4:] ** 2).sum(1)[:, None] + (b[:, 4:] ** 2).sum(1)[None] - 2 * a[:, 4:] @ b[:, 4:].T)
+                    r = np.abs(f[0] * b[:, 0][None] + f[1] * b[:, 1][None] + f[2] * a[:, 0][:, None] + f[3] * a[:, 1][:, None] + f[4])
+                    d[np.maximum(r / np.hypot(f[0], f[1]), r / np.hypot(f[2], f[3])) > c.max_pointing_error] = np.inf
+                    near = np.argsort(d, axis=1, kind="stable")[:, :2]
+                    one, two = (np.sqrt(np.take_along_axis(d, near[:, k : k + 1], 1)[:, 0]) for k in (0, 1))
+                    ok = np.isfinite(one) & (one < c.sift_match_thresh * np.where(np.isfinite(two), two, np.inf)) if c.relative_sift_match_thresh else one < c.sift_match_thresh
+                    m4 = np.column_stack([a[ok, :2], b[near[ok, 0], :2]])
+                    m4 = m4[images.ransac_fundamental(m4, x * 7919 + y * 104729 + pair)]
+                    if len(m4) > 10:
+                        return m4
+            return np.empty((0, 4))
+
+        def run(batches):
+            import pandas as pd
+
+            for part in batches:
+                for t in part.itertuples():
+                    m = found(boxes[t.tile_id], t.pair)
+                    yield pd.DataFrame({"tile_id": t.tile_id, "pair": t.pair, "x1": m[:, 0], "y1": m[:, 1], "x2": m[:, 2], "y2": m[:, 3]})
+
+        jobs = self.table("tiles").select("tile_id").crossJoin(self.spark.range(1, len(self.scene.cameras)).select(F.col("id").cast("int").alias("pair")))
+        return self.save("matches", jobs.repartition("tile_id", "pair").mapInPandas(run, "tile_id long, pair int, x1 double, y1 double, x2 double, y2 double"))
+
+    def pointing(self) -> DataFrame:
+        """pair, a: the correction of each pair over all tiles (the barrier); the identity where no tile has any."""
+        low, high = self.altitudes()
+        rows = []
+        for tile, box in self._boxes().items():
+            for pair in range(1, len(self.scene.cameras)):
+                f = images.affine_fundamental(virtual_matches(self.scene.cameras[0], self.scene.cameras[pair], box, self.cfg.n_gcp_per_axis, low, high))
+                rows.append((tile, pair, *map(float, f)))
+        f = self.spark.createDataFrame(rows, "tile_id long, pair int, a double, b double, c double, d double, e double").select("tile_id", "pair", F.struct(*"abcde").alias("f"))
+        keys = ["tile_id", "pair"]
+        m = self.table("matches").join(F.broadcast(f), keys)
+        local = f.select(*keys).join(estimation.local_pointing(m, keys), keys, "left").join(estimation.match_center(m, keys), keys, "left")
+        return self.save("pointing", estimation.global_pointing(local))
+
+    def corrections(self) -> dict[int, list[float]]:
+        """The pointing by pair: one small row each."""
+        return {r["pair"]: list(r["a"]) for r in self.table("pointing").collect()}
+
+    def rectification(self) -> DataFrame:
         """tile_id, pair, h1, h2, disp_min, disp_max, width, height: one small row for each tile and pair."""
-        pointing = pointing or {}
+        pointing = self.corrections()
         rows, low_high = [], self.altitudes()
         a = self.scene.cameras[0]
-        for t in self.table("tiles").collect():  # the plan of tiles: small rows
-            box = (t["x"], t["y"], t["w"], t["h"])
+        for tile, box in self._boxes().items():
             for pair in range(1, len(self.scene.cameras)):
                 m = virtual_matches(a, self.scene.cameras[pair], box, self.cfg.n_gcp_per_axis, *low_high)
                 undo = np.linalg.inv(np.reshape(pointing.get(pair, np.eye(3)), (3, 3)))
@@ -139,7 +205,7 @@ class Run:
                 move = np.array([[1, 0, margin], [0, 1, self.cfg.vertical_margin], [0, 0, 1]])
                 x, y, w, h = box
                 size = (h1 @ np.array([[x, x + w, x + w, x], [y, y, y + h, y + h], [1, 1, 1, 1]])).max(1)
-                rows.append((t["tile_id"], pair, (move @ h1).ravel().tolist(), (move @ h2).ravel().tolist(), float(lo), float(hi), int(np.ceil(size[0])) + 2 * margin, int(np.ceil(size[1])) + 2 * self.cfg.vertical_margin))
+                rows.append((tile, pair, (move @ h1).ravel().tolist(), (move @ h2).ravel().tolist(), float(lo), float(hi), int(np.ceil(size[0])) + 2 * margin, int(np.ceil(size[1])) + 2 * self.cfg.vertical_margin))
         return self.save("rectification", self.spark.createDataFrame(rows, "tile_id long, pair int, h1 array<double>, h2 array<double>, disp_min double, disp_max double, width int, height int"))
 
     def disparity(self) -> DataFrame:
@@ -172,11 +238,11 @@ class Run:
             raise StageFailed(out.where("status <> 'ok'").first()["status"])
         return out
 
-    def points(self, pointing: dict[int, list[float]] | None = None) -> DataFrame:
+    def points(self) -> DataFrame:
         """tile_id, pair, row, col, lon, lat, alt, err: every accepted disparity pixel triangulated, by Arrow batch."""
         plan = {(r["tile_id"], r["pair"]): r for r in self.table("rectification").collect()}
-        boxes = {r["tile_id"]: (r["x"], r["y"], r["x"] + r["w"] - 1, r["y"] + r["h"] - 1) for r in self.table("tiles").collect()}
-        cams, pointing = self.scene.cameras, pointing or {}
+        boxes = {t: (x, y, x + w - 1, y + h - 1) for t, (x, y, w, h) in self._boxes().items()}
+        cams, pointing = self.scene.cameras, self.corrections()
 
         def run(batches):
             for part in batches:
@@ -232,8 +298,7 @@ class Run:
         os.makedirs(self.cfg.out_dir, exist_ok=True)
         with open(os.path.join(self.cfg.out_dir, "config.json"), "w") as f:
             f.write(self.cfg.to_json())
-        steps = [self.plan, self.rectification, self.disparity, self.points, self.cloud, self.dsm]
-        for k, step in enumerate(steps):
+        for k, step in enumerate([getattr(self, name) for name in STEPS]):
             if k >= start_from:
                 step()
         return self.table("dsm")
