@@ -122,7 +122,7 @@ def _lookup(table: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (table[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _candidates(width: int, bits: int, tables, n_buckets: int):
+def _candidates(width: int, bits: int, tables, n_buckets: int, n_docs: int):
     """Windows with both bits: a task's first of each goes to its bucket, and the rest are later for certain."""
 
     def run(batches) -> Iterator[dict]:
@@ -137,7 +137,7 @@ def _candidates(width: int, bits: int, tables, n_buckets: int):
             # a repeat of the very same place (a repeated row) is no later copy
             first_of = np.maximum.accumulate(np.where(new, np.arange(len(got)), 0))
             own = ~new & (got["k"] == got["k"][first_of]) & (got["s"] == got["s"][first_of])
-            yield _starts(got[~new & ~own & ~same], n_buckets)
+            yield from _places(got[~new & ~own & ~same], n_docs)
             first = got[new]
             bucket = (first["a"] % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -145,7 +145,7 @@ def _candidates(width: int, bits: int, tables, n_buckets: int):
             a, b = runs(bucket)
             # column by column, so that the compression finds the like bytes
             data = [squeeze(b"".join(np.ascontiguousarray(first[f][i:j]).tobytes() for f in _RECORD.names)) for i, j in zip(a, b, strict=True)]
-            yield {"bucket": bucket[a].tolist(), "k": [None] * len(a), "data": data}
+            yield {"bucket": bucket[a].tolist(), "data": data}
 
         for batch in batches:
             h, k, s, b = _windows(batch, width, second=True)
@@ -164,106 +164,145 @@ def _candidates(width: int, bits: int, tables, n_buckets: int):
     return run
 
 
-def _starts(rec: np.ndarray, n_buckets: int) -> dict:
-    """Rows (bucket < 0, id, starts) of later windows, one for each id."""
-    rec = rec[np.lexsort((rec["s"], rec["k"]))]
-    a, b = runs(rec["k"])
-    k = rec["k"][a]
-    return {"bucket": (-1 - (mix(k.astype(np.uint64)) % np.uint64(n_buckets)).astype(np.int64)).tolist(), "k": k.tolist(), "data": [rec["s"][i:j].tobytes() for i, j in zip(a, b, strict=True)]}
+def doc_bucket(k: np.ndarray, n: int) -> np.ndarray:
+    return (mix(k.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
-def _exact(batches) -> Iterator[dict]:
+def _places(rec: np.ndarray, n_docs: int) -> Iterator[dict]:
+    """Rows (bucket, data) of later windows: the ids and starts of a bucket of documents, which is -1 - bucket."""
+    if len(rec):
+        bucket = doc_bucket(rec["k"], n_docs)
+        order = np.lexsort((rec["s"], rec["k"], bucket))
+        rec, bucket = rec[order], bucket[order]
+        a, b = runs(bucket)
+        yield {"bucket": (-1 - bucket[a]).tolist(), "data": [squeeze(rec["k"][i:j].tobytes() + rec["s"][i:j].tobytes()) for i, j in zip(a, b, strict=True)]}
+
+
+def _exact(n_docs: int):
     """Buckets, one after the other: of each window's occurrences all but the first are later."""
-    now, held = None, []
-
-    def close() -> Iterator[dict]:
-        got = np.concatenate(held)
-        got = got[np.lexsort((got["s"], got["k"], got["b"], got["a"]))]
-        new = np.r_[True, (got["a"][1:] != got["a"][:-1]) | (got["b"][1:] != got["b"][:-1])]
-        first_of = np.maximum.accumulate(np.where(new, np.arange(len(got)), 0))
-        later = got[~new & ((got["k"] != got["k"][first_of]) | (got["s"] != got["s"][first_of]))]
-        if len(later):
-            out = _starts(later, 1)
-            yield {"k": out["k"], "data": out["data"]}
 
+    def run(batches) -> Iterator[dict]:
+        now, held, found, n = None, [], [], 0
+
+        def close() -> np.ndarray:
+            got = np.concatenate(held)
+            got = got[np.lexsort((got["s"], got["k"], got["b"], got["a"]))]
+            new = np.r_[True, (got["a"][1:] != got["a"][:-1]) | (got["b"][1:] != got["b"][:-1])]
+            first_of = np.maximum.accumulate(np.where(new, np.arange(len(got)), 0))
+            return got[~new & ((got["k"] != got["k"][first_of]) | (got["s"] != got["s"][first_of]))]
+
+        for batch in batches:
+            passed: dict[str, list] = {"bucket": [], "data": []}
+            for bucket, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if bucket < 0:
+                    passed["bucket"].append(bucket)
+                    passed["data"].append(data)
+                    continue
+                if bucket != now and held:
+                    found.append(close())
+                    n += len(found[-1])
+                    held = []
+                    if n >= FLUSH:
+                        yield from _places(np.concatenate(found), n_docs)
+                        found, n = [], 0
+                now, data = bucket, unsqueeze(data)
+                size = len(data) // _RECORD.itemsize
+                rec, at = np.empty(size, _RECORD), 0
+                for f in _RECORD.names:
+                    rec[f] = np.frombuffer(data, _RECORD[f], size, at)
+                    at += size * _RECORD[f].itemsize
+                held.append(rec)
+            if passed["bucket"]:
+                yield passed
+        if held:
+            found.append(close())
+        if found:
+            yield from _places(np.concatenate(found), n_docs)
+
+    return run
+
+
+def _unplace(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = unsqueeze(data)
+    n = len(data) // 12
+    return np.frombuffer(data, "<i8", n), np.frombuffer(data, "<i4", n, 8 * n)
+
+
+def _ids(batches) -> Iterator[dict]:
+    """The distinct ids of a task's places."""
+    held, n = [], 0
     for batch in batches:
-        ks, datas = [], []
-        for bucket, k, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if bucket < 0:
-                ks.append(k)
-                datas.append(data)
-                continue
-            if bucket != now and held:
-                yield from close()
-                held = []
-            now, data = bucket, unsqueeze(data)
-            n = len(data) // _RECORD.itemsize
-            rec, at = np.empty(n, _RECORD), 0
-            for f in _RECORD.names:
-                size = n * _RECORD[f].itemsize
-                rec[f] = np.frombuffer(data, _RECORD[f], n, at)
-                at += size
-            held.append(rec)
-        if ks:
-            yield {"k": ks, "data": datas}
+        new = [np.unique(_unplace(d)[0]) for d in batch.column(0).to_pylist()]
+        held += new
+        n += sum(map(len, new))
+        if n > 8 * FLUSH:
+            held = [np.unique(np.concatenate(held))]
+            if len(held[0]) > FLUSH:
+                yield {"k": held.pop()}
+            n = 0
     if held:
-        yield from close()
+        yield {"k": np.unique(np.concatenate(held))}
 
 
-def later_windows(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """(k, starts): for each document with one, the packed starts of windows that also start earlier."""
+def later_windows(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> tuple[DataFrame, int]:
+    """(bucket, data) with the places of windows that also start earlier, packed by bucket of documents, and the
+    number of those buckets."""
     rows = raw(docs, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n_windows = size // 6 + 1  # a guess, for the sizes only
     bits, table = repeated_bits(rows, width, n_windows, max_bits)
-    n_buckets = int(min(1 << 20, max(16, n_windows // 250_000)))
-    spread = arrow_map(rows, _candidates(width, bits, docs.sparkSession.sparkContext.broadcast(table), n_buckets), "bucket int, k long, data binary")
-    later = arrow_map(spread.repartition("bucket").sortWithinPartitions("bucket"), _exact, "k long, data binary")
-    return later.groupBy("k").agg(F.collect_list("data").alias("starts"))
+    n_buckets, n_docs = (int(min(1 << 20, max(16, n_windows // each))) for each in (250_000, 2_000_000))
+    spread = arrow_map(rows, _candidates(width, bits, docs.sparkSession.sparkContext.broadcast(table), n_buckets, n_docs), "bucket int, data binary")
+    later = arrow_map(spread.repartition("bucket").sortWithinPartitions("bucket"), _exact(n_docs), "bucket int, data binary")
+    return later.select((-1 - F.col("bucket")).alias("bucket"), "data"), n_docs
 
 
-def covered(n_words: int, starts: list[bytes] | None, width: int) -> np.ndarray:
+def covered(n_words: int, starts: np.ndarray, width: int) -> np.ndarray:
     """Whether each word is inside a window that begins at one of the starts."""
     edge = np.zeros(n_words + 1, np.int64)
-    if starts:
-        at = np.unique(np.frombuffer(b"".join(starts), np.int32))
-        edge[at] += 1
-        edge[np.minimum(at + width, n_words)] -= 1
+    at = np.unique(starts)
+    edge[at] += 1
+    edge[np.minimum(at + width, n_words)] -= 1
     return np.cumsum(edge)[:n_words] > 0
 
 
-def _rest(width: int):
+def _rest(width: int, digest: bool):
+    """Rows (bucket, k, data, b): of each bucket first the places (no text), then the texts."""
+
     def run(batches) -> Iterator[dict]:
+        now, places = None, []
+        ids = starts = np.empty(0, np.int64)
         for batch in batches:
             out = {"k": [], "n_words": [], "n_removed": [], "kept": []}
-            for k, text, starts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for bucket, k, data, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if bucket != now:
+                    now, places = bucket, []
+                    ids = starts = np.empty(0, np.int64)
+                if data is not None:
+                    places.append(_unplace(data))
+                    continue
+                if places:
+                    ids, starts = (np.concatenate(x) for x in zip(*places, strict=True))
+                    order = np.argsort(ids, kind="stable")
+                    ids, starts, places = ids[order], starts[order], []
                 words = text.split()
-                gone = 0
-                n = len(words)
-                if starts:
-                    hit = covered(n, starts, width)
+                n, gone = len(words), 0
+                i, j = np.searchsorted(ids, k, "left"), np.searchsorted(ids, k, "right")
+                if j > i:
+                    hit = covered(n, starts[i:j], width)
                     gone = int(hit.sum())
                     words = [w for w, x in zip(words, hit.tolist(), strict=True) if not x]
+                kept = b" ".join(words)
                 out["k"].append(k)
                 out["n_words"].append(n)
                 out["n_removed"].append(gone)
-                out["kept"].append(b" ".join(words))
+                out["kept"].append(hashlib.sha256(kept).hexdigest() if digest else kept)
             if out["k"]:
                 yield out
 
     return run
 
 
-def _digest(width: int):
-    rest = _rest(width)
-
-    def run(batches) -> Iterator[dict]:
-        for out in rest(batches):
-            yield out | {"kept": [hashlib.sha256(x).hexdigest() for x in out["kept"]]}
-
-    return run
-
-
 def dedup_substrings(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, max_bits: int = MAX_BITS) -> DataFrame:
     """id_col, n_words, n_removed, kept: the words left, joined by one space (digest: their SHA-256 as kept_sha256).
 
@@ -272,13 +311,27 @@ def dedup_substrings(docs: DataFrame, width: int = 20, id_col: str = "doc_id", t
     no words; null ids are one document that comes first and come back null; rows that repeat an id are that document
     again, at the same places, so they are no copies of each other.  Texts shorter than a window lose nothing.
     """
-    later = staged(later_windows(docs, width, id_col, text_col, max_bits), "substring-later")
-    # only texts that may have one are shuffled to them
-    table, blocks = bloom(later, "k", later.count(), BROADCAST_BLOCKS)
+    later, n_docs = later_windows(docs, width, id_col, text_col, max_bits)
+    later = staged(later, "substring-later")
+    ids = arrow_map(later.select("data"), _ids, "k long").distinct()
+    # only texts that may have one are shuffled to their places
+    table, blocks = bloom(ids, "k", ids.count(), BROADCAST_BLOCKS)
     rows = maybe_in(raw(docs, id_col, text_col), "k", table, blocks, "near")
-    both = rows.where("near").join(later, "k", "left").select("k", "b", "starts").unionByName(rows.where("NOT near").select("k", "b", F.lit(None).cast("array<binary>").alias("starts")))
-    if digest:
-        out = arrow_map(both, _digest(width), "k long, n_words long, n_removed long, kept string").withColumnRenamed("kept", "kept_sha256")
-    else:
-        out = arrow_map(both, _rest(width), "k long, n_words long, n_removed long, kept binary").withColumn("kept", F.col("kept").cast("string"))
+    near = arrow_map(rows.where("near").select("k", "b"), _dealt(n_docs), "bucket int, k long, data binary, b binary")
+    met = near.unionByName(later.select("bucket", F.lit(None).cast("long").alias("k"), "data", F.lit(None).cast("binary").alias("b")))
+    met = met.repartition("bucket").sortWithinPartitions("bucket", F.col("data").isNull())
+    far = rows.where("NOT near").select(F.lit(0).alias("bucket"), "k", F.lit(None).cast("binary").alias("data"), "b")
+    schema = f"k long, n_words long, n_removed long, kept {'string' if digest else 'binary'}"
+    out = arrow_map(met, _rest(width, digest), schema).unionByName(arrow_map(far, _rest(width, digest), schema))
+    out = out.withColumnRenamed("kept", "kept_sha256") if digest else out.withColumn("kept", F.col("kept").cast("string"))
     return out.withColumn("k", known_id()).withColumnRenamed("k", id_col)
+
+
+def _dealt(n_docs: int):
+    def run(batches) -> Iterator[dict]:
+        for batch in batches:
+            k = batch.column(0).to_numpy()
+            if len(k):
+                yield {"bucket": doc_bucket(k, n_docs), "k": k, "data": [None] * len(k), "b": batch.column(1).to_pylist()}
+
+    return run
