@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, hash_words, known_id, raw, staged
+from .common import arrow_map, hash_words, known_id, raw, runs, staged
 
 SPACE_MARK = "▁".encode()
 #: A block is closed beyond this many bytes of text; a bucket is meant to hold about this many bytes of pre-tokens.
@@ -111,9 +111,9 @@ def _blocks(n_buckets: int):
             bucket = (hash_words(tokens) % np.uint64(n_buckets)).astype(np.uint32)
             order = np.argsort(bucket, kind="stable")
             sorted_buckets = bucket[order]
-            starts = np.flatnonzero(np.r_[True, sorted_buckets[1:] != sorted_buckets[:-1]]) if len(order) else []
+            starts, ends = runs(sorted_buckets)
             out = [(2, block, -1, squeeze(bucket.tobytes()))]
-            for a, b in zip(starts, [*starts[1:], len(order)], strict=True):
+            for a, b in zip(starts, ends, strict=True):
                 out.append((0, block, int(sorted_buckets[a]), squeeze(b"\xff".join([tokens[i] for i in order[a:b]]))))
             out.append((1, block, -1, squeeze(_documents(rows))))
             return dict(zip(("kind", "block", "bucket", "data"), map(list, zip(*out, strict=True)), strict=True))

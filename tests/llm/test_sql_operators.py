@@ -34,6 +34,17 @@ def test_empty_table(spark, tmp_path, name):
     assert queries.QUERIES[name](spark, str(tmp_path)).collect() == []
 
 
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 3 + [(1, None, None, None, None), (1, "a b", None, None, 3), (2, "", None, None, None)]])
+def test_all_queries_and_the_pipeline_on_nothing(spark, tmp_path, rows):
+    import corpus_pipeline
+
+    at = h.write(spark, tmp_path, rows, benchmark=([(None, None), (1, None)] if rows else [], "item_id long, text string"), pages=([(None, None, None)] if rows else [], "page_id long, url string, html string"))
+    for name, f in queries.QUERIES.items():
+        n = f(spark, at).count()
+        assert n == {"op10_url_filters": min(1, len(rows)), "op7_secret_scan": min(3, len(rows))}.get(name, len(rows)), name
+    assert corpus_pipeline.run(spark, at).count() == 0
+
+
 def test_frequent_lines_reject_and_are_removed(spark):
     rows = [(i, "home about contact\nbody " + " ".join(chr(97 + i % 26) + chr(97 + i // 26) + chr(97 + j) for j in range(26)), "en", "a", 0) for i in range(30)]
     rows += [(100 + i, f"home ABOUT contact\n{'Home  about contact' + chr(10)}" * 6 + f"tail{i}", "en", "a", 0) for i in range(3)]
