@@ -312,7 +312,8 @@ def dedup_substrings(docs: DataFrame, width: int = 20, id_col: str = "doc_id", t
     again, at the same places, so they are no copies of each other.  Texts shorter than a window lose nothing.
     """
     later, n_docs = later_windows(docs, width, id_col, text_col, max_bits)
-    later = staged(later, "substring-later")
+    # by bucket, so that a document's places are in one file
+    later = staged(later.repartition("bucket"), "substring-later")
     ids = arrow_map(later.select("data"), _ids, "k long").distinct()
     # only texts that may have one are shuffled to their places
     table, blocks = bloom(ids, "k", ids.count(), BROADCAST_BLOCKS)
