@@ -61,17 +61,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", tag: str = "cc") ->
     """
     cur = staged(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u < v").distinct(), tag)
     while True:
-        # every node's smallest known neighbour or itself; then each edge's ends are hooked to the smallest of both
-        ends = cur.select(F.col("v").alias("x"), F.col("u").alias("m")).unionByName(cur.select(F.col("u").alias("x"), F.col("u").alias("m")))
-        low = staged(ends.groupBy("x").agg(F.min("m").alias("m"), F.count(F.lit(1)).alias("n")), tag)
-        total = max(1, cur.count())
-        right = low.withColumnRenamed("x", "v").withColumnRenamed("m", "mv").withColumnRenamed("n", "nv")
-        left = low.withColumnRenamed("x", "u").withColumnRenamed("m", "mu").withColumnRenamed("n", "nu")
+        # every node's smallest known neighbour or itself, how often it is an edge's end, its larger end, its smaller end
+        ends = cur.select(F.col("v").alias("x"), F.col("u").alias("m"), F.lit(1).alias("c")).unionByName(cur.select(F.col("u").alias("x"), F.col("u").alias("m"), F.lit(0).alias("c")))
+        low = staged(ends.groupBy("x").agg(F.min("m").alias("m"), F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")), tag)
+        # settled: every node has one edge, to a node that is nobody's child
+        total, loose = low.agg(F.sum("c"), F.bool_or((F.col("c") > 1) | ((F.col("c") > 0) & (F.col("n") > F.col("c"))))).first()
+        if not loose:
+            return cur.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(cur.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+        # each edge's ends are hooked to the smallest of both
+        right = low.select(F.col("x").alias("v"), F.col("m").alias("mv"), F.col("n").alias("nv"))
+        left = low.select(F.col("x").alias("u"), F.col("m").alias("mu"), F.col("n").alias("nu"))
         both = join_hot(join_hot(cur, left, ["u"], "nu", 2 * total), right, ["v"], "nv", 2 * total)
         root = F.least("mu", "mv")
         linked = both.select(F.explode(F.array(*[F.struct(root.alias("u"), F.col(x).alias("v")) for x in ("u", "v", "mu", "mv")])).alias("e")).select("e.u", "e.v").where("u < v").distinct()
         cur = staged(linked, tag)
-        # settled: every node has one edge, to a node that is nobody's child
-        two = not cur.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-        if not two and cur.select(F.col("u").alias("v")).distinct().join(cur.select("v").distinct(), "v", "left_semi").isEmpty():
-            return cur.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(cur.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
