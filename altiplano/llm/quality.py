@@ -30,10 +30,12 @@ def _repeat_words(words: Column) -> Column:
         zero = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n"))
         return F.aggregate(at, zero, lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(F.lit(WINDOW), i - s["last"])).alias("n")))["n"]
 
-    def windows(h: Column) -> Column:
-        return F.when(F.size(h) >= WINDOW, F.transform(F.sequence(F.lit(1), F.greatest(F.size(h) - WINDOW + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(h, i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>"))
+    def double(h: Column, k: int) -> Column:
+        """Names of windows of 2k words from those of k."""
+        rest = lambda x: F.greatest(F.size(x) - k, F.lit(0))
+        return let(h, lambda x: F.zip_with(F.slice(x, F.lit(1), rest(x)), F.slice(x, F.lit(k + 1), rest(x)), lambda a, b: F.xxhash64(a, b)))
 
-    names = let(F.transform(words, lambda w: F.xxhash64(w)), windows)
+    names = double(double(double(F.transform(words, lambda w: F.xxhash64(w)), 1), 2), 4)
     return let(names, lambda v: F.when(F.size(F.array_distinct(v)) == F.size(v), F.lit(0)).otherwise(heavy(v)))
 
 
