@@ -80,7 +80,7 @@ def frequent_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, m
     return join_hot(rows, above, ["host", "a", "b"], "n", total).select("k", "i", "w")
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = 20, max_share: float = 0.05, min_words: int = 20, min_left: float = 0.5, with_text: bool = False) -> DataFrame:
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = 20, max_share: float = 0.05, min_words: int = 10, min_left: float = 0.5, with_text: bool = False) -> DataFrame:
     """Every document with its counts, base_failed, n_frequent_words and kept.
 
     A line is removed where more than max_docs distinct texts of its host, and more than max_share of them, have it.

@@ -88,7 +88,7 @@ WITH docs AS (
   FROM docs LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN gone USING (doc_id)
 )
 SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_words - n_frequent_words >= 20 AND n_words - n_frequent_words >= 0.5 * n_words AS kept
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_words - n_frequent_words >= 10 AND n_words - n_frequent_words >= 0.5 * n_words AS kept
 FROM counted
 """
 
