@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import planar
+from ..functions.rpc import bind
 
 #: Order of the variables in the moments.
 VARIABLES = ("x2", "y2", "x1", "y1")
@@ -143,10 +144,14 @@ def rectified(matches: DataFrame, h1: Column, h2: Column) -> DataFrame:
 
 def rectifying_homographies(f: Column, x: Column, y: Column, w: Column, h: Column) -> tuple[Column, Column]:
     """The similarities of f, moved so that the region's box in the first rectified image begins at the origin."""
+    def origin(s: Column) -> Column:
+        corners = [planar.apply_homography(s["one"], s["x"] + dx * s["w"], s["y"] + dy * s["h"]) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1))]
+        return F.struct(s["one"].alias("one"), s["two"].alias("two"), planar.translation(-F.least(*[c[0] for c in corners]), -F.least(*[c[1] for c in corners])).alias("move"))
+
     one, two = planar.rectifying_similarities(f)
-    corners = [planar.apply_homography(one, x + dx, y + dy) for dx, dy in ((0, 0), (w, 0), (w, h), (0, h))]
-    move = planar.translation(-F.least(*[c[0] for c in corners]), -F.least(*[c[1] for c in corners]))
-    return planar.multiply(move, one), planar.multiply(move, two)
+    at = bind(origin, one=one, two=two, x=x, y=y, w=w, h=h)
+    out = bind(lambda s: F.array(*[planar.multiply(s["s"]["move"], s["s"][k]) for k in ("one", "two")]), s=at)
+    return out[0], out[1]
 
 
 def shear(matches: DataFrame, keys: list[str]) -> DataFrame:
