@@ -74,13 +74,13 @@ def mosaic_pixels(spark, sf):
 
 
 @query(f"""WITH {c.TILED}, t AS (SELECT DISTINCT ty, tx FROM tiled), nb AS (SELECT a.ty, a.tx, b.ty AS ny, b.tx AS nx FROM t a JOIN t b ON abs(a.ty - b.ty) <= 1 AND abs(a.tx - b.tx) <= 1)
-SELECT nb.ty, nb.tx, count(v) AS n, round(avg(v), 6) AS z FROM nb JOIN tiled p ON p.ty = ny AND p.tx = nx GROUP BY nb.ty, nb.tx""")
+SELECT nb.ty, nb.tx, count(v) AS n, round(avg(v), 9) AS z FROM nb JOIN tiled p ON p.ty = ny AND p.tx = nx GROUP BY nb.ty, nb.tx""")
 def cloud_union_neighbors(spark, sf):
     t = c.tiled(spark, sf).withColumn("roi_id", F.lit(0))
     tiles = t.select("roi_id", F.col("ty").alias("iy"), F.col("tx").alias("ix")).distinct()
     pairs = tiling.neighbors(tiles)
     pixels = t.select(F.col("ty").alias("ny"), F.col("tx").alias("nx"), "v")
-    return pairs.join(pixels, ["ny", "nx"]).groupBy(F.col("iy").alias("ty"), F.col("ix").alias("tx")).agg(F.count("v").alias("n"), r(F.avg("v")).alias("z"))
+    return pairs.join(pixels, ["ny", "nx"]).groupBy(F.col("iy").alias("ty"), F.col("ix").alias("tx")).agg(F.count("v").alias("n"), r(F.avg("v"), 9).alias("z"))
 
 
 # --- tiles and masks ---
@@ -173,10 +173,10 @@ def point_in_polygon(spark, sf):
 _XY = ("x1", "y1", "x2", "y2")
 
 
-@query(f"WITH {c.MATCHES}, {c.rectified_sql()} SELECT match_id, round(u1, 9) AS u1, round(v1, 9) AS v1, round(u2, 9) AS u2, round(v2, 9) AS v2 FROM rectified")
+@query(f"WITH {c.MATCHES}, {c.rectified_sql()} SELECT match_id, round(u1, 8) AS u1, round(v1, 8) AS v1, round(u2, 8) AS u2, round(v2, 8) AS v2 FROM rectified")
 def apply_homography(spark, sf):
     out = estimation.rectified(c.matches(spark, sf), planar.matrix(*c.H1), planar.matrix(*c.H2))
-    return out.select("match_id", *[r(k, 9).alias(k) for k in ("u1", "v1", "u2", "v2")])
+    return out.select("match_id", *[r(k, 8).alias(k) for k in ("u1", "v1", "u2", "v2")])
 
 
 @query(f"WITH {c.MATCHES} SELECT match_id, round(x2, 8) AS x, round(y2, 8) AS y FROM matches")
@@ -205,11 +205,11 @@ def epipolar_filter(spark, sf):
     return matching.epipolar_filter(c.matches(spark, sf).withColumn("f", c.fundamental()), 40.0).select("match_id")
 
 
-@query(f"WITH {c.MATCHES}, t AS (SELECT match_id, {_RES} / ({_F['a']}e0 * {_F['a']}e0 + {_F['b']}e0 * {_F['b']}e0) AS s, {_RES} / ({_F['c']}e0 * {_F['c']}e0 + {_F['d']}e0 * {_F['d']}e0) AS q FROM matches) SELECT match_id, round(s * {_F['a']}e0, 9) AS sx, round(s * ({_F['b']}e0), 9) AS sy, round(q * {_F['c']}e0, 9) AS rx, round(q * {_F['d']}e0, 9) AS ry FROM t")
+@query(f"WITH {c.MATCHES}, t AS (SELECT match_id, {_RES} / ({_F['a']}e0 * {_F['a']}e0 + {_F['b']}e0 * {_F['b']}e0) AS s, {_RES} / ({_F['c']}e0 * {_F['c']}e0 + {_F['d']}e0 * {_F['d']}e0) AS q FROM matches) SELECT match_id, round(s * {_F['a']}e0, 8) AS sx, round(s * ({_F['b']}e0), 8) AS sy, round(q * {_F['c']}e0, 8) AS rx, round(q * {_F['d']}e0, 8) AS ry FROM t")
 def epipolar_error_vectors(spark, sf):
     at = [F.col(k) for k in _XY]
     (sx, sy), (rx, ry) = (planar.error_vector(c.fundamental(), *at, side) for side in ("sec", "ref"))
-    return c.matches(spark, sf).select("match_id", r(sx, 9).alias("sx"), r(sy, 9).alias("sy"), r(rx, 9).alias("rx"), r(ry, 9).alias("ry"))
+    return c.matches(spark, sf).select("match_id", r(sx, 8).alias("sx"), r(sy, 8).alias("sy"), r(rx, 8).alias("rx"), r(ry, 8).alias("ry"))
 
 
 _MOMENTS = ", ".join(f"round(sum(({a} - m_{a}) * ({b} - m_{b})) / count(*), 3) AS m_{a}_{b}" for a, b in estimation.PAIRS)
@@ -470,14 +470,14 @@ def topk_keypoints(spark, sf):
 _WHOLE = f"{c.HEIGHTS}, whole AS (SELECT tile_id, pixel FROM heights WHERE z IS NOT NULL GROUP BY tile_id, pixel HAVING count(*) = 3), local AS (SELECT tile_id, pair, avg(z) AS mean FROM heights JOIN whole USING (tile_id, pixel) GROUP BY tile_id, pair), overall AS (SELECT pair, avg(mean) AS mean FROM local GROUP BY pair)"
 
 
-@query(f"WITH {_WHOLE} SELECT tile_id, pair, round(mean, 6) AS mean FROM local")
+@query(f"WITH {_WHOLE} SELECT tile_id, pair, round(mean, 9) AS mean FROM local")
 def local_mean_heights(spark, sf):
-    return fusion.local_means(c.heights(spark, sf), 3).select("tile_id", "pair", r("mean").alias("mean"))
+    return fusion.local_means(c.heights(spark, sf), 3).select("tile_id", "pair", r("mean", 9).alias("mean"))
 
 
-@query(f"WITH {_WHOLE} SELECT pair, round(mean, 6) AS mean FROM overall")
+@query(f"WITH {_WHOLE} SELECT pair, round(mean, 9) AS mean FROM overall")
 def global_mean_heights(spark, sf):
-    return fusion.global_means(fusion.local_means(c.heights(spark, sf), 3)).select("pair", r("mean").alias("mean"))
+    return fusion.global_means(fusion.local_means(c.heights(spark, sf), 3)).select("pair", r("mean", 9).alias("mean"))
 
 
 _FUSED = f"{_WHOLE}, s AS (SELECT h.pixel, z - mean AS s FROM heights h JOIN overall o USING (pair)), level AS (SELECT avg(mean) AS level FROM overall)"
