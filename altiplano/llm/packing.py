@@ -12,7 +12,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -58,12 +58,13 @@ class WordIds:
         self.rows: dict[str, int] = {}
         self.flat, self.starts = array("I"), array("q", [0])
 
-    def _learn(self, forms: list[str]) -> np.ndarray:
+    def _learn(self, distinct: pa.Array) -> np.ndarray:
         """Rows of the forms in the store."""
-        get = self.rows.get
-        rows = np.fromiter((get(f, -1) for f in forms), np.int64, len(forms))
-        new = np.flatnonzero(rows < 0).tolist()
-        for model, some in ((self.plain, [i for i in new if forms[i].isascii() and forms[i].isalnum()]), (self.model, [i for i in new if not (forms[i].isascii() and forms[i].isalnum())])):
+        forms = distinct.to_pylist()
+        rows = np.fromiter(map(self.rows.get, forms, repeat(-1)), np.int64, len(forms))
+        new = rows < 0
+        plain = pc.ascii_is_alnum(distinct).to_numpy(zero_copy_only=False)
+        for model, some in ((self.plain, np.flatnonzero(new & plain).tolist()), (self.model, np.flatnonzero(new & ~plain).tolist())):
             ids = [g.ids for g in model.encode_batch_fast([forms[i] for i in some], add_special_tokens=False)]
             first, at = len(self.starts) - 1, self.starts[-1]
             self.flat.extend(chain.from_iterable(ids))
@@ -79,11 +80,10 @@ class WordIds:
         whole = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
         parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         words = parts.flatten().dictionary_encode()
-        code = words.indices.to_numpy()
         tailed = pc.match_substring_regex(words.dictionary, r"[a-z0-9][.,]\z")
         tail = np.where(tailed.to_numpy(zero_copy_only=False), np.where(pc.ends_with(words.dictionary, ".").to_numpy(zero_copy_only=False), 1, 2), 0)
         forms = pc.if_else(tailed, pc.utf8_slice_codeunits(words.dictionary, 0, -1), words.dictionary).dictionary_encode()
-        rows = self._learn(forms.dictionary.to_pylist())[forms.indices.to_numpy()] if len(words.dictionary) else np.empty(0, np.int64)
+        rows = self._learn(forms.dictionary)[forms.indices.to_numpy()]
         starts, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.empty(0, np.uint32)
         # each distinct word's ids, with room for its tail
         size = starts[rows + 1] - starts[rows]
@@ -95,9 +95,10 @@ class WordIds:
         for k in (1, 2):
             own[last[tail == k]] = self.tails[k][0]
         del starts, flat  # the store can grow again
-        sizes = each[code]
-        ids = gather(own, begin[code], sizes)
-        ends = np.r_[0, np.cumsum(sizes)][parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
+        own_ids = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(own)], pa.int32()), pa.array(own))
+        taken = own_ids.take(words.indices)
+        ids = taken.flatten().to_numpy()
+        ends = (taken.offsets.to_numpy() - taken.offsets[0].as_py())[parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
         if len(whole):
             pieces = np.split(ids, ends[:-1])
             for i in whole.tolist():
