@@ -173,10 +173,10 @@ def point_in_polygon(spark, sf):
 _XY = ("x1", "y1", "x2", "y2")
 
 
-@query(f"WITH {c.MATCHES}, {c.rectified_sql()} SELECT match_id, round(u1, 8) AS u1, round(v1, 8) AS v1, round(u2, 8) AS u2, round(v2, 8) AS v2 FROM rectified")
+@query(f"WITH {c.MATCHES}, {c.rectified_sql()} SELECT match_id, round(u1, 8) AS u1, round(v1, 8) AS v1, round(u2, 6) AS u2, round(v2, 6) AS v2 FROM rectified")
 def apply_homography(spark, sf):
     out = estimation.rectified(c.matches(spark, sf), planar.matrix(*c.H1), planar.matrix(*c.H2))
-    return out.select("match_id", *[r(k, 8).alias(k) for k in ("u1", "v1", "u2", "v2")])
+    return out.select("match_id", *[r(k, n).alias(k) for k, n in (("u1", 8), ("v1", 8), ("u2", 6), ("v2", 6))])
 
 
 @query(f"WITH {c.MATCHES} SELECT match_id, round(x2, 8) AS x, round(y2, 8) AS y FROM matches")
