@@ -7,6 +7,7 @@ interval of the suffix array with a longest common prefix of at least L; only su
 go into the next round, so the rounds end after log2(longest repeated run) and work on repeated text alone.  Within an
 interval the smallest (id, place) is the first copy and the rest are later copies; the maximal repeated run of a later
 copy is the union of its overlapping windows.  Lines inside a later copy of at least ``min_lines`` lines are deleted.
+With ``min_words``, so are later copies of a single line of at least that many words, wherever they stand.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, join_hot, let, staged
+from .common import NO_ID, join_hot, let, staged, words_col
 
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -78,17 +79,35 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> DataFrame:
+def repeated_long_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(k, lone): for each document with a later copy of a line of at least min_words words, the places of those."""
+    worded = F.filter(_lines(F.col(text_col)), lambda s: s["w"])
+    long = F.filter(F.transform(worded, lambda s, p: F.struct(p.alias("p"), s["x"].alias("x"))), lambda s: F.size(words_col(s["x"])) >= min_words)
+    at = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("k"), F.inline(F.transform(long, lambda s: F.struct(s["p"].alias("p"), F.xxhash64(s["x"]).alias("a"), F.xxhash64(F.lit(7), s["x"]).alias("b")))))
+    at = staged(at, "lines-long")
+    return _intervals(at, at.count()).where("later").groupBy("k").agg(F.collect_set("p").alias("lone"))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2, min_words: int | None = None) -> DataFrame:
     """docs with text_col less its later copies, and columns n_lines, n_removed, longest_run, lcp_lines.
 
+    Later copies are runs of at least min_lines lines and, with min_words, single lines of at least that many words.
+
     The order "earlier" is (id, place).  A line without a word is in no run and stays.  A null text has no lines and
     stays null; an empty one stays empty; a row with a null id stays as it is and is nobody's copy.  Rows that repeat
     an id and text count as one document.  Other columns pass through; the four added ones are replaced if present.
     """
     seen = repeated_runs(docs, id_col, text_col, min_lines).select(F.col("k").alias("__k"), F.col("starts").alias("__starts"), F.col("lcp").alias("__lcp"))
+    if min_words is not None:
+        lone = repeated_long_lines(docs, id_col, text_col, min_words).select(F.col("k").alias("__k"), F.col("lone").alias("__lone"))
+        none = F.array().cast("array<int>")
+        seen = seen.join(lone, "__k", "full").select("__k", F.coalesce("__starts", none).alias("__starts"), F.coalesce("__lone", none).alias("__lone"), F.coalesce("__lcp", F.lit(1)).alias("__lcp"))
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    # places of the sequence that a later window covers
-    covered = F.coalesce(F.array_distinct(F.flatten(F.transform("__starts", lambda p: F.sequence(p, p + (min_lines - 1))))), F.array().cast("array<int>"))
+    # places of the sequence that a later window covers, and those of single lines
+    places = F.flatten(F.transform("__starts", lambda p: F.sequence(p, p + (min_lines - 1))))
+    if min_words is not None:
+        places = F.concat(places, "__lone")
+    covered = F.coalesce(F.array_distinct(places), F.array().cast("array<int>"))
     lines = _lines(F.col(text_col))
 
     def split_up(both: Column) -> Column:

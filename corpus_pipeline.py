@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without later copies of repeated line runs; a document goes when they were all its words."""
-    out = line_dedup.dedup_lines(docs)
+    """Without later copies of repeated line runs and of lines of 50 words; a document goes when they were all its words."""
+    out = line_dedup.dedup_lines(docs, min_words=50)
     return _documents(out.where(F.col("text").isNull() | (F.col("n_removed") == 0) | F.col("text").rlike(line_dedup.WORD)), docs)
 
 

@@ -68,6 +68,19 @@ def test_line_dedup_passes_other_columns_and_odd_ids(spark):
         line_dedup.dedup_lines(h.frame(spark, deep), min_lines=3)
 
 
+def test_line_dedup_long_single_lines(spark, tmp_path):
+    import corpus_pipeline
+
+    long, short = " ".join(f"w{j}" for j in range(50)), " ".join(f"s{j}" for j in range(49))
+    rows = [(1, f"a\n{long}\n{short}\nb", "en", "s", 1), (2, f"c\n \n{long}\nd\n{short}", "en", "s", 1), (3, f"{long}\ne\n{long}", "en", "s", 1)]
+    rows += [(4, long, "en", "s", 1), (5, f"q\na\n{long}\nr", "en", "s", 1), (None, long, "en", "s", 1), (4, long, "en", "s", 1), (6, None, "en", "s", 1)]
+    out = line_dedup.dedup_lines(h.clash(h.frame(spark, rows)), min_words=50)
+    got = sorted((r.doc_id or 0, r.text or "", r.n_removed, r.longest_run, r.lcp_lines) for r in out.collect())
+    assert got == [(0, long, 0, 0, 0), (1, rows[0][1], 0, 0, 0), (2, f"c\n \nd\n{short}", 1, 1, 1), (3, "e", 2, 1, 1), (4, "", 1, 1, 1), (4, "", 1, 1, 1), (5, "q\nr", 2, 2, 2), (6, "", 0, 0, 0)]
+    kept = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, h.frame(spark, rows), "").collect()}
+    assert kept == {1: rows[0][1], 2: f"c\n \nd\n{short}", 3: "e", 5: "q\nr", None: long, 6: None}
+
+
 def test_substring_repeated_rows_and_sketch_too_small(spark):
     rows = [*h.documents(5, 40), (0, h.documents(5, 40)[0][1], "en", "s", 1)]
     wide = h.pandas(substring.dedup_substrings(h.clash(h.frame(spark, rows)), 6, digest=True))
