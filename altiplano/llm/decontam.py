@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, known_id, raw
+from .common import arrow_map, known_id, raw, staged
 
 #: Item words in one automaton, which bounds what is broadcast; more items take more passes over the documents.
 ITEM_WORDS = 500_000
@@ -69,15 +69,16 @@ class Automaton:
                 self.link[new] = self._split(p, word, self.step[p][word])
             last = new
 
-    def label(self, item: str, words: list[bytes]) -> None:
-        """After all add()s: note the item at the states of its windows."""
+    def label(self, item: str | None, words: list[bytes]) -> None:
+        """After all add()s: note the item at the states of its windows; without a name they are hits all the same."""
+        name = set() if item is None else {item}
         s = 0
         for n, word in enumerate(words, 1):
             s = self.step[s][word]
             if n >= self.width:
                 while self.size[self.link[s]] >= self.width:
                     s = self.link[s]
-                self.items.setdefault(s, set()).add(item)
+                self.items.setdefault(s, set()).update(name)
         if 0 < len(words) < self.width:
             self.short.setdefault(s, []).append((len(words), item))
 
@@ -119,11 +120,12 @@ class Automaton:
                 for m, item in short[s]:
                     if m <= n:
                         spans.append((i + 1 - m, i + 1))
-                        found.add(item)
+                        if item is not None:
+                            found.add(item)
         return spans, found
 
 
-def build(items: list[tuple[str, bytes]], width: int) -> Automaton:
+def build(items: list[tuple[str | None, bytes]], width: int) -> Automaton:
     out, words = Automaton(width), [(item, fold(text)) for item, text in items]
     for _, w in words:
         out.add(w)
@@ -136,7 +138,7 @@ def build(items: list[tuple[str, bytes]], width: int) -> Automaton:
 def automata(bench: DataFrame, width: int, item_col: str, text_col: str, max_words: int) -> Iterator[Automaton]:
     """Automata of at most about max_words item words each (one item is never cut)."""
     held, n = [], 0
-    rows = bench.select(F.col(item_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")).cast("binary")).where(F.col(item_col).isNotNull())
+    rows = bench.select(F.col(item_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
     for item, text in rows.toLocalIterator():
         held.append((item, bytes(text)))
         n += len(fold(held[-1][1]))
@@ -179,8 +181,8 @@ def find_items(docs: DataFrame, bench: DataFrame, width: int = 10, id_col: str =
     """id_col, n_words, n_hit, spans (flat from, to, from, to ... of hit words), items (sorted strings), by row of docs.
 
     A window is `width` consecutive words of an item, or all of a shorter one.  Items beyond max_words words take
-    another pass, whose finds are joined.  Null texts have no words; items without words or with a null id are never
-    found; no items: nothing is hit.  Ids should be unique: with several passes, rows that repeat an id share their
+    another pass, whose finds are joined.  Null texts have no words; items without words are never found; those with a
+    null id are hits without a name; no items: nothing is hit.  Ids should be unique: with several passes, rows that repeat an id share their
     finds, with one pass each row has its own.
     """
     rows = raw(docs, id_col, text_col)
@@ -210,19 +212,72 @@ def decontaminate(docs: DataFrame, bench: DataFrame, width: int = 10, max_cover:
     """docs with the hit spans cut from text_col, without documents of which they cover more than max_cover.
 
     Other columns pass through.  Null texts stay null.  Cutting can bring words together that make a new window, so
-    the text is cut again until nothing is hit.
+    the text is cut again until nothing is hit.  Items beyond max_words words take more passes, whose spans are joined
+    before each cut, so that the result is the same.
     """
     from pyspark.sql import types as T
 
-    out = docs
+    spark = docs.sparkSession
+    machines = [spark.sparkContext.broadcast(a) for a in automata(bench, width, item_col, item_text_col, max_words)]
+    if not machines:
+        return docs
+    if len(machines) > 1:
+        return _cut_by_all(docs, machines, max_cover, text_col)
     keep = [c for c in docs.columns if c != text_col]
-    for a in automata(bench, width, item_col, item_text_col, max_words):
-        machine = docs.sparkSession.sparkContext.broadcast(a)
-        packed = out.select(F.col(text_col).cast("binary").alias("__b"), F.struct(*keep).alias("__rest"))
-        schema = T.StructType([T.StructField("__rest", packed.schema["__rest"].dataType), T.StructField("__b", T.BinaryType())])
-        done = packed.mapInArrow(_cutter(machine, max_cover), schema)
-        out = done.select(*[F.col(f"__rest.`{c}`").alias(c) if c != text_col else F.col("__b").cast("string").alias(c) for c in docs.columns])
-    return out
+    packed = docs.select(F.col(text_col).cast("binary").alias("__b"), F.struct(*keep).alias("__rest"))
+    schema = T.StructType([T.StructField("__rest", packed.schema["__rest"].dataType), T.StructField("__b", T.BinaryType())])
+    done = packed.mapInArrow(_cutter(machines[0], max_cover), schema)
+    return done.select(*[F.col(f"__rest.`{c}`").alias(c) if c != text_col else F.col("__b").cast("string").alias(c) for c in docs.columns])
+
+
+def _cut_by_all(docs: DataFrame, machines: list, max_cover: float, text_col: str) -> DataFrame:
+    """decontaminate() with several automata: each round cuts what any of them hits, until none does."""
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*docs.columns).alias("__rest")), "decontam-rows")
+    text = F.col(f"__rest.`{text_col}`")
+    now, rounds = rows.where(text.isNotNull()).select(F.col("__row").alias("k"), text.cast("binary").alias("b"), F.lit(-1).cast("long").alias("total"), F.lit(0).cast("long").alias("gone")), []
+    while True:
+        hits = [arrow_map(now.select("k", "b"), _find(m), "k long, n_words long, spans array<int>, items array<string>").where(F.size("spans") > 0).select("k", "spans") for m in machines]
+        every = hits[0]
+        for x in hits[1:]:
+            every = every.unionByName(x)
+        every = every.groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        done = staged(arrow_map(now.join(every, "k").select("k", "b", "total", "gone", "spans"), _cut_spans, "k long, b binary, total long, gone long"), "decontam-cut")
+        if done.isEmpty():
+            break
+        rounds.append(done.withColumn("round", F.lit(len(rounds))))
+        now = done.where(F.col("gone") <= max_cover * F.col("total"))
+    if not rounds:
+        return rows.select(*[F.col(f"__rest.`{c}`").alias(c) for c in docs.columns])
+    cut = rounds[0]
+    for x in rounds[1:]:
+        cut = cut.unionByName(x)
+    cut = cut.groupBy(F.col("k").alias("__row")).agg(F.max_by(F.struct("b", "total", "gone"), "round").alias("__cut"))
+    out = rows.join(cut, "__row", "left").where(F.col("__cut").isNull() | (F.col("__cut.gone") <= max_cover * F.col("__cut.total")))
+    return out.select(*[F.when(F.col("__cut").isNotNull(), F.col("__cut.b").cast("string")).otherwise(text).alias(c) if c == text_col else F.col(f"__rest.`{c}`").alias(c) for c in docs.columns])
+
+
+def _cut_spans(batches) -> Iterator[dict]:
+    """Texts less the union of their spans; total stays the words of the first round, gone adds up."""
+    for batch in batches:
+        out = {"k": [], "b": [], "total": [], "gone": []}
+        for k, text, total, gone, flat in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            spans = merge(list(zip(flat[::2], flat[1::2], strict=True)))
+            out["k"].append(k)
+            out["b"].append(_without(text, spans))
+            out["total"].append(len(fold(text)) if total < 0 else total)
+            out["gone"].append(gone + sum(b - a for a, b in spans))
+        if out["k"]:
+            yield out
+
+
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text less the words of merged spans and what stands between them."""
+    at = [m.span() for m in _WORD.finditer(text)]
+    parts, last = [], 0
+    for a, b in spans:
+        parts.append(text[last : at[a][0]])
+        last = at[b - 1][1]
+    return b"".join(parts) + text[last:]
 
 
 def _cutter(machine, max_cover: float):
@@ -241,12 +296,7 @@ def _cutter(machine, max_cover: float):
                     if not spans:
                         break
                     gone += sum(b - a for a, b in spans)
-                    at = [m.span() for m in _WORD.finditer(now)]
-                    parts, last = [], 0
-                    for a, b in spans:
-                        parts.append(now[last : at[a][0]])
-                        last = at[b - 1][1]
-                    now = b"".join(parts) + now[last:]
+                    now = _without(now, spans)
                 if gone <= max_cover * (total or 0):
                     keep.append(i)
                     out.append(now)

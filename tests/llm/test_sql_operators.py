@@ -103,6 +103,29 @@ def test_decontaminate_several_passes_and_cut(spark):
     assert left.where("n_hit > 0").count() == 0
 
 
+def test_decontaminate_passes_judge_and_cut_as_one(spark):
+    one, two = [f"a{i}" for i in range(10)], [f"b{i}" for i in range(10)]
+    bench = spark.createDataFrame([(1, " ".join(one)), (2, " ".join(two)), (3, "zebra yak")], "item_id long, text string").coalesce(1)
+    rows = [(1, " ".join(["x", *one[:10], "y", *two, "z", "u", "v"]), "en", "s", 1)]  # 10 of 25 words each, 20 of 25 together
+    rows += [(2, " ".join([*[f"r{i}" for i in range(40)], *one[:5], "zebra yak", *one[5:], "tail"]), "en", "s", 1)]  # a later pass's cut joins an earlier one's window
+    rows += [(3, None, "en", "s", 1), (None, "clean text", "en", "s", 1), (None, " ".join(["w"] * 30 + two), "en", "s", 1), *h.documents(3, 30)]
+    docs = h.clash(h.frame(spark, rows))
+    whole, many = [sorted(map(repr, decontam.decontaminate(docs, bench, max_words=n).collect())) for n in (500_000, 5)]
+    assert whole == many
+    got = [(r.doc_id, r.text) for r in decontam.decontaminate(h.frame(spark, rows[:5]), bench, max_words=5).collect()]
+    assert (1, rows[0][1]) not in got and all(i != 1 for i, _ in got)
+    assert sorted(t.split() for i, t in got if i in (2, None)) == sorted([[*[f"r{i}" for i in range(40)], "tail"], ["clean", "text"], ["w"] * 30])
+
+
+def test_decontamination_items_without_an_id(spark, tmp_path):
+    bench = [(None, BENCH[0][1]), (None, "zebra yak"), (7, "moon landing")]
+    rows = [(1, "so " + BENCH[0][1] + " rest", "en", "s", 1), (2, "a zebra yak and a moon landing", "en", "s", 1), (3, "none", "en", "s", 1)]
+    at = h.write(spark, tmp_path, rows, benchmark=(bench, "item_id long, text string"))
+    h.same(queries.op6_decontamination(spark, at), *h.duck(at, queries.OP6_SQL, ("documents", "benchmark")))
+    left = decontam.decontaminate(h.frame(spark, rows), spark.createDataFrame(bench, "item_id long, text string"), max_cover=1.0)
+    assert sorted((r.doc_id, r.text.split()) for r in left.collect()) == [(1, ["so", "rest"]), (2, ["a", "and", "a"]), (3, ["none"])]
+
+
 def test_jaccard_blocks_and_bounds(spark, monkeypatch):
     import random
 
