@@ -8,6 +8,7 @@ can start from any of them; a tile that fails is a row with a status, unless str
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import json
 import os
 import shutil
@@ -20,13 +21,29 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import geo
 from ..kernels import images, tiles, triangulate
-from ..operators import cloud, dsm, estimation
+from ..operators import cloud, dsm, estimation, masks
 from ..operators.tiling import tile_grid
+from ..sources import geojson
 from ..sources.images import Tiff
 
 STEPS = ("plan", "matches", "pointing", "rectification", "disparity", "points", "cloud", "dsm")
 
 
+#: Parameters that no stage reads: another value than the default is refused, not passed over.
+UNSUPPORTED = ("disp_range_method", "disp_min", "disp_max", "rectification_method", "use_srtm", "exogenous_dem", "out_geoid", "stereo_speckle_filter", "census_ncc_win", "mgm_nb_directions", "mgm_leftright_threshold", "mgm_leftright_control", "mgm_mindiff_control")
+
+
+def supported(cfg: C.Config) -> None:
+    default = {f.name: f.default for f in dataclasses.fields(C.Config)}
+    for k in UNSUPPORTED:
+        if getattr(cfg, k) != default[k]:
+            raise C.ConfigError(f"{k} is not supported")
+    for v in cfg.images:
+        for k in ("roi", "cld", "clr"):
+            if getattr(v, k):
+                raise C.ConfigError(f"{k} of an image is not supported")
+
+
 class StageFailed(RuntimeError):
     """A tile failed in a strict run."""
 
@@ -38,6 +55,7 @@ class Scene:
     images: list[np.ndarray]
     cameras: list[triangulate.Camera]
     roi: C.Roi
+    wat: np.ndarray | None = None  # of the reference: 0 where water is
 
 
 def load(spark: SparkSession, cfg: C.Config) -> Scene:
@@ -50,8 +68,23 @@ def load(spark: SparkSession, cfg: C.Config) -> Scene:
         if isinstance(rpc, str):
             rpc = json.loads(spark.read.text(rpc, wholetext=True).first()[0])
         cams.append(triangulate.Camera.of(rpc))
-    roi = cfg.roi or C.Roi(0, 0, ims[0].shape[1], ims[0].shape[0])
-    return Scene(ims, cams, roi)
+    wat = None
+    if cfg.images[0].wat:
+        wat = Tiff(bytes(spark.read.format("binaryFile").load(cfg.images[0].wat).select("content").first()[0])).read()[0]
+    roi = cfg.roi
+    if roi is None and not cfg.full_img and cfg.roi_geojson:
+        roi = polygon_roi(spark, cfg.roi_geojson, cams[0])
+    return Scene(ims, cams, roi or C.Roi(0, 0, ims[0].shape[1], ims[0].shape[0]), wat)
+
+
+def polygon_roi(spark: SparkSession, polygon: str | dict, camera: triangulate.Camera) -> C.Roi:
+    """The image box of a GeoJSON polygon (a path or a dict) at the camera's mean height."""
+    text = spark.createDataFrame([(json.dumps(polygon),)], "value string") if isinstance(polygon, dict) else spark.read.text(polygon, wholetext=True)
+    ring = text.select(geojson.ring(F.col("value"))).first()[0]
+    if not ring:
+        raise C.ConfigError("roi_geojson holds no polygon")
+    u, v = camera.project(*np.array([(p["lon"], p["lat"]) for p in ring], float).T, camera["alt_offset"])
+    return C.Roi.of({"x": u.min(), "y": v.min(), "w": u.max() - u.min(), "h": v.max() - v.min()})
 
 
 def virtual_matches(a: triangulate.Camera, b: triangulate.Camera, box: tuple[float, float, float, float], n: int, low: float, high: float) -> np.ndarray:
@@ -80,6 +113,7 @@ class Run:
     """A run over a scene; tables go to out_dir/<step>/pair=<n> as Parquet."""
 
     def __init__(self, spark: SparkSession, cfg: C.Config, scene: Scene, out_crs: int | str | None = None, strict: bool = False):
+        supported(cfg)
         self.spark, self.cfg, self.scene, self.strict = spark, cfg, scene, strict
         self.crs = out_crs or cfg.out_crs or self._local_utm()
 
@@ -99,7 +133,26 @@ class Run:
         r = self.scene.roi
         roi = self.spark.createDataFrame([(0, r.x, r.y, r.w, r.h)], "roi_id int, x int, y int, w int, h int")
         grid = tile_grid(roi, self.cfg.tile_size).withColumn("tile_id", (F.col("iy") * 100000 + F.col("ix")).cast("long"))
-        return self.save("tiles", grid)
+        valid, out = self.valid(), []
+        for t in grid.collect():  # small rows
+            if valid[max(0, t["y"]) : max(0, t["y"] + t["h"]), max(0, t["x"]) : max(0, t["x"] + t["w"])].any():
+                out.append(t)
+        if not out:
+            raise C.ConfigError("the region is totally masked")
+        return self.save("tiles", self.spark.createDataFrame(out, grid.schema))
+
+    def valid(self) -> np.ndarray:
+        """Pixels of the reference off its border and out of the water (0 in the wat raster)."""
+        h, w = self.scene.images[0].shape[:2]
+        m = self.cfg.border_margin
+        ok = np.zeros((h, w), bool)
+        ok[m : max(m, h - m), m : max(m, w - m)] = True
+        if self.scene.wat is not None:
+            wat = np.zeros((h, w), bool)
+            part = self.scene.wat[:h, :w] if self.scene.wat.ndim == 2 else self.scene.wat[:h, :w, 0]
+            wat[: part.shape[0], : part.shape[1]] = part != 0
+            ok &= wat
+        return ok
 
     def altitudes(self) -> tuple[float, float]:
         cam, k = self.scene.cameras[0], self.cfg.rpc_alt_range_scale_factor
@@ -215,6 +268,15 @@ class Run:
         if algorithm not in images.MATCHERS:
             raise ValueError(f"unknown matching algorithm {algorithm!r}")
         multiplier = self.cfg.stereo_regularity_multiplier
+        disk = masks.disk(int(self.cfg.msk_erosion)) if self.cfg.msk_erosion >= 2 else []
+
+        def eroded(mask):
+            h, w = mask.shape
+            out = mask.copy()
+            for i, j in disk:  # outside nothing is rejected
+                to, of = ((slice(max(0, -i), h - max(0, i)), slice(max(0, -j), w - max(0, j))), (slice(max(0, i), h - max(0, -i)), slice(max(0, j), w - max(0, -j))))
+                out[to] &= mask[of]
+            return out
 
         def run(batches):
             import pandas as pd
@@ -228,7 +290,7 @@ class Run:
                     except ValueError as e:
                         yield pd.DataFrame([{"tile_id": t.tile_id, "pair": t.pair, "row": None, "col": None, "d": None, "confidence": None, "status": str(e)}])
                         continue
-                    row, col = np.nonzero(mask)
+                    row, col = np.nonzero(eroded(mask))
                     yield pd.DataFrame({"tile_id": t.tile_id, "pair": t.pair, "row": row, "col": col, "d": d[row, col], "confidence": conf[row, col].astype(float), "status": "ok"})
 
         tiles.prepare(self.spark)
@@ -243,8 +305,10 @@ class Run:
         plan = {(r["tile_id"], r["pair"]): r for r in self.table("rectification").collect()}
         boxes = {t: (x, y, x + w - 1, y + h - 1) for t, (x, y, w, h) in self._boxes().items()}
         cams, pointing = self.scene.cameras, self.corrections()
+        valid = self.spark.sparkContext.broadcast(self.valid())
 
         def run(batches):
+            seen = valid.value
             for part in batches:
                 for (tile, pair), g in part.groupby(["tile_id", "pair"]):
                     p = plan[(tile, pair)]
@@ -258,6 +322,8 @@ class Run:
                     b = boxes[tile]
                     away = lambda v: np.sign(v) * np.floor(np.abs(v) + 0.5)
                     ok = (away(x1) >= b[0]) & (away(x1) <= b[2]) & (away(y1) >= b[1]) & (away(y1) <= b[3])
+                    ok &= (away(x1) >= 0) & (away(x1) < seen.shape[1]) & (away(y1) >= 0) & (away(y1) < seen.shape[0])
+                    ok[ok] = seen[away(y1[ok]).astype(int), away(x1[ok]).astype(int)]
                     if not ok.any():
                         continue
                     h, err = triangulate.heights(cams[0], cams[pair], x1[ok], y1[ok], x2[ok], y2[ok])

@@ -89,6 +89,31 @@ def test_failed_tiles_are_rows_unless_strict(spark, tmp_path):
         run.disparity()
 
 
+def test_masks_and_region_are_applied(spark, tmp_path):
+    from altiplano.plans import pipeline
+    from altiplano.sources.images import write_image
+
+    s = scene((0.0, 0.5), 12.0)
+    for i, im in enumerate(s.images):
+        write_image(str(tmp_path / f"{i}.tif"), im.astype(np.float32))
+    wat = np.ones((200, 200), np.uint8)
+    wat[:, 120:] = 0
+    write_image(str(tmp_path / "wat.tif"), wat)
+    ring = [[LON + x * STEP, LAT - y * STEP] for x, y in ((0, 0), (180, 0), (180, 100), (0, 100), (0, 0))]
+    view = lambda i, **more: {"img": str(tmp_path / f"{i}.tif"), "rpc": {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in s.cameras[i].values.items()}, **more}
+    user = {"images": [view(0, wat=str(tmp_path / "wat.tif")), view(1)], "roi_geojson": {"type": "Polygon", "coordinates": [ring]}, "out_dir": str(tmp_path / "out"), "tile_size": 60, "horizontal_margin": 20, "vertical_margin": 5, "alt_min": -10, "alt_max": 30}
+    c = config.build(user)
+    one = pipeline.load(spark, c)
+    assert abs(one.roi.x) <= 1 and abs(one.roi.y) <= 1 and abs(one.roi.w - 180) <= 2 and abs(one.roi.h - 100) <= 2
+    run = Run(spark, c, one, 32740)
+    run.run()
+    assert run.table("tiles").where("x > 100").count() == 0 and run.table("tiles").count() > 0
+    at = run.table("points").agg(F.min("row"), F.min("col"), F.max("col"), F.count("*")).first()
+    assert at[0] >= 10 and at[1] >= 10 and at[2] < 120 and at[3] > 3000
+    with pytest.raises(config.ConfigError):
+        Run(spark, config.build({**user, "use_srtm": True}), one, 32740)
+
+
 def test_growing_grid(spark, tmp_path):
     points = spark.range(3000).select((F.col("id") % 61 * 1.1).alias("x"), (F.col("id") % 47 * 0.9).alias("y"), F.cos("id").alias("z"))
     points.repartition(6).write.parquet(str(tmp_path / "in"))
