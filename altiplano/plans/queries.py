@@ -440,6 +440,38 @@ def geodesic_box(spark, sf):
     return out.select("rid", *[r(k, 7).alias(k) for k in ("lon0", "lon1", "lat0", "lat1")])
 
 
+def _all_regions(spark, sf):
+    return c.rectangles(spark, sf).withColumns({"rpc": c.rpc(_CAM), "rpc_a": c.rpc(_CAM), "rpc_b": c.rpc(_CURVED)})
+
+
+def _every(name: str) -> str:
+    """The SQL of a query on the first 200 rectangles, over all of them."""
+    return SQL[name].replace(" WHERE rid < 200", "")
+
+
+@query(_every("gcp_mesh"))
+def gcp_mesh_all(spark, sf):
+    points = altitude.ground_control_points(_all_regions(spark, sf), ["rid"], 3, F.lit(0e0), F.lit(800e0))
+    return points.groupBy("rid").agg(F.count(F.lit(1)).alias("n"), r(F.avg("lon"), 7).alias("lon"), r(F.avg("lat"), 7).alias("lat"), r(F.max("alt"), 3).alias("alt"))
+
+
+@query(_every("virtual_matches"))
+def virtual_matches_all(spark, sf):
+    m = altitude.virtual_matches(_all_regions(spark, sf), ["rid"], 3, F.lit(0e0), F.lit(800e0))
+    return m.groupBy("rid").agg(*[r(F.avg(k), 4).alias(k) for k in ("x1", "y1", "x2")], r(F.min("y2"), 4).alias("y2"))
+
+
+@query(_every("corresponding_roi"))
+def corresponding_roi_all(spark, sf):
+    return altitude.corresponding_region(_all_regions(spark, sf), ["rid"], F.lit(0e0), F.lit(800e0))
+
+
+@query(_every("geodesic_box"))
+def geodesic_box_all(spark, sf):
+    out = altitude.geodesic_box(_all_regions(spark, sf), ["rid"])
+    return out.select("rid", *[r(k, 7).alias(k) for k in ("lon0", "lon1", "lat0", "lat1")])
+
+
 # --- matching ---
 
 _DESC = "k AS (SELECT label AS tile, vec_id % 2 AS side, vec_id AS id, embedding AS e FROM embeddings), d AS (SELECT a.tile, a.id AS kp1, b.id AS kp2, round(list_sum(list_transform(list_zip(a.e, b.e), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE))), 9) AS d FROM k a JOIN k b ON a.tile = b.tile AND a.side = 0 AND b.side = 1), n AS (SELECT *, row_number() OVER (PARTITION BY kp1 ORDER BY d, kp2) AS r, lead(d) OVER (PARTITION BY kp1 ORDER BY d, kp2) AS d2 FROM d)"

@@ -49,3 +49,16 @@ def test_entry_works_without_the_training_data_operators(tmp_path):
     assert out.returncode == 0, out.stderr
     n, sql, any_op = out.stdout.split()
     assert int(n) >= 60 and int(sql) >= 58 and any_op == "False"
+
+
+@pytest.mark.parametrize("name", ["gcp_mesh_all", "virtual_matches_all", "corresponding_roi_all", "geodesic_box_all"])
+def test_regions_take_every_rectangle(spark, name):
+    sf = "/root/testdata/sf0.01"
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW part AS SELECT * FROM '{sf}/part.parquet'")
+    df = queries.QUERIES[name](spark, sf)
+    got = c.execute(queries.SQL[name])
+    at = [[d[0] for d in got.description].index(x) for x in df.columns]
+    mine = sorted(map(tuple, df.collect()))
+    assert mine == sorted(tuple(r[i] for i in at) for r in got.fetchall())
+    assert len({r[df.columns.index("rid")] for r in mine}) == c.execute("SELECT count(DISTINCT p_partkey) FROM part").fetchone()[0] > 200
