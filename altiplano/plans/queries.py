@@ -153,6 +153,12 @@ def mask_erosion(spark, sf):
     return masks.erode(m, 2)
 
 
+@query(f"WITH {c.RASTER}, s AS (SELECT max(row) + 1 AS h FROM raster) SELECT id, row >= 7 AND row < h - 7 AND col >= 7 AND col < 100 - 7 AS ok FROM raster, s")
+def border_mask_all(spark, sf):
+    p = c.raster(spark, sf)
+    return p.select("id", masks.inside_border(F.col("row"), F.col("col"), _height(p), 100, 7).alias("ok"))
+
+
 POLYGON = [(55.2, -20.9), (57.9, -20.5), (58.2, -19.3), (56.6, -19.9), (55.9, -19.1)]
 
 
@@ -605,6 +611,12 @@ def small_components(spark, sf):
     return morphology.small_components(p, 8, 20.0, block=16).select("id", "v")
 
 
+@query()
+def small_components_all(spark, sf):
+    """Over the whole raster; the recursive SQL is too slow for it, a test holds it against plain Python."""
+    return morphology.small_components(c.raster(spark, sf), 8, 20.0).select("id", "v")
+
+
 @query(f"WITH {c.RASTER} SELECT a.id, a.v IS NOT NULL AND b.v IS NOT NULL AS ok FROM raster a LEFT JOIN raster b ON b.row = a.row AND b.col = a.col + CAST(floor(a.v / 50e0) AS INT) - 2")
 def rejection_mask(spark, sf):
     """Disparity, reference and the second image at column + disparity are all there (whole disparities)."""

@@ -62,3 +62,34 @@ def test_regions_take_every_rectangle(spark, name):
     mine = sorted(map(tuple, df.collect()))
     assert mine == sorted(tuple(r[i] for i in at) for r in got.fetchall())
     assert len({r[df.columns.index("rid")] for r in mine}) == c.execute("SELECT count(DISTINCT p_partkey) FROM part").fetchone()[0] > 200
+
+
+def test_border_mask_takes_the_whole_raster(spark):
+    c = duckdb.connect()
+    c.execute("CREATE VIEW events AS SELECT * FROM '/root/testdata/sf0.1/events.parquet'")
+    got = c.execute(queries.SQL["border_mask_all"]).fetchall()
+    assert sorted(map(tuple, queries.QUERIES["border_mask_all"](spark, "/root/testdata/sf0.1").select("id", "ok").collect())) == sorted(got)
+    assert len(got) > 10_000 and any(ok for i, ok in got if i >= 10_000)
+
+
+def test_small_components_take_the_whole_raster(spark):
+    from altiplano.plans import carriers
+
+    sf = "/root/testdata/sf0.1"  # 1,000 rows: regions that cross blocks
+    v = {(r.row, r.col): r.v for r in carriers.raster(spark, sf).collect()}
+    up = {p: p for p in v}
+
+    def root(p):
+        while up[p] != p:
+            up[p] = p = up[up[p]]
+        return p
+
+    for (y, x), z in v.items():
+        for q in ((y + 1, x), (y, x + 1)):
+            if z is not None and v.get(q) is not None and abs(z - v[q]) <= 20:
+                up[root((y, x))] = root(q)
+    n = {}
+    for p in v:
+        n[root(p)] = n.get(root(p), 0) + 1
+    want = sorted((y * 100 + x, z if z is not None and n[root((y, x))] >= 8 else None) for (y, x), z in v.items())
+    assert sorted(map(tuple, queries.QUERIES["small_components_all"](spark, sf).collect())) == want
