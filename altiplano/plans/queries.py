@@ -261,6 +261,15 @@ def pointing_global_few(spark, sf):
     return out.select("pair", r(planar.m(F.col("a"), 0, 2)).alias("tx"), r(planar.m(F.col("a"), 1, 2)).alias("ty"))
 
 
+@query()
+def pointing_global_all(spark, sf):
+    """All matches, a tile a status and a quarter of the ids: the affine map of a pair's corrected centres."""
+    m = c.matches(spark, sf).withColumn("pair", F.col("match_id") % 13).withColumn("k", F.expr("match_id DIV 13 % 4"))
+    local = m.groupBy("pair", "tile", "k").agg(F.avg("x2").alias("cx"), F.avg("y2").alias("cy"), F.avg(F.col("x2") - F.col("x1")).alias("dx"), F.avg(F.col("y2") - F.col("y1")).alias("dy"))
+    out = estimation.global_pointing(local.withColumn("a", planar.translation(-F.col("dx"), -F.col("dy"))))
+    return out.select("pair", *[r(planar.m(F.col("a"), i, j)).alias(f"a{i}{j}") for i in range(2) for j in range(3)])
+
+
 def _rect(spark, sf):
     return estimation.rectified(c.matches(spark, sf), planar.matrix(*c.H1), planar.matrix(*c.H2))
 
@@ -307,6 +316,22 @@ def neighbor_matches_ellipse(spark, sf):
     return out.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("n"), r(F.avg("x1")).alias("mx1"))
 
 
+@query(f"""WITH {c.MATCHES}, m AS (SELECT *, CAST(floor(x1 / 500e0) AS INT) AS mx, CAST(floor(y1 / 100e0) AS INT) AS my FROM matches), b AS (SELECT min(mx) AS x0, max(mx) AS x1, min(my) AS y0, max(my) AS y1 FROM m),
+t AS (SELECT ix, iy, ix * 500 AS x, iy * 100 AS y, 500 AS w, 100 AS h FROM (SELECT CAST(unnest(range(x0, x1 + 1)) AS INT) AS ix FROM b), (SELECT CAST(unnest(range(y0, y1 + 1)) AS INT) AS iy FROM b)),
+o AS (SELECT i, j FROM (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j)), near AS (SELECT m.*, mx + i AS nx, my + j AS ny FROM m, o)
+SELECT t.ix, t.iy, count(*) AS n, round(avg(x1), 6) AS mx1 FROM t JOIN near ON nx = ix AND ny = iy
+WHERE (mx = ix AND my = iy) OR sqrt(((x1 - x - w / 2e0) / w) * ((x1 - x - w / 2e0) / w) + ((y1 - y - h / 2e0) / h) * ((y1 - y - h / 2e0) / h)) < 0.75e0 GROUP BY t.ix, t.iy""")
+def neighbor_matches_all(spark, sf):
+    """The tile grid is that of the matches' extent."""
+    m = c.matches(spark, sf).withColumns({"roi_id": F.lit(0), "ix": F.floor(F.col("x1") / 500e0).cast("int"), "iy": F.floor(F.col("y1") / 100e0).cast("int")})
+    over = lambda k: F.explode(F.sequence(F.col(f"{k}0"), F.col(f"{k}1"))).alias(f"i{k}")
+    box = m.agg(F.min("ix").alias("x0"), F.max("ix").alias("x1"), F.min("iy").alias("y0"), F.max("iy").alias("y1"))
+    grid = box.select(F.lit(0).alias("roi_id"), over("x"), "y0", "y1").select("roi_id", "ix", over("y"))
+    tiles = grid.withColumns({"x": F.col("ix") * 500, "y": F.col("iy") * 100, "w": F.lit(500), "h": F.lit(100)})
+    out = matching.with_neighbors(m, tiles, tiling.neighbors(tiles))
+    return out.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("n"), r(F.avg("x1")).alias("mx1"))
+
+
 @query(f"WITH {c.MATCHES} SELECT tile, count(*) AS n FROM (SELECT DISTINCT tile, floor(x1 / 50e0) AS x1, floor(y1 / 50e0) AS y1, floor(x2 / 50e0) AS x2, floor(y2 / 50e0) AS y2 FROM matches) GROUP BY tile")
 def distinct_matches(spark, sf):
     m = c.matches(spark, sf).select("tile", *[F.floor(F.col(k) / 50e0).alias(k) for k in _XY])

@@ -93,3 +93,30 @@ def test_small_components_take_the_whole_raster(spark):
         n[root(p)] = n.get(root(p), 0) + 1
     want = sorted((y * 100 + x, z if z is not None and n[root((y, x))] >= 8 else None) for (y, x), z in v.items())
     assert sorted(map(tuple, queries.QUERIES["small_components_all"](spark, sf).collect())) == want
+
+
+def test_pointing_and_neighbors_take_all_matches(spark):
+    import numpy as np
+
+    from altiplano.plans import carriers
+
+    sf = "/root/testdata/sf0.1"
+    m = carriers.matches(spark, sf).toPandas()
+    m["pair"], m["k"] = m.match_id % 13, m.match_id // 13 % 4
+    m["dx"], m["dy"] = m.x2 - m.x1, m.y2 - m.y1
+    at = m.groupby(["pair", "tile", "k"])[["x2", "y2", "dx", "dy"]].mean().reset_index()
+    got = {r.pair: r for r in queries.QUERIES["pointing_global_all"](spark, sf).collect()}
+    assert sorted(got) == sorted(at.pair.unique())
+    for pair, g in at.groupby("pair"):
+        assert len(g) >= 3
+        one = np.column_stack([g.x2, g.y2, np.ones(len(g))])
+        want = np.linalg.lstsq(one, np.column_stack([g.x2 - g.dx, g.y2 - g.dy]), rcond=None)[0].T
+        mine = np.array([[got[pair][f"a{i}{j}"] for j in range(3)] for i in range(2)])
+        assert np.abs(one @ want.T - one @ mine.T).max() < 0.02
+
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW orders AS SELECT * FROM '{sf}/orders.parquet'")
+    df = queries.QUERIES["neighbor_matches_all"](spark, sf)
+    rows = df.select("ix", "iy", "n", "mx1").collect()
+    assert sorted(map(tuple, rows)) == sorted(c.execute(queries.SQL["neighbor_matches_all"]).fetchall())
+    assert sum(r.n for r in rows) >= len(m) and max(r.ix for r in rows) > 2
