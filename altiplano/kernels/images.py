@@ -158,7 +158,7 @@ def drop_speckles(im: np.ndarray, least: int, tolerance: float = 1.0) -> np.ndar
     if least <= 1 or not len(row):
         return im
     v = im[row, col]
-    labels = label_pixels(row, col, v, np.arange(len(row)), 0, lambda i, j: abs(v[i] - v[j]) <= tolerance)
+    labels = label_pixels(row, col, np.arange(len(row)), 0, lambda i, j: np.abs(v[i] - v[j]) <= tolerance)
     size = np.bincount(labels, minlength=len(row))[labels]
     out = im.copy()
     out[row[size < least], col[size < least]] = np.nan

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import planar
 from ..functions.rpc import bind
+from .quantiles import upper_median
 
 #: Order of the variables in the moments.
 VARIABLES = ("x2", "y2", "x1", "y1")
@@ -101,19 +102,15 @@ def match_center(matches: DataFrame, keys: list[str]) -> DataFrame:
     return matches.groupBy(*keys).agg(F.avg("x2").alias("cx"), F.avg("y2").alias("cy"))
 
 
-def upper_median(v: Column) -> Column:
-    """Aggregate: the value at place n div 2 of the sorted values of a key (a tile's matches, some thousands)."""
-    ordered = F.array_sort(F.collect_list(v))
-    return F.get(ordered, F.floor(F.size(ordered) / 2).cast("int"))
-
-
 def local_pointing(matches: DataFrame, keys: list[str], f: str = "f") -> DataFrame:
     """keys, a: the translation (array of 9) that undoes the upper median error vector in the second image.
 
-    One key is a tile's matches for a pair of images, some thousands; no matches, no row.
+    No matches, no row; no key's errors are gathered in one place.
     """
     ex, ey = planar.error_vector(F.col(f), *[F.col(c) for c in ("x1", "y1", "x2", "y2")], "sec")
-    found = matches.withColumn("_ex", ex).withColumn("_ey", ey).groupBy(*keys).agg(upper_median(F.col("_ex")).alias("ex"), upper_median(F.col("_ey")).alias("ey"))
+    errors = matches.select(*keys, ex.alias("_ex"), ey.alias("_ey"))
+    x, y = upper_median(errors, "_ex", keys, "ex"), upper_median(errors, "_ey", keys, "ey")
+    found = x.join(y, keys) if keys else x.crossJoin(F.broadcast(y))
     return found.select(*keys, planar.translation(-F.col("ex"), -F.col("ey")).alias("a"))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import quantile
+
 
 def _whole(f: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
     """A reducer that is missing where any input is."""
@@ -56,18 +58,26 @@ def fuse(heights: DataFrame, offsets: DataFrame, n_pairs: int, operator: str = "
     return shifted.groupBy(*keys).agg(z.alias("z")).crossJoin(F.broadcast(level)).select(*keys, (F.col("z") + F.col("level")).alias("z"))
 
 
-def stretch_8bit(pixels: DataFrame, percent: float = 1.0, v: str = "v") -> DataFrame:
-    """pixels with `byte`: clipped to the percentiles `percent` and 100 - percent and scaled to 0..255, half to even.
+def _with(pixels: DataFrame, cut: DataFrame, keys: list[str]) -> DataFrame:
+    """pixels beside their image's row of cuts, one small row an image."""
+    if keys:
+        return pixels.join(F.broadcast(cut), keys, "left")
+    return pixels.join(F.broadcast(cut), F.lit(True), "left")
+
+
+def stretch_8bit(pixels: DataFrame, percent: float = 1.0, v: str = "v", keys: list[str] = []) -> DataFrame:
+    """pixels with `byte`: clipped to the percentiles `percent` and 100 - percent of their image (keys) and scaled to
+    0..255, half to even.
 
-    A flat image has no scale and gives null.
+    A flat image has no scale and gives null, as does a missing value.
     """
-    cut = pixels.agg(F.percentile(v, F.array(F.lit(percent / 100), F.lit(1 - percent / 100))).alias("p"))
-    low, high = F.col("p")[0], F.col("p")[1]
-    t = F.try_divide(F.least(F.greatest(F.col(v), low), high) - low, high - low)
-    return pixels.crossJoin(F.broadcast(cut)).withColumn("byte", F.when(F.col(v).isNotNull(), F.bround(255e0 * t)).cast("int")).drop("p")
+    low, high = (quantile(pixels, v, keys, p, name) for p, name in ((percent / 100, "_low"), (1 - percent / 100, "_high")))
+    cut = low.join(high, keys) if keys else low.crossJoin(F.broadcast(high))
+    t = F.try_divide(F.least(F.greatest(F.col(v), F.col("_low")), F.col("_high")) - F.col("_low"), F.col("_high") - F.col("_low"))
+    return _with(pixels, cut, keys).withColumn("byte", F.when(F.col(v).isNotNull(), F.bround(255e0 * t)).cast("int")).drop("_low", "_high")
 
 
-def reject_low(pixels: DataFrame, share: float = 0.1, v: str = "v") -> DataFrame:
-    """pixels with `accepted`: 0 below the quantile of v, else 255."""
-    cut = pixels.agg(F.percentile(v, F.lit(share)).alias("q"))
-    return pixels.crossJoin(F.broadcast(cut)).withColumn("accepted", F.when(F.col(v) < F.col("q"), 0).otherwise(255)).drop("q")
+def reject_low(pixels: DataFrame, share: float = 0.1, v: str = "v", keys: list[str] = []) -> DataFrame:
+    """pixels with `accepted`: 0 below the quantile of v in their image (keys), else 255."""
+    cut = quantile(pixels, v, keys, share, "_q")
+    return _with(pixels, cut, keys).withColumn("accepted", F.when(F.col(v) < F.col("_q"), 0).otherwise(255)).drop("_q")

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..stage import components, prepare, staged
+from ..stage import components, least_names, prepare, staged
 
 
 def window_extremum(pixels: DataFrame, radius: int, how: str, keys: list[str] = [], v: str = "v") -> DataFrame:
@@ -59,32 +59,33 @@ def local_range_outliers(pixels: DataFrame, radius: int = 2, limit: float = 5.0,
     return both.withColumn(v, F.when(F.col("_hi") - F.col("_lo") <= limit, F.col(v))).drop("_lo", "_hi")
 
 
-def label_pixels(row: np.ndarray, col: np.ndarray, value: np.ndarray, name: np.ndarray, reach: int, near) -> np.ndarray:
-    """The least name of each pixel's region within a block; pixels at most `reach` apart link where near(i, j)."""
-    order = np.lexsort((col, row))
-    at = {(r, c): i for i, (r, c) in enumerate(zip(row.tolist(), col.tolist(), strict=True))}
-    up = np.arange(len(row))
-
-    def root(i: int) -> int:
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    steps = [(a, b) for a in range(reach + 1) for b in range(-reach, reach + 1) if (a, b) > (0, 0)]
-    if reach == 0:
-        steps = [(0, 1), (1, 0)]
-    for i in order.tolist():
-        for a, b in steps:
-            j = at.get((int(row[i]) + a, int(col[i]) + b))
-            if j is not None and near(i, j):
-                x, y = root(i), root(j)
-                if x != y:
-                    up[max(x, y)] = min(x, y)
-    roots = np.array([root(i) for i in range(len(row))], np.int64)
+def label_pixels(row: np.ndarray, col: np.ndarray, name: np.ndarray, reach: int, near) -> np.ndarray:
+    """The least name of each pixel's region within a block; pixels at most `reach` apart link where near(i, j).
+
+    near takes arrays of places.  A block is a small rectangle, so neighbours are found in a padded grid of places.
+    """
+    if not len(row):
+        return np.empty(0, np.int64)
+    pad = max(reach, 1)
+    r, c = (x.astype(np.int64) - x.min() + pad for x in (row, col))
+    grid = np.full((int(r.max()) + 1 + pad, int(c.max()) + 1 + pad), -1, np.int64)
+    grid[r, c] = np.arange(len(row))
+    a, b = [], []
+    for i, j in _steps(reach):
+        other = grid[r + i, c + j]
+        one = np.flatnonzero(other >= 0)
+        ok = near(one, other[one])
+        a.append(one[ok])
+        b.append(other[one][ok])
+    root = least_names(np.concatenate(a), np.concatenate(b), len(row))
     least = np.full(len(row), np.iinfo(np.int64).max)
-    np.minimum.at(least, roots, name)
-    return least[roots]
+    np.minimum.at(least, root, name)
+    return least[root]
+
+
+def _steps(reach: int) -> list[tuple[int, int]]:
+    """Half of the neighbours of a pixel: reach 0 the right and the lower one, else of the square of that reach."""
+    return [(a, b) for a in range(reach + 1) for b in range(-reach, reach + 1) if (a, b) > (0, 0)] if reach else [(0, 1), (1, 0)]
 
 
 def regions(pixels: DataFrame, block: int, links, keys: list[str] = [], reach: int = 0, values: list[str] = ["v"]) -> DataFrame:
@@ -101,16 +102,15 @@ def regions(pixels: DataFrame, block: int, links, keys: list[str] = [], reach: i
 
     def label(part: pd.DataFrame) -> pd.DataFrame:
         v = {c: part[c].to_numpy() for c in values}
-        near = lambda i, j: bool(links({c: x[i] for c, x in v.items()}, {c: x[j] for c, x in v.items()}))
-        got = label_pixels(part["row"].to_numpy(), part["col"].to_numpy(), np.empty(0), part["id"].to_numpy(), reach, near)
+        near = lambda i, j: links({c: x[i] for c, x in v.items()}, {c: x[j] for c, x in v.items()})
+        got = label_pixels(part["row"].to_numpy(), part["col"].to_numpy(), part["id"].to_numpy(), reach, near)
         return part[cols].assign(region=got)
 
     own = staged(cut.groupBy(*keys, "_br", "_bc").applyInPandas(label, schema), "regions")
     edge = max(reach, 1)
     inside = lambda c: F.col(c) % block
     rim = own.where((inside("row") < edge) | (inside("row") >= block - edge) | (inside("col") < edge) | (inside("col") >= block - edge))
-    steps = [(a, b) for a in range(reach + 1) for b in range(-reach, reach + 1) if (a, b) > (0, 0)] if reach else [(0, 1), (1, 0)]
-    o = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in steps]))
+    o = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _steps(reach)]))
     left = rim.select(*keys, F.col("region").alias("ra"), *[F.col(c).alias(f"a_{c}") for c in values], "row", "col", o.alias("o"))
     left = left.withColumn("row", (F.col("row") + F.col("o.a")).cast(types["row"])).withColumn("col", (F.col("col") + F.col("o.b")).cast(types["col"]))
     right = rim.select(*keys, "row", "col", F.col("region").alias("rb"), *[F.col(c).alias(f"b_{c}") for c in values])
@@ -121,7 +121,7 @@ def regions(pixels: DataFrame, block: int, links, keys: list[str] = [], reach: i
 
 
 def close_values(tolerance: float, v: str = "v"):
-    return lambda a, b: abs(a[v] - b[v]) <= tolerance if not isinstance(a[v], Column) else F.abs(a[v] - b[v]) <= tolerance
+    return lambda a, b: (F.abs if isinstance(a[v], Column) else np.abs)(a[v] - b[v]) <= tolerance
 
 
 def small_components(pixels: DataFrame, least: int, tolerance: float, block: int = 256, keys: list[str] = [], v: str = "v") -> DataFrame:

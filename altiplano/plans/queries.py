@@ -140,12 +140,6 @@ def crop_fill(spark, sf):
     return tiling.crop(c.raster(spark, sf), 70, -10, 60, 40, -1.0)
 
 
-@query(f"WITH {c.RASTER} SELECT id, row >= 7 AND row < 100 - 7 AND col >= 7 AND col < 100 - 7 AS ok FROM raster WHERE row < 100")
-def border_mask(spark, sf):
-    p = c.raster(spark, sf).where("row < 100")
-    return p.select("id", masks.inside_border(F.col("row"), F.col("col"), 100, 100, 7).alias("ok"))
-
-
 @query(f"""WITH {c.RASTER}, m AS (SELECT row, col, coalesce(v < 150, true) AS ok FROM raster), o AS (SELECT i, j FROM (SELECT unnest([-2, -1, 0, 1, 2]) AS i), (SELECT unnest([-2, -1, 0, 1, 2]) AS j) WHERE i * i + j * j <= 4),
 bad AS (SELECT DISTINCT row + i AS row, col + j AS col FROM m, o WHERE NOT ok) SELECT m.row, m.col, m.ok AND bad.row IS NULL AS ok FROM m LEFT JOIN bad ON bad.row = m.row AND bad.col = m.col""")
 def mask_erosion(spark, sf):
@@ -154,7 +148,7 @@ def mask_erosion(spark, sf):
 
 
 @query(f"WITH {c.RASTER}, s AS (SELECT max(row) + 1 AS h FROM raster) SELECT id, row >= 7 AND row < h - 7 AND col >= 7 AND col < 100 - 7 AS ok FROM raster, s")
-def border_mask_all(spark, sf):
+def border_mask(spark, sf):
     p = c.raster(spark, sf)
     return p.select("id", masks.inside_border(F.col("row"), F.col("col"), _height(p), 100, 7).alias("ok"))
 
@@ -251,22 +245,26 @@ def pointing_upper_median(spark, sf):
     return out.select("tile", r(planar.m(F.col("a"), 0, 2)).alias("tx"), r(planar.m(F.col("a"), 1, 2)).alias("ty"))
 
 
-@query(f"""WITH {c.MATCHES}, t AS (SELECT match_id % 13 AS pair, tile, match_id // 13 % 4 AS k, avg(x2) AS cx, avg(y2) AS cy, avg(x2 - x1) AS dx, avg(y2 - y1) AS dy FROM matches WHERE match_id % 13 < 2 AND match_id // 13 % 4 <= match_id % 13 AND tile = 'F' GROUP BY 1, 2, 3)
+@query(f"""WITH {c.MATCHES}, t AS (SELECT match_id % 13 AS pair, match_id // 13 % (1 + match_id % 13 % 2) AS k, avg(x2) AS cx, avg(y2) AS cy, avg(x2 - x1) AS dx, avg(y2 - y1) AS dy FROM matches GROUP BY 1, 2)
 SELECT pair, round(avg(-dx), 6) AS tx, round(avg(-dy), 6) AS ty FROM t GROUP BY pair""")
 def pointing_global_few(spark, sf):
-    """One and two tiles: that correction, and the mean translation of the corrected centres."""
-    m = c.matches(spark, sf).where("match_id % 13 < 2 AND match_id DIV 13 % 4 <= match_id % 13 AND tile = 'F'")
-    local = m.groupBy((F.col("match_id") % 13).alias("pair"), "tile", F.expr("match_id DIV 13 % 4").alias("k")).agg(F.avg("x2").alias("cx"), F.avg("y2").alias("cy"), F.avg(F.col("x2") - F.col("x1")).alias("dx"), F.avg(F.col("y2") - F.col("y1")).alias("dy"))
-    out = estimation.global_pointing(local.withColumn("a", planar.translation(-F.col("dx"), -F.col("dy"))))
+    """Pairs of one tile (even) and of two (odd): that correction, and the mean translation of the corrected centres."""
+    m = c.matches(spark, sf).withColumn("pair", F.col("match_id") % 13).withColumn("k", F.expr("match_id DIV 13 % (1 + match_id % 13 % 2)"))
+    out = estimation.global_pointing(_mean_corrections(m, ["pair", "k"]))
     return out.select("pair", r(planar.m(F.col("a"), 0, 2)).alias("tx"), r(planar.m(F.col("a"), 1, 2)).alias("ty"))
 
 
+def _mean_corrections(m, keys):
+    """keys, a, cx, cy: a tile's mean displacement undone, and its centre in the second image."""
+    d = lambda k: F.avg(F.col(f"{k}2") - F.col(f"{k}1"))
+    return m.groupBy(*keys).agg(F.avg("x2").alias("cx"), F.avg("y2").alias("cy"), planar.translation(-d("x"), -d("y")).alias("a"))
+
+
 @query()
 def pointing_global_all(spark, sf):
     """All matches, a tile a status and a quarter of the ids: the affine map of a pair's corrected centres."""
     m = c.matches(spark, sf).withColumn("pair", F.col("match_id") % 13).withColumn("k", F.expr("match_id DIV 13 % 4"))
-    local = m.groupBy("pair", "tile", "k").agg(F.avg("x2").alias("cx"), F.avg("y2").alias("cy"), F.avg(F.col("x2") - F.col("x1")).alias("dx"), F.avg(F.col("y2") - F.col("y1")).alias("dy"))
-    out = estimation.global_pointing(local.withColumn("a", planar.translation(-F.col("dx"), -F.col("dy"))))
+    out = estimation.global_pointing(_mean_corrections(m, ["pair", "tile", "k"]))
     return out.select("pair", *[r(planar.m(F.col("a"), i, j)).alias(f"a{i}{j}") for i in range(2) for j in range(3)])
 
 
@@ -302,26 +300,12 @@ def disparity_range(spark, sf):
     return found.select("tile", "n", r("disp_min").alias("disp_min"), r("disp_max").alias("disp_max"), r(lo).alias("wide_min"), r(hi).alias("wide_max"))
 
 
-_TILES = "t AS (SELECT CAST(i AS INT) AS ix, CAST(j AS INT) AS iy, i * 500 AS x, j * 100 AS y, 500 AS w, 100 AS h FROM range(3) a(i), range(5) b(j))"
-
-
-@query(f"""WITH {c.MATCHES}, {_TILES}, m AS (SELECT *, CAST(floor(x1 / 500e0) AS INT) AS mx, CAST(floor(y1 / 100e0) AS INT) AS my FROM matches)
-SELECT t.ix, t.iy, count(*) AS n, round(avg(x1), 6) AS mx1 FROM t JOIN m ON abs(mx - ix) <= 1 AND abs(my - iy) <= 1 AND mx BETWEEN 0 AND 2 AND my BETWEEN 0 AND 4
-WHERE (mx = ix AND my = iy) OR sqrt(((x1 - x - w / 2e0) / w) * ((x1 - x - w / 2e0) / w) + ((y1 - y - h / 2e0) / h) * ((y1 - y - h / 2e0) / h)) < 0.75e0 GROUP BY t.ix, t.iy""")
-def neighbor_matches_ellipse(spark, sf):
-    grid = spark.range(15).select(F.lit(0).alias("roi_id"), (F.col("id") % 3).cast("int").alias("ix"), F.expr("CAST(id DIV 3 AS INT)").alias("iy"))
-    tiles = grid.withColumns({"x": F.col("ix") * 500, "y": F.col("iy") * 100, "w": F.lit(500), "h": F.lit(100)})
-    m = c.matches(spark, sf).withColumns({"roi_id": F.lit(0), "ix": F.floor(F.col("x1") / 500e0).cast("int"), "iy": F.floor(F.col("y1") / 100e0).cast("int")})
-    out = matching.with_neighbors(m, tiles, tiling.neighbors(tiles))
-    return out.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("n"), r(F.avg("x1")).alias("mx1"))
-
-
 @query(f"""WITH {c.MATCHES}, m AS (SELECT *, CAST(floor(x1 / 500e0) AS INT) AS mx, CAST(floor(y1 / 100e0) AS INT) AS my FROM matches), b AS (SELECT min(mx) AS x0, max(mx) AS x1, min(my) AS y0, max(my) AS y1 FROM m),
 t AS (SELECT ix, iy, ix * 500 AS x, iy * 100 AS y, 500 AS w, 100 AS h FROM (SELECT CAST(unnest(range(x0, x1 + 1)) AS INT) AS ix FROM b), (SELECT CAST(unnest(range(y0, y1 + 1)) AS INT) AS iy FROM b)),
 o AS (SELECT i, j FROM (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j)), near AS (SELECT m.*, mx + i AS nx, my + j AS ny FROM m, o)
 SELECT t.ix, t.iy, count(*) AS n, round(avg(x1), 6) AS mx1 FROM t JOIN near ON nx = ix AND ny = iy
 WHERE (mx = ix AND my = iy) OR sqrt(((x1 - x - w / 2e0) / w) * ((x1 - x - w / 2e0) / w) + ((y1 - y - h / 2e0) / h) * ((y1 - y - h / 2e0) / h)) < 0.75e0 GROUP BY t.ix, t.iy""")
-def neighbor_matches_all(spark, sf):
+def neighbor_matches_ellipse(spark, sf):
     """The tile grid is that of the matches' extent."""
     m = c.matches(spark, sf).withColumns({"roi_id": F.lit(0), "ix": F.floor(F.col("x1") / 500e0).cast("int"), "iy": F.floor(F.col("y1") / 100e0).cast("int")})
     over = lambda k: F.explode(F.sequence(F.col(f"{k}0"), F.col(f"{k}1"))).alias(f"i{k}")
@@ -365,10 +349,10 @@ def rpc_localization(spark, sf):
 
 
 def _regions(spark, sf):
-    return c.rectangles(spark, sf).where("rid < 200").withColumns({"rpc": c.rpc(_CAM), "rpc_a": c.rpc(_CAM), "rpc_b": c.rpc(_CURVED)})
+    return c.rectangles(spark, sf).withColumns({"rpc": c.rpc(_CAM), "rpc_a": c.rpc(_CAM), "rpc_b": c.rpc(_CURVED)})
 
 
-_MESH = f"{c.RECTANGLES}, g AS (SELECT rid, x + w / 6e0 + i * (w - w / 3e0) / 2e0 AS col, y + h / 6e0 + j * (h - h / 3e0) / 2e0 AS row, k * 400e0 AS alt FROM rectangles, range(3) a(i), range(3) b(j), range(3) d(k) WHERE rid < 200)"
+_MESH = f"{c.RECTANGLES}, g AS (SELECT rid, x + w / 6e0 + i * (w - w / 3e0) / 2e0 AS col, y + h / 6e0 + j * (h - h / 3e0) / 2e0 AS row, k * 400e0 AS alt FROM rectangles, range(3) a(i), range(3) b(j), range(3) d(k))"
 
 
 @query(f"WITH {_MESH}, p AS (SELECT rid, alt, {c.ratio_sql(_CAM, 'lon', 'col', 'row', 'alt')} AS lon, {c.ratio_sql(_CAM, 'lat', 'col', 'row', 'alt')} AS lat FROM g) SELECT rid, count(*) AS n, round(avg(lon), 7) AS lon, round(avg(lat), 7) AS lat, round(max(alt), 3) AS alt FROM p GROUP BY rid")
@@ -440,6 +424,9 @@ def crs_round_trip(spark, sf):
     return c.ground(spark, sf).select("pid", r(lon, 6).alias("lon"), r(lat, 6).alias("lat"), r(alt, 3).alias("alt"))
 
 
+_CAMERAS = (_CAM, _CURVED, c.camera(-0.25))
+
+
 def _gsd_sql(cam):
     def ecef(col):
         lon, lat = c.ratio_sql(cam, "lon", col, f"{cam['row_offset']!r}e0", "0e0"), c.ratio_sql(cam, "lat", col, f"{cam['row_offset']!r}e0", "0e0")
@@ -450,12 +437,14 @@ def _gsd_sql(cam):
     return " + ".join(f"(({a}) - ({b})) * (({a}) - ({b}))" for a, b in zip(one, two, strict=True))
 
 
-@query(f"SELECT r_regionkey, round(sqrt({_gsd_sql(_CAM)}), 3) AS gsd FROM region")
+@query("SELECT r_regionkey, round(sqrt(CASE r_regionkey % 3 " + " ".join(f"WHEN {i} THEN {_gsd_sql(cam)}" for i, cam in enumerate(_CAMERAS)) + " END), 3) AS gsd FROM region")
 def gsd(spark, sf):
-    return c.table(spark, sf, "region").select("r_regionkey", r(altitude.ground_sampling_distance(c.rpc(_CAM)), 3).alias("gsd"))
+    at = F.col("r_regionkey") % 3
+    found = F.coalesce(*[F.when(at == i, altitude.ground_sampling_distance(c.rpc(cam))) for i, cam in enumerate(_CAMERAS)])
+    return c.table(spark, sf, "region").select("r_regionkey", r(found, 3).alias("gsd"))
 
 
-_CORNERS = "c AS (SELECT rid, x + i * w::DOUBLE AS x, y + j * h::DOUBLE AS y, k * 800e0 AS alt FROM rectangles, range(2) a(i), range(2) b(j), range(2) d(k) WHERE rid < 200)"
+_CORNERS = "c AS (SELECT rid, x + i * w::DOUBLE AS x, y + j * h::DOUBLE AS y, k * 800e0 AS alt FROM rectangles, range(2) a(i), range(2) b(j), range(2) d(k))"
 
 
 @query(f"""WITH {c.RECTANGLES}, {_CORNERS}, g AS (SELECT rid, alt, {c.ratio_sql(_CAM, 'lon', 'x', 'y', 'alt')} AS lon, {c.ratio_sql(_CAM, 'lat', 'x', 'y', 'alt')} AS lat FROM c), p AS (SELECT rid, {c.ratio_sql(_CURVED, 'col', 'lon', 'lat', 'alt')} AS u, {c.ratio_sql(_CURVED, 'row', 'lon', 'lat', 'alt')} AS v FROM g)
@@ -464,45 +453,13 @@ def corresponding_roi(spark, sf):
     return altitude.corresponding_region(_regions(spark, sf), ["rid"], F.lit(0e0), F.lit(800e0))
 
 
-@query(f"""WITH {c.RECTANGLES}, c AS (SELECT rid, x + i * w::DOUBLE AS x, y + j * h::DOUBLE AS y, 1000e0 + k * 9000e0 AS alt FROM rectangles, range(2) a(i), range(2) b(j), (SELECT unnest([-1, 1]) AS k) WHERE rid < 200), g AS (SELECT rid, {c.ratio_sql(_CAM, 'lon', 'x', 'y', 'alt')} AS lon, {c.ratio_sql(_CAM, 'lat', 'x', 'y', 'alt')} AS lat FROM c)
+@query(f"""WITH {c.RECTANGLES}, c AS (SELECT rid, x + i * w::DOUBLE AS x, y + j * h::DOUBLE AS y, 1000e0 + k * 9000e0 AS alt FROM rectangles, range(2) a(i), range(2) b(j), (SELECT unnest([-1, 1]) AS k)), g AS (SELECT rid, {c.ratio_sql(_CAM, 'lon', 'x', 'y', 'alt')} AS lon, {c.ratio_sql(_CAM, 'lat', 'x', 'y', 'alt')} AS lat FROM c)
 SELECT rid, round(min(lon), 7) AS lon0, round(max(lon), 7) AS lon1, round(min(lat), 7) AS lat0, round(max(lat), 7) AS lat1 FROM g GROUP BY rid""")
 def geodesic_box(spark, sf):
     out = altitude.geodesic_box(_regions(spark, sf), ["rid"])
     return out.select("rid", *[r(k, 7).alias(k) for k in ("lon0", "lon1", "lat0", "lat1")])
 
 
-def _all_regions(spark, sf):
-    return c.rectangles(spark, sf).withColumns({"rpc": c.rpc(_CAM), "rpc_a": c.rpc(_CAM), "rpc_b": c.rpc(_CURVED)})
-
-
-def _every(name: str) -> str:
-    """The SQL of a query on the first 200 rectangles, over all of them."""
-    return SQL[name].replace(" WHERE rid < 200", "")
-
-
-@query(_every("gcp_mesh"))
-def gcp_mesh_all(spark, sf):
-    points = altitude.ground_control_points(_all_regions(spark, sf), ["rid"], 3, F.lit(0e0), F.lit(800e0))
-    return points.groupBy("rid").agg(F.count(F.lit(1)).alias("n"), r(F.avg("lon"), 7).alias("lon"), r(F.avg("lat"), 7).alias("lat"), r(F.max("alt"), 3).alias("alt"))
-
-
-@query(_every("virtual_matches"))
-def virtual_matches_all(spark, sf):
-    m = altitude.virtual_matches(_all_regions(spark, sf), ["rid"], 3, F.lit(0e0), F.lit(800e0))
-    return m.groupBy("rid").agg(*[r(F.avg(k), 4).alias(k) for k in ("x1", "y1", "x2")], r(F.min("y2"), 4).alias("y2"))
-
-
-@query(_every("corresponding_roi"))
-def corresponding_roi_all(spark, sf):
-    return altitude.corresponding_region(_all_regions(spark, sf), ["rid"], F.lit(0e0), F.lit(800e0))
-
-
-@query(_every("geodesic_box"))
-def geodesic_box_all(spark, sf):
-    out = altitude.geodesic_box(_all_regions(spark, sf), ["rid"])
-    return out.select("rid", *[r(k, 7).alias(k) for k in ("lon0", "lon1", "lat0", "lat1")])
-
-
 # --- matching ---
 
 _DESC = "k AS (SELECT label AS tile, vec_id % 2 AS side, vec_id AS id, embedding AS e FROM embeddings), d AS (SELECT a.tile, a.id AS kp1, b.id AS kp2, round(list_sum(list_transform(list_zip(a.e, b.e), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE))), 9) AS d FROM k a JOIN k b ON a.tile = b.tile AND a.side = 0 AND b.side = 1), n AS (SELECT *, row_number() OVER (PARTITION BY kp1 ORDER BY d, kp2) AS r, lead(d) OVER (PARTITION BY kp1 ORDER BY d, kp2) AS d2 FROM d)"
@@ -592,7 +549,7 @@ def neighbor_count_3d(spark, sf):
 e AS MATERIALIZED (SELECT a.id AS x, b.id AS y FROM p a JOIN p b ON b.row BETWEEN a.row - 1 AND a.row + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 AND a.id <> b.id AND {_CLOSE.format('6.25e0')}),
 ok AS (SELECT id FROM n WHERE n >= 9 UNION SELECT e.y FROM ok JOIN e ON e.x = ok.id) SELECT r.id, coalesce(n, 0) AS neighbors, r.id IN (SELECT id FROM ok) AS kept FROM raster r LEFT JOIN n ON n.id = r.id""")
 def remove_isolated(spark, sf):
-    return cloud.remove_isolated(_grid_points(spark, sf), 2.5, 2, 9, block=25).select("id", "neighbors", "kept")
+    return cloud.remove_isolated(_grid_points(spark, sf), 2.5, 2, 9).select("id", "neighbors", "kept")
 
 
 @query(f"WITH {c.RASTER} SELECT a.id, min(b.v) AS lo, max(b.v) AS hi FROM raster a JOIN raster b ON b.row BETWEEN a.row - 2 AND a.row + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2 GROUP BY a.id")
@@ -628,17 +585,10 @@ def local_range_outliers(spark, sf):
     return morphology.local_range_outliers(c.raster(spark, sf), 1, 150.0).select("id", "v")
 
 
-@query(f"""WITH RECURSIVE {c.RASTER}, e AS MATERIALIZED (SELECT a.id AS x, b.id AS y FROM raster a JOIN raster b ON abs(a.row - b.row) + abs(a.col - b.col) = 1 AND abs(a.v - b.v) <= 20e0),
-reach AS (SELECT id AS x, id AS y FROM raster WHERE v IS NOT NULL UNION SELECT reach.x, e.y FROM reach JOIN e ON e.x = reach.y), n AS (SELECT x, count(*) AS n FROM reach GROUP BY x) SELECT r.id, CASE WHEN n >= 8 THEN v END AS v FROM raster r LEFT JOIN n ON n.x = r.id WHERE r.row < 40 AND r.col < 40""".replace("FROM raster a JOIN raster b", "FROM (SELECT * FROM raster WHERE row < 40 AND col < 40) a JOIN (SELECT * FROM raster WHERE row < 40 AND col < 40) b"))
+@query(f"""WITH RECURSIVE {c.RASTER}, e AS MATERIALIZED (SELECT a.id AS x, a.id + o AS y FROM raster a, (SELECT unnest([-100, -1, 1, 100]) AS o) JOIN raster b ON b.id = a.id + o WHERE abs(a.row - b.row) + abs(a.col - b.col) = 1 AND abs(a.v - b.v) <= 20e0),
+cc(id, root) USING KEY (id) AS (SELECT id, id AS root FROM raster WHERE v IS NOT NULL UNION SELECT e.y, min(own.root) FROM cc own JOIN e ON e.x = own.id JOIN recurring.cc old ON old.id = e.y WHERE own.root < old.root GROUP BY e.y),
+n AS (SELECT root, count(*) AS n FROM cc GROUP BY root) SELECT r.id, CASE WHEN n >= 8 THEN v END AS v FROM raster r LEFT JOIN cc ON cc.id = r.id LEFT JOIN n USING (root)""")
 def small_components(spark, sf):
-    """Over the raster's first 40 x 40 window: an image crop is the operator's input here."""
-    p = c.raster(spark, sf).where("row < 40 AND col < 40")
-    return morphology.small_components(p, 8, 20.0, block=16).select("id", "v")
-
-
-@query()
-def small_components_all(spark, sf):
-    """Over the whole raster; the recursive SQL is too slow for it, a test holds it against plain Python."""
     return morphology.small_components(c.raster(spark, sf), 8, 20.0).select("id", "v")
 
 

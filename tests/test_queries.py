@@ -51,7 +51,7 @@ def test_entry_works_without_the_training_data_operators(tmp_path):
     assert int(n) >= 60 and int(sql) >= 58 and any_op == "False"
 
 
-@pytest.mark.parametrize("name", ["gcp_mesh_all", "virtual_matches_all", "corresponding_roi_all", "geodesic_box_all"])
+@pytest.mark.parametrize("name", ["gcp_mesh", "virtual_matches", "corresponding_roi", "geodesic_box"])
 def test_regions_take_every_rectangle(spark, name):
     sf = "/root/testdata/sf0.01"
     c = duckdb.connect()
@@ -67,8 +67,8 @@ def test_regions_take_every_rectangle(spark, name):
 def test_border_mask_takes_the_whole_raster(spark):
     c = duckdb.connect()
     c.execute("CREATE VIEW events AS SELECT * FROM '/root/testdata/sf0.1/events.parquet'")
-    got = c.execute(queries.SQL["border_mask_all"]).fetchall()
-    assert sorted(map(tuple, queries.QUERIES["border_mask_all"](spark, "/root/testdata/sf0.1").select("id", "ok").collect())) == sorted(got)
+    got = c.execute(queries.SQL["border_mask"]).fetchall()
+    assert sorted(map(tuple, queries.QUERIES["border_mask"](spark, "/root/testdata/sf0.1").select("id", "ok").collect())) == sorted(got)
     assert len(got) > 10_000 and any(ok for i, ok in got if i >= 10_000)
 
 
@@ -92,7 +92,7 @@ def test_small_components_take_the_whole_raster(spark):
     for p in v:
         n[root(p)] = n.get(root(p), 0) + 1
     want = sorted((y * 100 + x, z if z is not None and n[root((y, x))] >= 8 else None) for (y, x), z in v.items())
-    assert sorted(map(tuple, queries.QUERIES["small_components_all"](spark, sf).collect())) == want
+    assert sorted(map(tuple, queries.QUERIES["small_components"](spark, sf).collect())) == want
 
 
 def test_pointing_and_neighbors_take_all_matches(spark):
@@ -116,7 +116,7 @@ def test_pointing_and_neighbors_take_all_matches(spark):
 
     c = duckdb.connect()
     c.execute(f"CREATE VIEW orders AS SELECT * FROM '{sf}/orders.parquet'")
-    df = queries.QUERIES["neighbor_matches_all"](spark, sf)
+    df = queries.QUERIES["neighbor_matches_ellipse"](spark, sf)
     rows = df.select("ix", "iy", "n", "mx1").collect()
-    assert sorted(map(tuple, rows)) == sorted(c.execute(queries.SQL["neighbor_matches_all"]).fetchall())
+    assert sorted(map(tuple, rows)) == sorted(c.execute(queries.SQL["neighbor_matches_ellipse"]).fetchall())
     assert sum(r.n for r in rows) >= len(m) and max(r.ix for r in rows) > 2
