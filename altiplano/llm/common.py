@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..stage import components, join_hot, prepare, shared_dir, staged
+from ..stage import components, dropped, join_hot, prepare, shared_dir, staged
 
-__all__ = ["components", "join_hot", "prepare", "shared_dir", "staged"]
+__all__ = ["components", "dropped", "join_hot", "prepare", "shared_dir", "staged"]
 
 #: ASCII white space, as the contracts list it; the same bytes that ``bytes.split()`` splits at.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -23,13 +23,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def named(col: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + col.replace("`", "``") + "`")
+
+
 def words_col(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
 def raw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(k, b): the id (null: the least long) and the text's UTF-8 bytes (null: none), and no other column."""
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("b"))
+    return docs.select(F.coalesce(named(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(named(text_col), F.lit("")).cast("binary").alias("b"))
 
 
 def known_id(col: str = "k") -> Column:

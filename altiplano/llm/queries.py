@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_words=50)
     return out.select("doc_id", "n_lines", "n_removed", "longest_run", "lcp_lines", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
@@ -28,22 +28,28 @@ WITH lines AS (
   SELECT *, sum(w::INT) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM lines
 ), seq AS (
   SELECT doc_id, list(x ORDER BY i) AS ls FROM numbered WHERE w GROUP BY doc_id
-), sizes AS (
-  SELECT unnest([2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192]) AS n
-), windows AS (
-  SELECT doc_id, n, unnest(range(1, len(ls) - n + 2)) AS p, ls FROM seq JOIN sizes ON n <= len(ls)
+), suffixes AS (
+  SELECT doc_id, p, ls[p:] AS s FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS p FROM seq)
+), sorted AS (
+  SELECT doc_id, s, lag(s) OVER (ORDER BY s, doc_id, p) AS prev, row_number() OVER (ORDER BY s, doc_id, p) AS rk FROM suffixes
+), neighbours AS (
+  SELECT doc_id, rk, coalesce(list_position(list_transform(list_zip(s, coalesce(prev, [])), lambda x: x[1] IS DISTINCT FROM x[2]), true) - 1, len(s)) AS c FROM sorted
+), lcp AS (
+  SELECT doc_id, max(greatest(c, n)) AS lcp_lines FROM (SELECT doc_id, c, coalesce(lead(c) OVER (ORDER BY rk), 0) AS n FROM neighbours) GROUP BY doc_id
 ), later AS (
-  SELECT doc_id, n, p FROM (
-    SELECT doc_id, n, p, row_number() OVER (PARTITION BY n, array_to_string(ls[p:p + n - 1], chr(10)) ORDER BY doc_id, p) AS r FROM windows
+  SELECT doc_id, p FROM (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY s[1], s[2] ORDER BY doc_id, p) AS r FROM suffixes WHERE len(s) >= 2
+  ) WHERE r > 1
+), lone AS (
+  SELECT doc_id, p FROM (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY s[1] ORDER BY doc_id, p) AS r FROM suffixes WHERE len(regexp_extract_all(s[1], '[^\x20\x09-\x0D]+')) >= 50
   ) WHERE r > 1
 ), gone AS (
-  SELECT DISTINCT doc_id, p + o AS p FROM later, (SELECT unnest([0, 1]) AS o) WHERE n = 2
+  SELECT doc_id, p + o AS p FROM later, (SELECT unnest([0, 1]) AS o) UNION SELECT doc_id, p FROM lone
 ), islands AS (
   SELECT doc_id, max(c) AS longest_run, sum(c) AS n_removed FROM (
     SELECT doc_id, count(*) AS c FROM (SELECT doc_id, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS g FROM gone) GROUP BY doc_id, g
   ) GROUP BY doc_id
-), lcp AS (
-  SELECT doc_id, max(n) AS lcp_lines FROM later GROUP BY doc_id
 ), kept AS (
   SELECT a.doc_id, count(*) FILTER (WHERE w) AS n_lines, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE NOT (w AND g.p IS NOT NULL)), '') AS t
   FROM numbered a LEFT JOIN gone g ON g.doc_id = a.doc_id AND g.p = a.p GROUP BY a.doc_id

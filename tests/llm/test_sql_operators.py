@@ -62,10 +62,38 @@ def test_line_dedup_passes_other_columns_and_odd_ids(spark):
     got = sorted((r.doc_id or 0, r.text, r.n_removed, r.k) for r in out.collect())
     assert got == [(0, "a\nb", 0, "own k"), (1, "a\nb\nc", 0, "own k"), (2, "x\ny", 2, "own k"), (2, "x\ny", 2, "own k"), (3, " \nz", 2, "own k")]
     deep = [(i, "\n".join(f"line {j}" for j in range(37)), "en", "s", 1) for i in range(3)]
-    out = h.pandas(line_dedup.dedup_lines(h.frame(spark, deep), min_lines=4)).set_index("doc_id")
-    assert list(out.n_removed[[0, 1, 2]]) == [0, 37, 37] and out.lcp_lines[1] == 32 and out.longest_run[2] == 37
+    for least in (1, 3, 4):
+        out = h.pandas(line_dedup.dedup_lines(h.frame(spark, deep), min_lines=least)).set_index("doc_id")
+        assert list(out.n_removed[[0, 1, 2]]) == [0, 37, 37] and list(out.lcp_lines) == [37] * 3 and out.longest_run[2] == 37
     with pytest.raises(ValueError):
-        line_dedup.dedup_lines(h.frame(spark, deep), min_lines=3)
+        line_dedup.dedup_lines(h.frame(spark, deep), min_lines=0)
+
+
+def test_line_dedup_common_prefixes_and_repeated_ids(spark):
+    import random
+
+    r = random.Random(8)
+    rows = [(i % 25, "\n".join(r.choice("abcd" if i % 3 else "ab") * 2 for _ in range(r.randint(0, 40))) or None, "en", "s", 1) for i in range(40)]
+    rows += rows[:4] + [(100, "\n".join("xyz" * 30), "en", "s", 1), (101, "\n".join("xyz" * 29 + "q"), "en", "s", 1)]
+    seqs = {(k, t): t.split("\n") for k, t, *_ in rows if t}
+    at = [(d, p) for d, x in seqs.items() for p in range(len(x))]
+
+    def shared(a, b):
+        x, y = seqs[a[0]][a[1] :], seqs[b[0]][b[1] :]
+        return next((i for i, (u, v) in enumerate(zip(x, y)) if u != v), min(len(x), len(y)))
+
+    want = {}
+    for a in at:
+        want[a[0]] = max(want.get(a[0], 0), *[shared(a, b) for b in at if b != a])
+    for least in (1, 2, 3):
+        out = line_dedup.dedup_lines(h.frame(spark, rows), min_lines=least).collect()
+        assert len(out) == len(rows)
+        # the text is gone, so documents are told apart by id and number of lines
+        got = sorted((x.doc_id, x.n_lines, x.lcp_lines) for x in out)
+        assert got == sorted((k, len(t.split("\n")) if t else 0, want.get((k, t), 0)) for k, t, *_ in rows)
+        left = [x.text for x in out if x.text]
+        windows = [tuple(t.split("\n")[i : i + least]) for t in {(x.doc_id, x.text) for x in out if x.text and x.n_removed == 0} for t in [t[1]] for i in range(len(t.split("\n")) - least + 1)]
+        assert left and set(windows) <= {tuple(x[i : i + least]) for x in seqs.values() for i in range(len(x))}
 
 
 def test_line_dedup_long_single_lines(spark, tmp_path):
@@ -76,7 +104,7 @@ def test_line_dedup_long_single_lines(spark, tmp_path):
     rows += [(4, long, "en", "s", 1), (5, f"q\na\n{long}\nr", "en", "s", 1), (None, long, "en", "s", 1), (4, long, "en", "s", 1), (6, None, "en", "s", 1)]
     out = line_dedup.dedup_lines(h.clash(h.frame(spark, rows)), min_words=50)
     got = sorted((r.doc_id or 0, r.text or "", r.n_removed, r.longest_run, r.lcp_lines) for r in out.collect())
-    assert got == [(0, long, 0, 0, 0), (1, rows[0][1], 0, 0, 0), (2, f"c\n \nd\n{short}", 1, 1, 1), (3, "e", 2, 1, 1), (4, "", 1, 1, 1), (4, "", 1, 1, 1), (5, "q\nr", 2, 2, 2), (6, "", 0, 0, 0)]
+    assert got == [(0, long, 0, 0, 0), (1, rows[0][1], 0, 0, 2), (2, f"c\n \nd\n{short}", 1, 1, 1), (3, "e", 2, 1, 1), (4, "", 1, 1, 1), (4, "", 1, 1, 1), (5, "q\nr", 2, 2, 2), (6, "", 0, 0, 0)]
     kept = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, h.frame(spark, rows), "").collect()}
     assert kept == {1: rows[0][1], 2: f"c\n \nd\n{short}", 3: "e", 5: "q\nr", None: long, 6: None}
 
