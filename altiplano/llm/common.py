@@ -15,7 +15,8 @@ __all__ = ["components", "dropped", "join_hot", "prepare", "shared_dir", "staged
 
 #: ASCII white space, as the contracts list it; the same bytes that ``bytes.split()`` splits at.
 SPACE = r"[\x20\x09-\x0D]+"
-NO_ID = -(2**63)
+#: Ids below LOW stand for null ones: each such row is known by a hash of its text.
+NO_ID, LOW = -(2**63), -(2**62)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -33,12 +34,19 @@ def words_col(text: Column) -> Column:
 
 
 def raw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(k, b): the id (null: the least long) and the text's UTF-8 bytes (null: none), and no other column."""
-    return docs.select(F.coalesce(named(id_col).cast("long"), F.lit(NO_ID)).alias("k"), F.coalesce(named(text_col), F.lit("")).cast("binary").alias("b"))
+    """(k, b): the id and the text's UTF-8 bytes (null: none), and no other column.
+
+    A null id becomes a number below LOW by its text, so that rows without an id are no single hot key; rows without an
+    id and with the same text are one document.  An id that is itself below LOW raises.
+    """
+    given, text = named(id_col).cast("long"), F.coalesce(named(text_col), F.lit(""))
+    unnamed = F.lit(NO_ID) + F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1))
+    k = F.when(given.isNull(), unnamed).when(given < LOW, F.raise_error(F.lit("an id is too small")).cast("long")).otherwise(given)
+    return docs.select(k.alias("k"), text.cast("binary").alias("b"))
 
 
 def known_id(col: str = "k") -> Column:
-    return F.when(F.col(col) != NO_ID, F.col(col))
+    return F.when(F.col(col) >= LOW, F.col(col))
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
@@ -143,11 +151,21 @@ def bloom(keys: DataFrame, col: str, n: int, most: int | None = None) -> tuple[D
 
 
 def maybe_in(df: DataFrame, col: str, table: DataFrame, blocks: int, name: str) -> DataFrame:
-    """df with a boolean column: false where the key is in no row that the filter was made of (or null)."""
+    """df with a boolean column: false where the key is in no row that the filter was made of (or null).
+
+    Up to BROADCAST_BLOCKS the filter goes by broadcast.  Beyond, rows are joined by block: null keys have a place of
+    their own outside the join, and a key that many rows have is split by its block's number of rows.
+    """
     hit = F.lit(True)
-    for i, bit in enumerate(_bloom_bits(F.col(col))):
+    for i, bit in enumerate(_bloom_bits(F.col("__key"))):
         hit = hit & (F.col(f"__w{i}").bitwiseAND(bit) != 0)
     table = table.select(F.col("block").alias("__block"), *[F.col(f"w{i}").alias(f"__w{i}") for i in range(8)])
-    table = F.broadcast(table) if blocks <= BROADCAST_BLOCKS else table
-    met = df.withColumn("__at", _bloom_block(F.col(col), blocks)).join(table, F.col("__at") == F.col("__block"), "left")
-    return met.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(col).isNotNull() & F.coalesce(hit, F.lit(False))).alias(name))
+    rows = df.select(F.struct(*[named(c) for c in df.columns]).alias("__row"), named(col).alias("__key"))
+    some = rows.where("__key IS NOT NULL").withColumn("__block", _bloom_block(F.col("__key"), blocks))
+    if blocks <= BROADCAST_BLOCKS:
+        met = some.join(F.broadcast(table), "__block", "left")
+    else:
+        load = staged(some.groupBy("__block").agg(F.count(F.lit(1)).alias("__n")).join(table, "__block", "left"), "bloom-load")
+        met = join_hot(some, load, ["__block"], "__n", load.agg(F.sum("__n")).first()[0] or 0)
+    out = met.select("__row", F.coalesce(hit, F.lit(False)).alias("__hit")).unionByName(rows.where("__key IS NULL").select("__row", F.lit(False).alias("__hit")))
+    return out.select(*[F.col("__row").getField(c).alias(c) for c in df.columns], F.col("__hit").alias(name))

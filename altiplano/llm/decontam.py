@@ -8,13 +8,14 @@ an item's window; the state of that run (an ancestor by suffix links) holds the
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, known_id, raw, staged
+from .common import arrow_map, known_id, named, prepare, raw, staged
 
 #: Item words in one automaton, which bounds what is broadcast; more items take more passes over the documents.
 ITEM_WORDS = 500_000
@@ -138,7 +139,7 @@ def build(items: list[tuple[str | None, bytes]], width: int) -> Automaton:
 def automata(bench: DataFrame, width: int, item_col: str, text_col: str, max_words: int) -> Iterator[Automaton]:
     """Automata of at most about max_words item words each (one item is never cut)."""
     held, n = [], 0
-    rows = bench.select(F.col(item_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    rows = bench.select(named(item_col).cast("string"), F.coalesce(named(text_col), F.lit("")).cast("binary"))
     for item, text in rows.toLocalIterator():
         held.append((item, bytes(text)))
         n += len(fold(held[-1][1]))
@@ -163,110 +164,134 @@ def _find(automaton):
     def run(batches) -> Iterator[dict]:
         machine = automaton.value
         for batch in batches:
-            out = {"k": [], "n_words": [], "spans": [], "items": []}
+            out = {"r": [], "n_words": [], "spans": [], "items": []}
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = fold(text)
                 spans, found = machine.stream(words)
-                out["k"].append(k)
+                out["r"].append(k)
                 out["n_words"].append(len(words))
                 out["spans"].append([x for ab in merge(spans) for x in ab])
                 out["items"].append(sorted(found))
-            if out["k"]:
+            if out["r"]:
                 yield out
 
     return run
 
 
+def _passes(spark: SparkSession, machines: Iterator[Automaton], rows: DataFrame, first: DataFrame | None = None) -> Iterator[DataFrame]:
+    """Staged finds (r, n_words, spans, items) of the rows (r, b) that each automaton hits, one automaton at a time.
+
+    first: staged rows that stand for the first automaton's.
+    """
+    for n, machine in enumerate(machines):
+        if n == 0 and first is not None:
+            yield first.where(F.size("spans") > 0).select("r", "n_words", "spans", "items")
+            continue
+        shared = spark.sparkContext.broadcast(machine)
+        yield staged(arrow_map(rows.select("r", "b"), _find(shared), _FOUND).where(F.size("spans") > 0), "decontam-found")
+        shared.destroy()
+
+
+def _united(found: list[DataFrame]) -> DataFrame:
+    every = found[0]
+    for x in found[1:]:
+        every = every.unionByName(x)
+    return every
+
+
+_FOUND = "r long, n_words long, spans array<int>, items array<string>"
+
+
 def find_items(docs: DataFrame, bench: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_words: int = ITEM_WORDS) -> DataFrame:
     """id_col, n_words, n_hit, spans (flat from, to, from, to ... of hit words), items (sorted strings), by row of docs.
 
     A window is `width` consecutive words of an item, or all of a shorter one.  Items beyond max_words words take
-    another pass, whose finds are joined.  Null texts have no words; items without words are never found; those with a
-    null id are hits without a name; no items: nothing is hit.  Ids should be unique: with several passes, rows that repeat an id share their
-    finds, with one pass each row has its own.
+    another pass over the documents, whose finds are joined by row, so the result is that of one pass.  Null texts have
+    no words; items without words are never found; those with a null id are hits without a name; no items: nothing is
+    hit.  Every row has its own finds, whatever its id; a null id comes back null; other columns are not read.
     """
-    rows = raw(docs, id_col, text_col)
     spark = docs.sparkSession
-    schema = "k long, n_words long, spans array<int>, items array<string>"
-    passes = [arrow_map(rows, _find(spark.sparkContext.broadcast(a)), schema) for a in automata(bench, width, item_col, item_text_col, max_words)]
-    if not passes:
-        passes = [arrow_map(rows, _find(spark.sparkContext.broadcast(build([], width))), schema)]
-    out = passes[0]
-    if len(passes) > 1:
-        for p in passes[1:]:
-            out = out.unionByName(p)
-        out = out.groupBy("k").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        out = arrow_map(out, _joined, schema)
+    rows = raw(docs, id_col, text_col)
+    machines = automata(bench, width, item_col, item_text_col, max_words)
+    first = next(machines, None) or build([], width)
+    second = next(machines, None)
+    if second is None:
+        out = arrow_map(rows, _find(spark.sparkContext.broadcast(first)), _FOUND).withColumnRenamed("r", "k")
+    else:
+        rows = staged(rows.withColumn("r", F.monotonically_increasing_id()), "decontam-rows")
+        shared = spark.sparkContext.broadcast(first)
+        one = staged(arrow_map(rows.select("r", "b"), _find(shared), _FOUND), "decontam-found")
+        shared.destroy()
+        every = _united(list(_passes(spark, chain([first, second], machines), rows, one)))
+        every = every.groupBy("r").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        hits = arrow_map(every, _joined, _FOUND).drop("n_words")
+        none = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)
+        out = rows.select("r", "k").join(one.select("r", "n_words"), "r").join(hits, "r", "left").select("k", "n_words", none("spans", "int"), none("items", "string"))
     n_hit = F.expr("aggregate(sequence(1, size(spans), 2), 0L, (n, i) -> n + spans[i] - spans[i - 1])")
     return out.select(known_id().alias(id_col), "n_words", F.when(F.size("spans") > 0, n_hit).otherwise(F.lit(0).cast("long")).alias("n_hit"), "spans", "items")
 
 
 def _joined(batches) -> Iterator[dict]:
     for batch in batches:
-        k, n, spans, items = [c.to_pylist() for c in batch.columns]
-        if k:
-            yield {"k": k, "n_words": n, "spans": [[x for ab in merge(list(zip(s[::2], s[1::2], strict=True))) for x in ab] for s in spans], "items": items}
+        r, n, spans, items = [c.to_pylist() for c in batch.columns]
+        if r:
+            yield {"r": r, "n_words": n, "spans": [[x for ab in merge(list(zip(s[::2], s[1::2], strict=True))) for x in ab] for s in spans], "items": items}
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, width: int = 10, max_cover: float = 0.5, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_words: int = ITEM_WORDS) -> DataFrame:
     """docs with the hit spans cut from text_col, without documents of which they cover more than max_cover.
 
-    Other columns pass through.  Null texts stay null.  Cutting can bring words together that make a new window, so
-    the text is cut again until nothing is hit.  Items beyond max_words words take more passes, whose spans are joined
-    before each cut, so that the result is the same.
+    Other columns pass through under any name, and rows are judged each on their own.  Null texts stay null.  Cutting
+    can bring words together that make a new window, so the text is cut again until nothing is hit.  Items beyond
+    max_words words take more passes, whose spans are joined before each cut, so that the result is the same.
     """
     from pyspark.sql import types as T
 
-    spark = docs.sparkSession
-    machines = [spark.sparkContext.broadcast(a) for a in automata(bench, width, item_col, item_text_col, max_words)]
-    if not machines:
+    spark = prepare(docs.sparkSession)
+    machines = automata(bench, width, item_col, item_text_col, max_words)
+    first, second = next(machines, None), next(machines, None)
+    if first is None:
         return docs
-    if len(machines) > 1:
-        return _cut_by_all(docs, machines, max_cover, text_col)
+    if second is not None:
+        return _cut_by_all(docs, lambda: automata(bench, width, item_col, item_text_col, max_words), max_cover, text_col)
     keep = [c for c in docs.columns if c != text_col]
-    packed = docs.select(F.col(text_col).cast("binary").alias("__b"), F.struct(*keep).alias("__rest"))
+    packed = docs.select(named(text_col).cast("binary").alias("__b"), F.struct(*[named(c) for c in keep]).alias("__rest") if keep else F.struct(F.lit(0)).alias("__rest"))
     schema = T.StructType([T.StructField("__rest", packed.schema["__rest"].dataType), T.StructField("__b", T.BinaryType())])
-    done = packed.mapInArrow(_cutter(machines[0], max_cover), schema)
-    return done.select(*[F.col(f"__rest.`{c}`").alias(c) if c != text_col else F.col("__b").cast("string").alias(c) for c in docs.columns])
+    done = packed.mapInArrow(_cutter(spark.sparkContext.broadcast(first), max_cover), schema)
+    return done.select(*[F.col("__rest").getField(c).alias(c) if c != text_col else F.col("__b").cast("string").alias(c) for c in docs.columns])
 
 
-def _cut_by_all(docs: DataFrame, machines: list, max_cover: float, text_col: str) -> DataFrame:
+def _cut_by_all(docs: DataFrame, machines: Callable[[], Iterator[Automaton]], max_cover: float, text_col: str) -> DataFrame:
     """decontaminate() with several automata: each round cuts what any of them hits, until none does."""
-    rows = staged(docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*docs.columns).alias("__rest")), "decontam-rows")
-    text = F.col(f"__rest.`{text_col}`")
-    now, rounds = rows.where(text.isNotNull()).select(F.col("__row").alias("k"), text.cast("binary").alias("b"), F.lit(-1).cast("long").alias("total"), F.lit(0).cast("long").alias("gone")), []
+    spark = docs.sparkSession
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("r"), F.struct(*[named(c) for c in docs.columns]).alias("rest")), "decontam-rows")
+    text = F.col("rest").getField(text_col)
+    now, rounds = rows.where(text.isNotNull()).select("r", text.cast("binary").alias("b"), F.lit(-1).cast("long").alias("total"), F.lit(0).cast("long").alias("gone")), []
     while True:
-        hits = [arrow_map(now.select("k", "b"), _find(m), "k long, n_words long, spans array<int>, items array<string>").where(F.size("spans") > 0).select("k", "spans") for m in machines]
-        every = hits[0]
-        for x in hits[1:]:
-            every = every.unionByName(x)
-        every = every.groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-        done = staged(arrow_map(now.join(every, "k").select("k", "b", "total", "gone", "spans"), _cut_spans, "k long, b binary, total long, gone long"), "decontam-cut")
+        every = _united(list(_passes(spark, machines(), now))).groupBy("r").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        done = staged(arrow_map(now.join(every, "r").select("r", "b", "total", "gone", "spans"), _cut_spans, "r long, b binary, total long, gone long"), "decontam-cut")
         if done.isEmpty():
             break
         rounds.append(done.withColumn("round", F.lit(len(rounds))))
         now = done.where(F.col("gone") <= max_cover * F.col("total"))
     if not rounds:
-        return rows.select(*[F.col(f"__rest.`{c}`").alias(c) for c in docs.columns])
-    cut = rounds[0]
-    for x in rounds[1:]:
-        cut = cut.unionByName(x)
-    cut = cut.groupBy(F.col("k").alias("__row")).agg(F.max_by(F.struct("b", "total", "gone"), "round").alias("__cut"))
-    out = rows.join(cut, "__row", "left").where(F.col("__cut").isNull() | (F.col("__cut.gone") <= max_cover * F.col("__cut.total")))
-    return out.select(*[F.when(F.col("__cut").isNotNull(), F.col("__cut.b").cast("string")).otherwise(text).alias(c) if c == text_col else F.col(f"__rest.`{c}`").alias(c) for c in docs.columns])
+        return rows.select(*[F.col("rest").getField(c).alias(c) for c in docs.columns])
+    cut = _united(rounds).groupBy("r").agg(F.max_by(F.struct("b", "total", "gone"), "round").alias("cut"))
+    out = rows.join(cut, "r", "left").where(F.col("cut").isNull() | (F.col("cut.gone") <= max_cover * F.col("cut.total")))
+    return out.select(*[F.when(F.col("cut").isNotNull(), F.col("cut.b").cast("string")).otherwise(text).alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns])
 
 
 def _cut_spans(batches) -> Iterator[dict]:
     """Texts less the union of their spans; total stays the words of the first round, gone adds up."""
     for batch in batches:
-        out = {"k": [], "b": [], "total": [], "gone": []}
+        out = {"r": [], "b": [], "total": [], "gone": []}
         for k, text, total, gone, flat in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             spans = merge(list(zip(flat[::2], flat[1::2], strict=True)))
-            out["k"].append(k)
+            out["r"].append(k)
             out["b"].append(_without(text, spans))
             out["total"].append(len(fold(text)) if total < 0 else total)
             out["gone"].append(gone + sum(b - a for a, b in spans))
-        if out["k"]:
+        if out["r"]:
             yield out
 
 

@@ -8,12 +8,14 @@ overlap), so trees are built inside partitions that lose no pair: two sets above
 smallest (1 - t) * n + 1 hashes, and a partition is the documents that have one such hash.
 
 1. A pass writes size, fingerprint, vector and smallest hashes of every document.
-2. Equal sets become one (by fingerprint); only one document of them goes on.
-3. Partitions with two members or more, without repetitions, get their members' vectors, and a tree joins each.
+2. Equal sets become one, with a number of its own (by fingerprint); one document stands for each.
+3. Partitions with two members or more, without repetitions, get their members' vectors, and a tree joins each.  A
+   partition of many members is dealt out as pairs of blocks by size.
 4. The pairs that survive the bound make candidate groups, by connected components.
 5. Each group's texts meet in one task; pairs not yet connected are bounded and then counted exactly.  A large group
-   meets in blocks, each with the group's first document; what that leaves unconnected then meets every block.
-6. Components of the verified links, carried back to equal sets.
+   meets in blocks, each with the group's first document.  What that leaves unconnected meets, by pairs of blocks,
+   itself and the rest, so that no task has more than two blocks.
+6. Components of the verified links and of ids that several sets have; the smallest id of each.
 """
 
 from __future__ import annotations
@@ -21,14 +23,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BLOCKS, NO_ID, arrow_map, bloom, components, hash_words, join_hot, known_id, maybe_in, mix, raw, rolling, runs, staged
+from .common import BROADCAST_BLOCKS, NO_ID, arrow_map, bloom, components, hash_words, join_hot, known_id, maybe_in, mix, named, raw, rolling, runs, staged
 from .token_counts import squeeze, unsqueeze
 
-#: Members of one tree, and documents verified in one task; larger ones are cut into blocks.
-BLOCK = 2500
+#: Members of a partition's block, and documents of a block that is verified; two blocks meet in one task.
+LIST_BLOCK, BLOCK = 600, 1200
 GRAMS = 10_000_000
 LEAF = 32
 _POSTING = np.dtype([("h", "<u8"), ("k", "<i8"), ("n", "<i4")])
@@ -165,7 +167,7 @@ def _profiles(width: int, num: int, den: int):
         for batch in batches:
             h, ends = shingle_sets(batch.column(1).to_pylist(), width)
             ks = batch.column(0).to_pylist()
-            out = {"k": ks, "n": [], "f1": [], "f2": [], "vector": [], "prefix": []}
+            out = {"k": ks, "t": batch.column(2).to_pylist(), "n": [], "f1": [], "f2": [], "vector": [], "prefix": []}
             start = 0
             m1, m2 = mix(h), mix(h ^ np.uint64(0xA0761D6478BD642F))
             for end in ends.tolist():
@@ -227,11 +229,11 @@ def _members(num: int, den: int):
             got = got[np.lexsort((got["k"], got["n"], got["h"]))]
             a, b = runs(got["h"])
             seen: set[bytes] = set()
-            out: dict[str, list] = {"name": [], "ks": []}
+            out: dict[str, list] = {"name": [], "us": []}
             for i, j in zip(a[b - a > 1], b[b - a > 1], strict=True):
                 k, n = got["k"][i:j], got["n"][i:j]
                 size = j - i
-                blocks = [(x, min(x + BLOCK, size)) for x in range(0, size, BLOCK)]
+                blocks = [(x, min(x + LIST_BLOCK, size)) for x in range(0, size, LIST_BLOCK)]
                 for p, (a0, a1) in enumerate(blocks):
                     for b0, b1 in blocks[p + 1 :] or ([(a0, a1)] if len(blocks) == 1 else []):
                         if int(n[b0]) * num > int(n[a1 - 1]) * den:
@@ -241,14 +243,14 @@ def _members(num: int, den: int):
                         if len(ks) > 1 and name not in seen:
                             seen.add(name)
                             out["name"].append(name)
-                            out["ks"].append(ks)
+                            out["us"].append(ks)
                     if len(blocks) > 1:  # a block with itself, if no pair had it
                         ks = np.unique(k[a0:a1])
                         name = xxhash.xxh3_128_digest(ks.tobytes())
                         if len(ks) > 1 and name not in seen:
                             seen.add(name)
                             out["name"].append(name)
-                            out["ks"].append(ks)
+                            out["us"].append(ks)
             if out["name"]:
                 yield out
 
@@ -340,59 +342,86 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     Two documents link when den * shared >= num * union of their distinct n-grams of `width` words (A-Z lowered, split
     at ASCII white space).  A text of fewer words is one n-gram; null, empty and blank texts have none and link with
     nothing.  A null id comes back null with its own component null and links with nothing.  Rows that repeat an id
-    are one document: they share a component.  No rows: no rows.
+    are one document: each text links by its own set, and all share a component.  No rows: no rows.
     """
-    known = docs.where(F.col(id_col).isNotNull())
-    rows = raw(known, id_col, text_col)
-    profiles = staged(arrow_map(rows, _profiles(width, num, den), "k long, n long, f1 long, f2 long, vector binary, prefix binary"), "jaccard-profiles")
-    same = ["n", "f1", "f2"]
-    groups = staged(profiles.where("n > 0").groupBy(*same).agg(F.min("k").alias("rep"), F.count(F.lit(1)).alias("copies")), "jaccard-sets")
-    reps = groups.select(F.col("rep").alias("k"), *same)
-    one = lambda col: profiles.where("n > 0").select("k", *same, col).join(reps, ["k", *same], "left_semi")
+    known = docs.where(named(id_col).isNotNull())
+    # a document is known by its id and a hash of its text, as rows can repeat an id
+    rows = raw(known, id_col, text_col).withColumn("t", F.xxhash64("b"))
+    profiles = staged(arrow_map(rows, _profiles(width, num, den), "k long, t long, n long, f1 long, f2 long, vector binary, prefix binary"), "jaccard-profiles")
+    same, some = ["n", "f1", "f2"], profiles.where("n > 0")
+    sets = some.groupBy(*same).agg(F.min(F.struct("k", "t")).alias("f"), F.count(F.lit(1)).alias("copies"))
+    # written, so that the numbers stay the same
+    sets = staged(sets.select(*same, F.col("f.k").alias("k"), F.col("f.t").alias("t"), "copies", F.monotonically_increasing_id().alias("u")), "jaccard-sets")
+    one = lambda col: some.select("k", "t", *same, col).join(sets.select("k", "t", *same, "u"), ["k", "t", *same]).select("u", "n", col)
     total, n_sets = profiles.agg(F.sum("n"), F.count(F.lit(1))).first()
     n_buckets = int(min(1 << 20, max(16, (total or 0) * (den - num) // den // 250_000)))
-    postings = arrow_map(one("prefix").select("k", "n", "prefix"), _postings(n_buckets), "bucket int, data binary")
-    lists = arrow_map(postings.repartition("bucket").sortWithinPartitions("bucket"), _members(num, den), "name binary, ks array<long>")
-    members = lists.dropDuplicates(["name"]).select("name", F.explode("ks").alias("k"))
-    at = staged(members, "jaccard-members")
-    met = at.join(one("vector").select("k", "n", "vector").dropDuplicates(["k", "n"]), "k").select("name", "k", "n", "vector")
-    maybe = arrow_map(met.repartition("name").sortWithinPartitions("name", "k"), _bound(num, den), "a long, b long")
+    postings = arrow_map(one("prefix"), _postings(n_buckets), "bucket int, data binary")
+    lists = arrow_map(postings.repartition("bucket").sortWithinPartitions("bucket"), _members(num, den), "name binary, us array<long>")
+    members = staged(lists.dropDuplicates(["name"]).select("name", F.explode("us").alias("u")), "jaccard-members")
+    met = members.join(one("vector").dropDuplicates(["u"]), "u").select("name", "u", "n", "vector")
+    maybe = arrow_map(met.repartition("name").sortWithinPartitions("name", "u"), _bound(num, den), "a long, b long")
     candidates = components(maybe, tag="jaccard-candidates")
     # blocks by members and by n-grams, as texts can be long
-    weighed = candidates.join(groups.select(F.col("rep").alias("node"), "n"), "node")
+    weighed = candidates.join(sets.select(F.col("u").alias("node"), "n", "k", "t"), "node")
     sizes = weighed.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("size") / F.lit(BLOCK)), F.ceil(F.col("grams") / F.lit(GRAMS))).cast("int")
-    placed = staged(join_hot(candidates, staged(sizes, "jaccard-sizes"), ["root"], "size", max(1, n_sets)).select("root", "node", blocks.alias("blocks")), "jaccard-groups")
-
-    def verified(some: DataFrame, everywhere: Column) -> DataFrame:
-        """Links between documents that meet: each is in its block, and in all blocks of its group if `everywhere`."""
-        table, size = bloom(some, "node", some.count(), BROADCAST_BLOCKS)
-        near = maybe_in(rows, "k", table, size, "near").where("near")
-        texts = near.join(some, F.col("k") == F.col("node")).select("root", "k", "b", "blocks", everywhere.alias("every"))
-        at = F.when(F.col("every"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")))
-        dealt = texts.select("root", F.explode(at).alias("part"), "k", "b")
-        return arrow_map(dealt.repartition("root", "part").sortWithinPartitions("root", "part", "k"), _verify(width, num, den), "a long, b long")
-
-    # the group's first document is everywhere: what links with it, directly or by a block, is connected
-    edges = staged(verified(placed, F.col("k") == F.col("root")), "jaccard-verified")
+    placed = staged(join_hot(weighed, staged(sizes, "jaccard-sizes"), ["root"], "size", max(1, n_sets)).select("root", "node", "n", "k", "t", blocks.alias("blocks")), "jaccard-groups")
+
+    def verified(dealt: DataFrame) -> DataFrame:
+        """Links between documents (root, node, k, t, parts) that meet in one of their parts."""
+        table, size = bloom(dealt, "t", dealt.count(), BROADCAST_BLOCKS)
+        near = maybe_in(rows, "t", table, size, "near").where("near").select("k", "t", "b").dropDuplicates(["k", "t"])
+        texts = near.join(dealt, ["k", "t"]).select("root", F.explode("parts").alias("part"), "node", "b")
+        return arrow_map(texts.repartition("root", "part").sortWithinPartitions("root", "part", "node"), _verify(width, num, den), "a long, b long")
+
+    # a part is a pair of blocks; here a block with itself, and the group's first document is in all of them
+    block = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(i.alias("i"), i.alias("j")))
+    own = F.struct(block(F.col("blocks")).alias("i"), block(F.col("blocks")).alias("j"))
+    edges = staged(verified(placed.withColumn("parts", F.when(F.col("node") == F.col("root"), every).otherwise(F.array(own)))), "jaccard-verified")
     links = components(edges, tag="jaccard-links")
-    large = placed.where("blocks > 1").join(links.withColumnRenamed("root", "found"), "node", "left").select("root", "node", "blocks", (F.coalesce("found", "node") != F.col("root")).alias("other"))
+    large = placed.where("blocks > 1").join(links.withColumnRenamed("root", "found"), "node", "left").withColumn("loose", F.coalesce("found", "node") != F.col("root"))
     large = staged(large, "jaccard-large")
-    if not large.where("other").isEmpty():
-        # what is not connected with it meets every block; two that both are need not meet
-        open_ = staged(large.join(large.where("other").select("root").distinct(), "root", "left_semi"), "jaccard-open")
-        links = components(edges.unionByName(verified(open_, F.col("other"))), tag="jaccard-links")
-    linked = links.select(F.col("node").alias("rep"), "root")
-    named = staged(groups.join(linked, "rep", "left").select(*same, "copies", F.coalesce("root", "rep").alias("component_id")), "jaccard-named")
-    found = join_hot(profiles.select("k", *same), named, same, "copies", max(1, n_sets)).select("k", "n", "component_id")
-    alone = profiles.where("n = 0").select("k", "n", F.col("k").alias("component_id"))
-    lost = docs.where(F.col(id_col).isNull()).select(F.lit(NO_ID).cast("long").alias("k"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("component_id"))
-    out = found.unionByName(alone).unionByName(lost)
+    if not large.where("loose").isEmpty():
+        # what is not connected with the first document meets itself and the rest, by pairs of blocks; two that are
+        # connected need not meet
+        count = large.groupBy("root").agg(*[F.greatest(F.ceil(F.count_if(c) / F.lit(BLOCK)), F.ceil(F.sum(F.when(c, F.col("n")).otherwise(0)) / F.lit(GRAMS))).cast("int").alias(a) for a, c in (("loose_blocks", F.col("loose")), ("fast_blocks", ~F.col("loose")))], F.count(F.lit(1)).alias("size"))
+        open_ = join_hot(large, staged(count.where("loose_blocks > 0"), "jaccard-open"), ["root"], "size", max(1, n_sets))
+        upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        i = block(F.col("loose_blocks"))
+        loose = F.concat(F.transform(upto("loose_blocks"), lambda j: F.struct(F.least(i, j).alias("i"), F.greatest(i, j).alias("j"))), F.when(F.col("fast_blocks") > 0, F.transform(upto("fast_blocks"), lambda j: F.struct(i.alias("i"), (-1 - j).alias("j")))).otherwise(F.array().cast("array<struct<i:int,j:int>>")))
+        fast = F.transform(upto("loose_blocks"), lambda x: F.struct(x.alias("i"), (-1 - block(F.col("fast_blocks"))).alias("j")))
+        dealt = open_.where("loose").withColumn("parts", loose).unionByName(open_.where("NOT loose").withColumn("parts", fast))
+        edges = edges.unionByName(verified(dealt))
+    # ids that several sets have link them
+    placed_ids = join_hot(profiles.select("k", *same), sets.select(*same, "copies", "u"), same, "copies", max(1, n_sets)).select("k", "n", "u")
+    placed_ids = staged(placed_ids, "jaccard-ids")
+    shared = placed_ids.groupBy("k").agg(F.min("u").alias("a"), F.max("u").alias("z")).where("a < z").select("k", "a")
+    edges = edges.unionByName(placed_ids.join(shared, "k").where("u > a").select("a", F.col("u").alias("b")))
+    links = components(edges, tag="jaccard-links")
+    roots = sets.select("u", "k").join(links.withColumnRenamed("node", "u"), "u", "left").select("u", F.coalesce("root", "u").alias("root"), "k")
+    # the smallest id of a component, partial by task before it is joined; a large component is a hot key
+    least = staged(roots.groupBy("root").agg(F.min("k").alias("component_id"), F.count(F.lit(1)).alias("size")), "jaccard-least")
+    named_sets = join_hot(roots, least, ["root"], "size", max(1, n_sets)).select("u", "component_id")
+    copies = staged(named_sets.join(sets.select("u", "copies"), "u"), "jaccard-named")
+    found = join_hot(placed_ids, copies, ["u"], "copies", max(1, n_sets)).select("k", "n", "component_id")
+    alone = profiles.where("n = 0").select("k", "n", F.lit(None).cast("long").alias("component_id"))
+    # a blank row of an id that has a text elsewhere belongs to it
+    linked = shared_with_blank(alone, found)
+    lost = docs.where(named(id_col).isNull()).select(F.lit(NO_ID).cast("long").alias("k"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("component_id"))
+    out = found.unionByName(linked).unionByName(lost)
     return out.select(known_id().alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def shared_with_blank(blank: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows without a set (k, n, component_id), with the component of their id's other rows, else with their own."""
+    own = found.select("k", F.col("component_id").alias("c")).join(blank.select("k").distinct(), "k", "left_semi").distinct()
+    return blank.join(own, "k", "left").select("k", "n", F.coalesce("c", "k").alias("component_id"))
+
+
 def drop_near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those whose component has a smaller id; rows that repeat an id stay or go together."""
     found = near_duplicates(docs, width, num, den, id_col, text_col)
-    gone = found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    gone = found.where(F.col("component_id") != named(id_col)).select(named(id_col).alias("k")).distinct()
+    rows = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("r"), named(id_col).cast("long").alias("k"))
+    return rows.join(gone, "k", "left_anti").select(*[F.col("r").getField(c).alias(c) for c in docs.columns])

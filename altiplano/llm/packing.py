@@ -217,11 +217,12 @@ def pack(docs: DataFrame, model_file: str, size: int = 4096, end_id: int = 1, ma
     their own; no rows give none.  max_attention below size * size makes whole pieces impossible and raises.
     """
     schema = "k long, piece int, start long, length long, crc long"
-    pieces = staged(arrow_map(raw(docs, id_col, text_col), _pieces(model_file, end_id, size), schema), "pack-pieces")
+    pieces = arrow_map(raw(docs, id_col, text_col), _pieces(model_file, end_id, size), schema)
+    # the row number deals out pieces that are alike; written, so that it stays the same
+    pieces = staged(pieces.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
     tokens, n = pieces.agg(F.sum("length"), F.count(F.lit(1))).first()
     groups = int(max(1, (tokens or 0) // (size * GROUP_BINS), n // GROUP_PIECES))
-    # the checksum deals out pieces with the same (null) id; the repetition of a row is dealt with its copy
-    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("k", "piece", "crc"), F.lit(groups)).cast("int"))
+    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int")).drop("row")
     if groups == 1:
         dealt = dealt.repartition(1, "g")
     capacity = [float(size), float(max_docs or size), float(max_attention or size * size)]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, SPACE, join_hot, let, staged, words_col
+from .common import SPACE, join_hot, let, named, staged, words_col
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 8
@@ -63,13 +63,13 @@ def normal_line(line: Column) -> Column:
 
 
 def frequent_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int, max_share: float) -> DataFrame:
-    """(k, i, w): number and words of every line above the limits, by document."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    """k, t (hash of the text), i, w: number and words of every line above the limits, by document."""
+    text = F.coalesce(named(text_col), F.lit(""))
     lines = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
     worded = F.filter(lines, lambda s: s["x"].rlike(r"[^\x20\x09-\x0D]"))
-    named = F.transform(worded, lambda s: let(normal_line(s["x"]), lambda n: F.struct(s["i"].alias("i"), F.xxhash64(n).alias("a"), F.xxhash64(F.lit(7), n).alias("b"), F.size(F.split(n, " ")).alias("w"))))
-    host = F.coalesce(F.col(host_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("k"), host.alias("host"), F.xxhash64(text).alias("t"), F.explode(named).alias("s")).select("k", "host", "t", "s.i", "s.a", "s.b", "s.w")
+    hashed = F.transform(worded, lambda s: let(normal_line(s["x"]), lambda n: F.struct(s["i"].alias("i"), F.xxhash64(n).alias("a"), F.xxhash64(F.lit(7), n).alias("b"), F.size(F.split(n, " ")).alias("w"))))
+    host = F.coalesce(named(host_col).cast("string"), F.lit(""))
+    rows = docs.select(named(id_col).cast("long").alias("k"), host.alias("host"), F.xxhash64(text).alias("t"), F.explode(hashed).alias("s")).select("k", "host", "t", "s.i", "s.a", "s.b", "s.w")
     rows = staged(rows, "quality-lines")
     total = rows.count()
     hosts = docs.select(host.alias("host"), F.xxhash64(text).alias("t")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
@@ -77,33 +77,44 @@ def frequent_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, m
     by_text = rows.groupBy("host", "a", "b", "t").agg(F.count(F.lit(1)).alias("n"))
     by_line = by_text.groupBy("host", "a", "b").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n")).where(F.col("n_docs") > max_docs)
     above = staged(by_line.join(hosts, "host").where(F.col("n_docs") > max_share * F.col("host_docs")).select("host", "a", "b", "n"), "quality-frequent")
-    return join_hot(rows, above, ["host", "a", "b"], "n", total).select("k", "i", "w")
+    return join_hot(rows, above, ["host", "a", "b"], "n", total).select("k", "t", "i", "w")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = 20, max_share: float = 0.05, min_words: int = 10, min_left: float = 0.5, with_text: bool = False) -> DataFrame:
     """Every document with its counts, base_failed, n_frequent_words and kept.
 
     A line is removed where more than max_docs distinct texts of its host, and more than max_share of them, have it.
-    kept: the base holds, and at least min_words words and a share of min_left are left.  with_text: the text comes
-    back without the removed lines (null stays null), beside every other column of docs; else only the id does.
-    Null and empty texts have no words and fail the base.  A null host is a host of its own (as the empty one).  Rows that
-    repeat an id share the verdict of their lines; a null id counts its lines for nobody.  No rows: no rows.
+    kept: the base holds, and at least min_words words and a share of min_left are left.  min_words is half of the
+    base's 20: a text that the base lets through may lose half of itself to frequent lines, by either limit, no more.
+    with_text: the text comes back without the removed lines (null stays null), beside every other column of docs
+    under any name; else only the id does.
+
+    Null and empty texts have no words and fail the base.  A null host is a host of its own (as the empty one).  Rows
+    that repeat an id are judged each by their own text.  A row with a null id has its own counts, and its lines count
+    among its host's, but none is removed from it.  No rows: no rows.
     """
-    gone = frequent_lines(docs, id_col, text_col, host_col, max_docs, max_share)
-    by_doc = gone.groupBy(F.col("k").alias("__k")).agg(F.sum("w").cast("long").alias("__gone_words"), F.collect_set("i").alias("__gone_lines"))
+    gone = frequent_lines(docs, id_col, text_col, host_col, max_docs, max_share).where("k IS NOT NULL")
+    lost = gone.groupBy("k", "t").agg(F.collect_set(F.struct("i", "w")).alias("g"))
+    if not with_text:
+        lost = lost.select("k", "t", F.aggregate("g", F.lit(0).cast("long"), lambda n, s: n + s["w"]).alias("gone"))
+    else:
+        lost = lost.select("k", "t", F.aggregate("g", F.lit(0).cast("long"), lambda n, s: n + s["w"]).alias("gone"), F.transform("g", lambda s: s["i"]).alias("g"))
     added = (*COUNTS, "n_frequent_words", "base_failed", "kept")
     keep = [c for c in docs.columns if c not in added] if with_text else [id_col]
-    base = docs.select(*keep, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__k"), counts(F.col(text_col)).alias("__c")).select(*keep, "__k", "__c.*")
-    if not with_text:
-        by_doc = by_doc.drop("__gone_lines")
-    out = base.join(by_doc, "__k", "left")
-    gone_words = F.coalesce("__gone_words", F.lit(0).cast("long"))
-    # rows that repeat an id add their lines up, so no more than all words are gone
-    left = F.greatest(F.col("n_words") - gone_words, F.lit(0).cast("long"))
-    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    verdict = ~failed & (left >= min_words) & (left >= min_left * F.col("n_words"))
+    text = named(text_col)
+    rows = docs.select(F.struct(*[named(c) for c in keep]).alias("r"), named(id_col).cast("long").alias("k"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t"), *([text.alias("x")] if with_text else []), counts(text).alias("c"))
+    known = rows.where("k IS NOT NULL").join(lost, ["k", "t"], "left").drop("k", "t")
+    odd = rows.where("k IS NULL").select(*[F.lit(None).cast(known.schema[c].dataType).alias(c) if c in ("g", "gone") else F.col(c) for c in known.columns])
+    out = known.unionByName(odd)
+    n_words, gone_words = F.col("c.n_words"), F.coalesce("gone", F.lit(0).cast("long"))
+    left = n_words - gone_words
+    failed = base_failed(n_words, F.col("c.n_repeat_words"))
+    # one condition on both sides of the join: a filter on it does not go below the counts, to evaluate them again
+    verdict = F.when(failed, F.lit(False)).otherwise((left >= min_words) & (left >= min_left * n_words))
+    rest = F.lit(None)
     if with_text:
-        lines = F.split(F.col(text_col), "\n", -1)
-        rest = let(F.struct(lines.alias("x"), F.col("__gone_lines").alias("g")), lambda s: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(s["x"]) - 1), s["g"]), lambda i: F.get(s["x"], i)), "\n"))
-        out = out.withColumn(text_col, F.when(F.col("__gone_lines").isNotNull() & F.col(text_col).isNotNull(), rest).otherwise(F.col(text_col)))
-    return out.select(*keep, *COUNTS, F.least(gone_words, F.col("n_words")).alias("n_frequent_words"), failed.alias("base_failed"), verdict.alias("kept"))
+        lines = F.split(F.col("x"), "\n", -1)
+        rest = let(F.struct(lines.alias("x"), F.col("g").alias("g")), lambda s: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(s["x"]) - 1), s["g"]), lambda i: F.get(s["x"], i)), "\n"))
+        rest = F.when(F.col("g").isNotNull() & F.col("x").isNotNull(), rest).otherwise(F.col("x"))
+    own = [rest.alias(c) if with_text and c == text_col else F.col("r").getField(c).alias(c) for c in keep]
+    return out.select(*own, *[F.col("c").getField(c).alias(c) for c in COUNTS], gone_words.alias("n_frequent_words"), failed.alias("base_failed"), verdict.alias("kept"))

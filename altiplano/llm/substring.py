@@ -4,8 +4,8 @@ Pass one hashes every window into a count-min sketch: each task adds its windows
 segments), segments are merged, and a bit says which counter was reached at least twice.  Counters never underestimate,
 so a window that occurs twice has both its bits set.  Pass two looks every window up and groups only those with both
 bits, exactly, by a 96-bit hash of their words, so nothing repeated is lost.  The bits are broadcast: at most
-2 * 2**MAX_BITS bits (64 MiB) whatever the input.  Beyond some 10**9 windows the filter lets more unique windows pass;
-results stay exact.
+2 * 2**MAX_BITS bits (64 MiB) whatever the input.  Beyond some 10**9 windows the filter lets more unique windows pass,
+up to all, which the second pass then shuffles; results stay exact.
 """
 
 from __future__ import annotations
@@ -308,8 +308,9 @@ def dedup_substrings(docs: DataFrame, width: int = 20, id_col: str = "doc_id", t
 
     A window is `width` consecutive words of a document; a word is removed when a window over it has the words of one
     that starts earlier, by smaller id or by smaller start within the document.  Judged on the input.  A null text has
-    no words; null ids are one document that comes first and come back null; rows that repeat an id are that document
-    again, at the same places, so they are no copies of each other.  Texts shorter than a window lose nothing.
+    no words.  Rows with a null id come first, in the order of a hash of their texts, and come back with null.  Rows that
+    repeat an id (or have none, and the same text) are that document again, at the same places, so they are no copies
+    of each other.  Texts shorter than a window lose nothing; other columns are not read; no rows: no rows.
     """
     later, n_docs = later_windows(docs, width, id_col, text_col, max_bits)
     # by bucket, so that a document's places are in one file

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, join_hot, maybe_in, staged
+from .common import bloom, join_hot, maybe_in, named, staged
 from .quality import LOWER, UPPER
 
 TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
@@ -54,15 +54,19 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]]
     allowed.  A null URL and one without :// have an empty host and path, no rule and are allowed.  One row comes back
     for each row of pages, repeated ids and all; other columns are not read.
     """
-    known = staged(listed.select(canonical(F.col(listed_col)).alias("c")).where("c IS NOT NULL").distinct(), "urls-listed")
+    known = staged(listed.select(canonical(named(listed_col)).alias("c")).where("c IS NOT NULL").distinct(), "urls-listed")
     table, blocks = bloom(known, "c", known.count())
-    host, path, _ = parts(F.col(url_col))
-    seen = pages.select(F.col(id_col), host.alias("host"), path.alias("path"), canonical(F.col(url_col)).alias("c"))
-    seen = seen.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)).select(id_col, "host", "path", "c", "r.rule", F.col("r.verdict").alias("ruled"))
-    looked = maybe_in(seen, "c", table, blocks, "hit").select(id_col, "host", "path", "rule", "ruled", "c", (F.col("hit") & F.col("ruled").isNull()).alias("maybe"))
-    looked = staged(looked, "urls-looked")
-    plain = looked.where("NOT maybe").select(id_col, "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"))
+    url = named(url_col)
+    host, path, _ = parts(url)
+    seen = pages.select(named(id_col).alias("k"), host.alias("host"), path.alias("path"), canonical(url).alias("c"), rule_of(host, path, rules).alias("r"))
+    seen = seen.select("k", "host", "path", "c", F.col("r.rule").alias("rule"), F.col("r.verdict").alias("ruled"))
+    # only URLs without a rule are looked up; those that are null have no key and stay out of every join
+    open_ = seen.where("ruled IS NULL AND c IS NOT NULL")
+    settled = seen.where("NOT (ruled IS NULL AND c IS NOT NULL)").select("k", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"))
+    looked = staged(maybe_in(open_, "c", table, blocks, "maybe").select("k", "host", "path", "rule", "c", "maybe"), "urls-looked")
+    clear = looked.where("NOT maybe").select("k", "host", "path", "rule", F.lit("allow").alias("verdict"))
     maybe = looked.where("maybe")
     sure = maybe.groupBy("c").agg(F.count(F.lit(1)).alias("n")).join(known.withColumn("in_list", F.lit(True)), "c", "left")
     exact = join_hot(maybe, staged(sure, "urls-sure"), ["c"], "n", maybe.count())
-    return plain.unionByName(exact.select(id_col, "host", "path", "rule", F.when(F.col("in_list"), "block").otherwise("allow").alias("verdict")))
+    exact = exact.select("k", "host", "path", "rule", F.when(F.col("in_list"), "block").otherwise("allow").alias("verdict"))
+    return settled.unionByName(clear).unionByName(exact).withColumnRenamed("k", id_col)

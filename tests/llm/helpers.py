@@ -91,7 +91,7 @@ def clash(df):
     """Extra columns under names that operators use inside."""
     from pyspark.sql import functions as F
 
-    for c in ("k", "b", "n", "t", "host", "starts", "n_words", "n_lines", "kept", "component_id", "block", "rest"):
+    for c in ("k", "b", "n", "t", "host", "starts", "n_words", "n_lines", "kept", "component_id", "block", "rest", "__k", "__starts", "__gone", "__lcp", "__rest", "r", "x", "a.b"):
         df = df.withColumn(c, F.lit(f"own {c}"))
     return df
 
