@@ -344,3 +344,18 @@ def ransac_fundamental(m: np.ndarray, seed: int, trials: int = 1000, limit: floa
         if ok.sum() > best.sum():
             best = ok
     return best
+
+
+def inside_rings(rings: list[list[tuple[float, float]]], height: int, width: int) -> np.ndarray:
+    """Whether each pixel's centre (whole coordinates) is inside an odd number of rings, row by row."""
+    edges = [(a, b) for ring in rings for a, b in zip(ring, [*ring[1:], ring[0]], strict=True) if a[1] != b[1]]
+    out = np.zeros((height, width), bool)
+    if not edges:
+        return out
+    (x1, y1), (x2, y2) = (np.array([e[i] for e in edges], float).T for i in (0, 1))
+    cols = np.arange(width)
+    for row in range(height):
+        cut = (y1 <= row) != (y2 <= row)
+        at = np.sort(x1[cut] + (row - y1[cut]) * (x2[cut] - x1[cut]) / (y2[cut] - y1[cut]))
+        out[row] = np.searchsorted(at, cols, side="right") % 2 == 1
+    return out

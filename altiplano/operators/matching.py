@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -17,20 +15,35 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.round(F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0e0), lambda s, x: s + x), 9)
 
 
-def _blocks(pdf: pd.DataFrame, other: pd.DataFrame, k: int, gate: float | None, f: tuple | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For blocks of rows, their k nearest of other by (rounded squared distance, id)."""
-    b, ids = np.stack(other["desc"].to_numpy()).astype(np.float64), other["kp_id"].to_numpy()
-    by_id = np.argsort(ids, kind="stable")
-    b, ids, other = b[by_id], ids[by_id], other.iloc[by_id]
-    for at in range(0, len(pdf), 256):
-        part = pdf.iloc[at : at + 256]
-        a = np.stack(part["desc"].to_numpy()).astype(np.float64)
-        d = np.round(((a[:, None, :] - b[None, :, :]) ** 2).sum(2), 9)
+#: Keypoints of a side that meet in one task; larger keys are dealt out as pairs of parts.
+PART = 4000
+
+
+def _nearest(a: np.ndarray, b: np.ndarray, xy: tuple, gate: float | None, f: tuple | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and rounded squared distances of the two nearest of b (sorted by id) for each of a; inf where there is none.
+
+    A matrix product gives approximate distances; what lies within its error of the second nearest is then computed
+    exactly, so that ties go by id.
+    """
+    near, far = (np.full((len(a), 2), x) for x in (0, np.inf))
+    for at in range(0, len(a), 256):
+        part = a[at : at + 256]
+        rough = np.maximum((part**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * part @ b.T, 0)
         if gate is not None and f is not None:
-            r = np.abs(f[0] * other["x"].to_numpy()[None] + f[1] * other["y"].to_numpy()[None] + f[2] * part["x"].to_numpy()[:, None] + f[3] * part["y"].to_numpy()[:, None] + f[4])
-            d[np.maximum(r / np.hypot(f[0], f[1]), r / np.hypot(f[2], f[3])) > gate] = np.inf
-        order = np.argsort(d, axis=1, kind="stable")[:, :k]
-        yield at, order, np.take_along_axis(d, order, 1)
+            (xa, ya), (xb, yb) = (xy[0][0][at : at + 256], xy[0][1][at : at + 256]), xy[1]
+            r = np.abs(f[0] * xb[None] + f[1] * yb[None] + f[2] * xa[:, None] + f[3] * ya[:, None] + f[4])
+            rough[np.maximum(r / np.hypot(f[0], f[1]), r / np.hypot(f[2], f[3])) > gate] = np.inf
+        second = np.partition(rough, 1, axis=1)[:, 1] if rough.shape[1] > 1 else rough[:, 0]
+        error = 1e-8 + 1e-12 * ((part**2).sum(1) + (b**2).sum(1).max())
+        i, j = np.nonzero((rough <= (second + error)[:, None]) & np.isfinite(rough))
+        exact = np.round(((part[i] - b[j]) ** 2).sum(1), 9)
+        order = np.lexsort((j, exact, i))
+        i, j, exact = i[order], j[order], exact[order]
+        first = np.searchsorted(i, np.arange(len(part)))
+        for k in (0, 1):
+            ok = np.flatnonzero((first + k < len(i)) & (i[np.minimum(first + k, max(len(i) - 1, 0))] == np.arange(len(part)))) if len(i) else np.empty(0, int)
+            near[at + ok, k], far[at + ok, k] = j[first[ok] + k], exact[first[ok] + k]
+    return near, far
 
 
 def match(first: DataFrame, second: DataFrame, keys: list[str], threshold: float = 0.6, relative: bool = True, gate: float | None = None, f: tuple | None = None) -> DataFrame:
@@ -38,36 +51,38 @@ def match(first: DataFrame, second: DataFrame, keys: list[str], threshold: float
 
     first, second: keys, kp_id, desc and, for the epipolar gate (largest distance of a match to its lines, under the
     five entries f), x and y.  relative: the distance is under `threshold` times the second nearest's; a lone
-    candidate has none and is not matched.  Else: the distance is under `threshold`.  One key's keypoints (a tile's)
-    meet in one task, in blocks of 256 rows.
+    candidate has none and is not matched.  Else: the distance is under `threshold`.  Both sides of a key are cut into
+    parts by a hash, of about PART keypoints; pairs of parts meet in a task, which gives the two nearest of each
+    keypoint, and the nearest of these are the key's.
     """
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out = {k: [] for k in [*keys, "kp1", "kp2", "d1"]}
-        if len(a) and len(b):
-            ids = np.sort(b["kp_id"].to_numpy())
-            for at, order, d in _blocks(a, b, 2, gate, f):
-                near = np.sqrt(d[:, 0])
-                ok = np.isfinite(near)
-                if relative:
-                    ok &= (near < threshold * np.sqrt(d[:, 1])) & np.isfinite(d[:, 1]) if d.shape[1] > 1 else False
-                else:
-                    ok &= near < threshold
-                for i in np.flatnonzero(ok):
-                    row = a.iloc[at + i]
-                    for k in keys:
-                        out[k].append(row[k])
-                    out["kp1"].append(row["kp_id"])
-                    out["kp2"].append(ids[order[i, 0]])
-                    out["d1"].append(near[i])
-        return pd.DataFrame(out)
+        if not len(a) or not len(b):
+            return pd.DataFrame({k: [] for k in [*keys, "kp1", "d", "kp2"]})
+        b = b.sort_values("kp_id", kind="stable")
+        left, right = (np.stack(x["desc"].to_numpy()).astype(np.float64) for x in (a, b))
+        xy = tuple((x["x"].to_numpy(), x["y"].to_numpy()) for x in (a, b)) if gate is not None else None
+        near, d = _nearest(left, right, xy, gate, f)
+        i, k = np.nonzero(np.isfinite(d))
+        return a[keys].iloc[i].assign(kp1=a["kp_id"].to_numpy()[i], d=d[i, k], kp2=b["kp_id"].to_numpy()[near[i, k]])
 
     types = dict(first.dtypes)
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "kp1 long", "kp2 long", "d1 double"])
+    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "kp1 long", "d double", "kp2 long"])
     cols = [*keys, "kp_id", "desc", *(["x", "y"] if gate is not None else [])]
     # fresh attributes, as both sides may come from one table
     left, right = (df.select(*[F.col(k).alias(k) for k in cols]) for df in (first, second.select([F.col(k).alias(f"_{k}") for k in cols]).toDF(*cols)))
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
+    parts = [df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(PART)).cast("int").alias(n)) for df, n in ((left, "_n1"), (right, "_n2"))]
+    counts = parts[0].join(parts[1], keys) if keys else parts[0].crossJoin(F.broadcast(parts[1]))
+    held = (lambda df: df.join(counts, keys)) if keys else (lambda df: df.crossJoin(F.broadcast(counts)))
+    own = lambda n: F.pmod(F.xxhash64("kp_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = held(left).withColumn("_i", own("_n1")).withColumn("_j", every("_n2")).drop("_n1", "_n2")
+    right = held(right).withColumn("_j", own("_n2")).withColumn("_i", every("_n1")).drop("_n1", "_n2")
+    met = left.groupBy(*keys, "_i", "_j").cogroup(right.groupBy(*keys, "_i", "_j")).applyInPandas(run, schema)
+    two = F.slice(F.array_sort(F.collect_list(F.struct("d", "kp2"))), 1, 2)
+    best = met.groupBy(*keys, "kp1").agg(two.alias("two")).select(*keys, "kp1", F.col("two")[0]["kp2"].alias("kp2"), F.sqrt(F.col("two")[0]["d"]).alias("d1"), F.sqrt(F.get("two", F.lit(1))["d"]).alias("d2"))
+    ok = (F.col("d1") < threshold * F.col("d2")) if relative else (F.col("d1") < threshold)
+    return best.where(ok).select(*keys, "kp1", "kp2", "d1")
 
 
 def epipolar_filter(matches: DataFrame, threshold: float, f: str = "f") -> DataFrame:

@@ -34,21 +34,36 @@ def _mirrored(pixels: DataFrame, radius: int, height: int, width: int) -> DataFr
     return pixels.withColumn("row", F.explode(places(row, height))).withColumn("col", F.explode(places(col, width)))
 
 
-def window_statistic(pixels: DataFrame, radius: int, how: str, height: int, width: int, keys: list[str] = [], v: str = "v") -> DataFrame:
-    """keys, row, col, v of the median, average or rank over the square window with mirrored borders; nulls ignored.
+#: Structuring elements by name: the offsets (row, col) of a radius that they hold.
+ELEMENTS = {
+    "square": lambda i, j, r: True,
+    "disk": lambda i, j, r: i * i + j * j <= r * r,
+    "cross": lambda i, j, r: i == 0 or j == 0,
+}
 
-    rank: how many values of the window are below the centre's; null for a null centre.  Every pixel is sent to the
-    windows that it is in, so the extra rows are the window's size times the pixels'.
+
+def window_statistic(pixels: DataFrame, radius: int, how: str, height: int, width: int, keys: list[str] = [], v: str = "v", element: str = "square", seed: int = 0) -> DataFrame:
+    """keys, row, col, v of the min, max, median, average, random or rank over the structuring element with mirrored
+    borders; nulls are ignored, and a window of nulls gives null.
+
+    rank: how many values of the window are below the centre's; null for a null centre.  random: the value whose place
+    has the least hash under the seed, the same at every run.  Every pixel is sent to the windows that it is in, so the
+    extra rows are the element's size times the pixels'.
     """
-    r = F.sequence(F.lit(-radius), F.lit(radius))
-    spread = _mirrored(pixels.select(*keys, "row", "col", F.col(v).alias("u")), radius, height, width)
-    for c, n in (("row", height), ("col", width)):
-        spread = spread.withColumn("_o", F.explode(r)).withColumn(c, F.col(c) + F.col("_o")).where(F.col(c).between(0, n - 1)).drop("_o")
+    if how not in ("min", "max", "median", "average", "random", "rank"):
+        raise ValueError(f"unknown statistic {how!r}")
+    r = range(-radius, radius + 1)
+    held = [(i, j) for i in r for j in r if ELEMENTS[element](i, j, radius)]
+    o = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in held]))
+    spread = _mirrored(pixels.select(*keys, "row", "col", F.col(v).alias("u")), radius, height, width).withColumn("_o", o)
+    # a pixel is at an offset of the window that lies the other way
+    spread = spread.withColumn("_at", F.xxhash64(F.lit(seed), "row", "col", "_o")).withColumn("row", F.col("row") - F.col("_o.i")).withColumn("col", F.col("col") - F.col("_o.j"))
+    spread = spread.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
     if how == "rank":
         both = spread.join(pixels.select(*keys, "row", "col", F.col(v).alias("c")), [*keys, "row", "col"])
         return both.groupBy(*keys, "row", "col").agg(F.when(F.first("c").isNotNull(), F.count_if(F.col("u") < F.col("c"))).cast("double").alias(v))
-    f = {"median": F.median, "average": F.avg}[how]
-    return spread.groupBy(*keys, "row", "col").agg(f("u").alias(v))
+    value = {"min": F.min("u"), "max": F.max("u"), "median": F.median("u"), "average": F.avg("u"), "random": F.min_by("u", F.when(F.col("u").isNotNull(), F.col("_at")))}[how]
+    return spread.groupBy(*keys, "row", "col").agg(value.alias(v))
 
 
 def local_range_outliers(pixels: DataFrame, radius: int = 2, limit: float = 5.0, keys: list[str] = [], v: str = "v") -> DataFrame:

@@ -19,18 +19,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import geo
+from ..functions import geo, planar
 from ..kernels import images, tiles, triangulate
-from ..operators import cloud, dsm, estimation, masks
-from ..operators.tiling import tile_grid
-from ..sources import geojson
-from ..sources.images import Tiff
+from ..operators import cloud, dsm, estimation, masks, matching, morphology
+from ..operators.tiling import neighbors, tile_grid
+from ..sources import geojson, gml, ply, rpcfile
+from ..sources.images import Tiff, write_image
+from ..stage import release
 
-STEPS = ("plan", "matches", "pointing", "rectification", "disparity", "points", "cloud", "dsm")
+STEPS = ("plan", "matches", "pointing", "rectification", "disparity", "points", "cloud", "dsm", "products")
 
 
 #: Parameters that no stage reads: another value than the default is refused, not passed over.
-UNSUPPORTED = ("disp_range_method", "disp_min", "disp_max", "rectification_method", "use_srtm", "exogenous_dem", "out_geoid", "stereo_speckle_filter", "census_ncc_win", "mgm_nb_directions", "mgm_leftright_threshold", "mgm_leftright_control", "mgm_mindiff_control")
+UNSUPPORTED = ("rectification_method", "use_srtm", "exogenous_dem", "out_geoid", "stereo_speckle_filter", "census_ncc_win", "mgm_nb_directions", "mgm_leftright_threshold", "mgm_leftright_control", "mgm_mindiff_control")
 
 
 def supported(cfg: C.Config) -> None:
@@ -39,9 +40,12 @@ def supported(cfg: C.Config) -> None:
         if getattr(cfg, k) != default[k]:
             raise C.ConfigError(f"{k} is not supported")
     for v in cfg.images:
-        for k in ("roi", "cld", "clr"):
-            if getattr(v, k):
-                raise C.ConfigError(f"{k} of an image is not supported")
+        if v.clr:
+            raise C.ConfigError("clr of an image is not supported")
+    if cfg.disp_range_method == "fixed_pixel_range" and (cfg.disp_min is None or cfg.disp_max is None):
+        raise C.ConfigError("fixed_pixel_range needs disp_min and disp_max")
+    if cfg.disp_range_method == "fixed_altitude_range" and (cfg.alt_min is None or cfg.alt_max is None):
+        raise C.ConfigError("fixed_altitude_range needs alt_min and alt_max")
 
 
 class StageFailed(RuntimeError):
@@ -56,25 +60,49 @@ class Scene:
     cameras: list[triangulate.Camera]
     roi: C.Roi
     wat: np.ndarray | None = None  # of the reference: 0 where water is
+    inside: list | None = None  # rings of its domain, and of its clouds
+    clouds: list | None = None
+
+
+def camera_of(spark: SparkSession, rpc: dict | str | None, image: Tiff) -> triangulate.Camera:
+    """From a dict, a file (JSON, text tags, or one of the XML layouts), or the image's own tags."""
+    if rpc is None:
+        rpc = image.camera()
+        if rpc is None:
+            raise C.ConfigError("an image without rpc has no camera in its tags")
+    if isinstance(rpc, str):
+        files = rpcfile.read_files(spark, rpc)
+        kind, content = files.select("kind", "content").first()
+        if kind is None:
+            try:
+                rpc = json.loads(content)
+            except ValueError as e:
+                raise C.ConfigError(f"no camera in {rpc}") from e
+        else:
+            parse = {"text": rpcfile.parse_text, "worldview": rpcfile.parse_worldview, "pleiades": rpcfile.parse_pleiades}[kind]
+            rpc = parse(files).first()["rpc"].asDict()
+    missing = [k for k in (*triangulate.ARRAYS, "col_offset", "row_offset", "alt_offset") if rpc.get(k) is None]
+    if missing:
+        raise C.ConfigError(f"the camera has no {missing[0]}")
+    # projection-only files say nothing of the scales of the direct model that they lack
+    return triangulate.Camera.of(rpc)
 
 
 def load(spark: SparkSession, cfg: C.Config) -> Scene:
-    """Images by Spark's reader and cameras from dicts or JSON files."""
+    """Images by Spark's reader, their cameras, and the reference's masks (a raster of water, polygons of the others)."""
+    read = lambda path: Tiff(bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]))
+    polygons = lambda path: [[(p["x"], p["y"]) for p in ring] for ring in spark.read.text(path, wholetext=True).select(gml.rings(F.col("value"))).first()[0]] if path else None
     ims, cams = [], []
     for v in cfg.images:
-        data = spark.read.format("binaryFile").load(v.img).select("content").first()[0]
-        ims.append(Tiff(bytes(data)).read()[0])
-        rpc = v.rpc
-        if isinstance(rpc, str):
-            rpc = json.loads(spark.read.text(rpc, wholetext=True).first()[0])
-        cams.append(triangulate.Camera.of(rpc))
-    wat = None
-    if cfg.images[0].wat:
-        wat = Tiff(bytes(spark.read.format("binaryFile").load(cfg.images[0].wat).select("content").first()[0])).read()[0]
+        image = read(v.img)
+        ims.append(image.read()[0])
+        cams.append(camera_of(spark, v.rpc, image))
+    ref = cfg.images[0]
+    wat = read(ref.wat).read()[0] if ref.wat else None
     roi = cfg.roi
     if roi is None and not cfg.full_img and cfg.roi_geojson:
         roi = polygon_roi(spark, cfg.roi_geojson, cams[0])
-    return Scene(ims, cams, roi or C.Roi(0, 0, ims[0].shape[1], ims[0].shape[0]), wat)
+    return Scene(ims, cams, roi or C.Roi(0, 0, ims[0].shape[1], ims[0].shape[0]), wat, polygons(ref.roi), polygons(ref.cld))
 
 
 def polygon_roi(spark: SparkSession, polygon: str | dict, camera: triangulate.Camera) -> C.Roi:
@@ -142,11 +170,15 @@ class Run:
         return self.save("tiles", self.spark.createDataFrame(out, grid.schema))
 
     def valid(self) -> np.ndarray:
-        """Pixels of the reference off its border and out of the water (0 in the wat raster)."""
+        """Pixels of the reference off its border, in its domain, and out of its clouds and water (0 in the wat raster)."""
         h, w = self.scene.images[0].shape[:2]
         m = self.cfg.border_margin
         ok = np.zeros((h, w), bool)
         ok[m : max(m, h - m), m : max(m, w - m)] = True
+        if self.scene.inside is not None:
+            ok &= images.inside_rings(self.scene.inside, h, w)
+        if self.scene.clouds is not None:
+            ok &= ~images.inside_rings(self.scene.clouds, h, w)
         if self.scene.wat is not None:
             wat = np.zeros((h, w), bool)
             part = self.scene.wat[:h, :w] if self.scene.wat.ndim == 2 else self.scene.wat[:h, :w, 0]
@@ -228,7 +260,12 @@ class Run:
         return {r["pair"]: list(r["a"]) for r in self.table("pointing").collect()}
 
     def rectification(self) -> DataFrame:
-        """tile_id, pair, h1, h2, disp_min, disp_max, width, height: one small row for each tile and pair."""
+        """tile_id, pair, h1, h2, disp_min, disp_max, width, height: one small row for each tile and pair.
+
+        The homographies come from the cameras' virtual matches, the range by the method: that of the altitudes
+        (exogenous, fixed_altitude_range), that of the tile's and its neighbours' matches (sift), the wider of both
+        (the default), or the given one.
+        """
         pointing = self.corrections()
         rows, low_high = [], self.altitudes()
         a = self.scene.cameras[0]
@@ -239,7 +276,8 @@ class Run:
                 m[:, 2:] = (np.column_stack([m[:, 2:], np.ones(len(m))]) @ undo.T)[:, :2]
                 if len(m) < 4:
                     raise estimation.NotEnoughMatches(f"{len(m)} matches")
-                h1, h2 = rectify(images.affine_fundamental(m), box)
+                f = images.affine_fundamental(m)
+                h1, h2 = rectify(f, box)
                 apply = lambda h, p: (np.column_stack([p, np.ones(len(p))]) @ h.T)[:, :2]
                 if self.cfg.register_with_shear:
                     level = virtual_matches(a, self.scene.cameras[pair], box, 4, sum(low_high) / 2, sum(low_high) / 2)
@@ -253,13 +291,30 @@ class Run:
                 lo, hi = np.floor(d.min()), np.ceil(d.max())
                 lo = lo - (hi - lo) * self.cfg.disp_range_extra_margin
                 hi = hi + (hi - lo) * self.cfg.disp_range_extra_margin
-                lo, hi = min(lo, -3.0), max(hi, 3.0)
-                margin = int(np.ceil(max(self.cfg.horizontal_margin, abs(lo), abs(hi))))
-                move = np.array([[1, 0, margin], [0, 1, self.cfg.vertical_margin], [0, 0, 1]])
                 x, y, w, h = box
                 size = (h1 @ np.array([[x, x + w, x + w, x], [y, y, y + h, y + h], [1, 1, 1, 1]])).max(1)
-                rows.append((tile, pair, (move @ h1).ravel().tolist(), (move @ h2).ravel().tolist(), float(lo), float(hi), int(np.ceil(size[0])) + 2 * margin, int(np.ceil(size[1])) + 2 * self.cfg.vertical_margin))
-        return self.save("rectification", self.spark.createDataFrame(rows, "tile_id long, pair int, h1 array<double>, h2 array<double>, disp_min double, disp_max double, width int, height int"))
+                rows.append((tile, pair, h1.ravel().tolist(), h2.ravel().tolist(), float(lo), float(hi), float(size[0]), float(size[1]), *map(float, f)))
+        keys = ["tile_id", "pair"]
+        plan = self.spark.createDataFrame(rows, "tile_id long, pair int, h1 array<double>, h2 array<double>, lo double, hi double, w double, h double, a double, b double, c double, d double, e double")
+        plan = plan.select(*keys, "h1", "h2", "lo", "hi", "w", "h", F.struct(*"abcde").alias("f"))
+        near = estimation.rectified(self.neighbor_matches().join(F.broadcast(plan), keys), F.col("h1"), F.col("h2"))
+        found = estimation.match_disparities(matching.epipolar_filter(near, max(self.cfg.epipolar_thresh, self.cfg.max_pointing_error)), keys, self.cfg.disp_range_extra_margin)
+        own = (F.col("lo"), F.col("hi"))
+        lo, hi = estimation.disparity_range(self.cfg.disp_range_method, (F.col("disp_min"), F.col("disp_max"), F.coalesce("n", F.lit(0))), own, (self.cfg.disp_min or 0, self.cfg.disp_max or 0), own)
+        ranged = plan.join(found, keys, "left").select(*keys, "h1", "h2", "w", "h", lo.alias("disp_min"), hi.alias("disp_max"))
+        margin = F.ceil(F.greatest(F.lit(float(self.cfg.horizontal_margin)), F.abs("disp_min"), F.abs("disp_max"))).cast("int")
+        move = planar.translation(margin, self.cfg.vertical_margin)
+        out = ranged.select(*keys, planar.multiply(move, F.col("h1")).alias("h1"), planar.multiply(move, F.col("h2")).alias("h2"), "disp_min", "disp_max", (F.ceil("w").cast("int") + 2 * margin).alias("width"), (F.ceil("h").cast("int") + 2 * self.cfg.vertical_margin).alias("height"))
+        return self.save("rectification", out)
+
+    def neighbor_matches(self) -> DataFrame:
+        """tile_id, pair, x1, y1, x2, y2: a tile's matches and those of its neighbours near it, each once."""
+        pairs = self.spark.range(1, len(self.scene.cameras)).select(F.col("id").cast("int").alias("pair"))
+        plan = self.table("tiles").crossJoin(F.broadcast(pairs))
+        own = self.table("matches").join(plan.select("roi_id", "ix", "iy", "tile_id", "pair"), ["tile_id", "pair"]).drop("tile_id")
+        keys = ["roi_id", "pair"]
+        near = matching.distinct(matching.with_neighbors(own, plan, neighbors(plan, keys), keys), [*keys, "ix", "iy"])
+        return near.join(plan.select(*keys, "ix", "iy", "tile_id"), [*keys, "ix", "iy"]).select("tile_id", "pair", "x1", "y1", "x2", "y2")
 
     def disparity(self) -> DataFrame:
         """tile_id, pair, row, col, d, confidence, status: warp both images and match, one task a tile and pair."""
@@ -345,13 +400,56 @@ class Run:
             if means.isEmpty():
                 means = heights.groupBy("pair").agg(F.lit(0e0).alias("mean"))
             fused = fusion.fuse(heights, means, n, self.cfg.fusion_operator, self.cfg.fusion_thresh, ["tile_id", "row", "col"])
+            if self.cfg.cargarse_basura:
+                width = int(self.scene.images[0].shape[1])
+                whole = fused.withColumn("id", F.col("row").cast("long") * width + F.col("col"))
+                fused = morphology.clean(whole.withColumnRenamed("z", "v"), keys=["tile_id"]).withColumnRenamed("v", "z").where("z IS NOT NULL").drop("id")
             at = triangulate.height_map_points(fused, self.scene.cameras[0], 0, 0, ["tile_id"])
         else:
             at = points.groupBy("tile_id", "row", "col").agg(F.avg("lon").alias("lon"), F.avg("lat").alias("lat"), F.avg("alt").alias("alt"))
         x, y, z = geo.transform(F.col("lon"), F.col("lat"), F.col("alt"), 4979, self.crs)
         width = int(self.scene.images[0].shape[1])
         out = at.select("tile_id", "row", "col", (F.col("row").cast("long") * width + F.col("col")).alias("id"), x.alias("x"), y.alias("y"), z.alias("z"))
-        return self.save("cloud", cloud.filter_cloud(out, self.cfg.filter_3d_r, self.cfg.filter_3d_n, 1.0))
+        return self.save("cloud", cloud.filter_cloud(out, self.cfg.filter_3d_r, self.cfg.filter_3d_n, self.sampling_distance()))
+
+    def sampling_distance(self) -> float:
+        """Metres between two columns of the reference, at its camera's centre and height 0."""
+        cam = self.scene.cameras[0]
+        lon, lat = cam.localize(np.array([0, 1]) + cam["col_offset"], cam["row_offset"], 0.0)
+        at = self.spark.createDataFrame([(float(x), float(y)) for x, y in zip(lon, lat, strict=True)], "lon double, lat double")
+        x, y, z = geo.lonlat_to_geocentric(F.col("lon"), F.col("lat"), F.lit(0e0))
+        one, two = at.coalesce(1).select(x.alias("x"), y.alias("y"), z.alias("z")).collect()
+        return float(np.linalg.norm(np.subtract(one, two)))
+
+    def products(self, block: int = 2048) -> None:
+        """The cloud as PLY files (with the CRS in a comment) and the model as tiles of TIFF, named by their first cell.
+
+        A task writes the blocks that it has, each under a hidden name that is then changed, so a lost attempt leaves
+        no half file; out_dir is a folder that all executors see.
+        """
+        ply.register(self.spark)
+        self.table("cloud").where("z IS NOT NULL").select("x", "y", "z").write.format("ply").mode("overwrite").option("comments", f"created by altiplano|projection: CRS {self.crs}").option("path", os.path.join(self.cfg.out_dir, "ply")).save()
+        out = os.path.join(os.path.abspath(self.cfg.out_dir), "dsm_tif")
+        shutil.rmtree(out, ignore_errors=True)
+        os.makedirs(out)
+        tiles.prepare(self.spark)
+        counted = "n" if "n" in self.table("dsm").columns else "z"
+
+        def write(part):
+            import pandas as pd
+
+            bx, by = int(part["bx"].iloc[0]), int(part["by"].iloc[0])
+            im = np.full((2, block, block), np.nan, np.float32)
+            i, j = part["cy"].to_numpy() - by * block, part["cx"].to_numpy() - bx * block
+            im[0, i, j], im[1, i, j] = part["z"], part["n"]
+            name = os.path.join(out, f"dsm_{bx * block}_{by * block}.tif")
+            hidden = os.path.join(out, f".{os.getpid()}-{os.path.basename(name)}")
+            write_image(hidden, im)
+            os.replace(hidden, name)
+            return pd.DataFrame({"bx": [bx], "by": [by], "cells": [len(part)]})
+
+        at = self.table("dsm").select("cx", "cy", "z", F.col(counted).cast("double").alias("n"), F.floor(F.col("cx") / block).alias("bx"), F.floor(F.col("cy") / block).alias("by"))
+        self.save("products", at.groupBy("bx", "by").applyInPandas(write, "bx long, by long, cells long"))
 
     def dsm(self) -> DataFrame:
         step = float(self.cfg.dsm_resolution)
@@ -367,6 +465,7 @@ class Run:
         for k, step in enumerate([getattr(self, name) for name in STEPS]):
             if k >= start_from:
                 step()
+        release(self.spark)  # every stage's own table is written
         return self.table("dsm")
 
 

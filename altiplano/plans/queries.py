@@ -580,6 +580,18 @@ def morpho_rank(spark, sf):
     return morphology.window_statistic(p, 1, "rank", _height(p), 100)
 
 
+@query(_window("round(avg(b.v), 9)"))
+def morpho_average(spark, sf):
+    p = c.raster(spark, sf)
+    return morphology.window_statistic(p, 1, "average", _height(p), 100).withColumn("v", r("v", 9))
+
+
+@query(_window("max(b.v)").replace("(SELECT unnest([-1, 0, 1]) AS j))", "(SELECT unnest([-1, 0, 1]) AS j) WHERE i = 0 OR j = 0)"))
+def morpho_max_cross(spark, sf):
+    p = c.raster(spark, sf)
+    return morphology.window_statistic(p, 1, "max", _height(p), 100, element="cross")
+
+
 @query(f"WITH {c.RASTER}, w AS (SELECT a.id, any_value(a.v) AS v, max(b.v) - min(b.v) AS d FROM raster a JOIN raster b ON b.row BETWEEN a.row - 1 AND a.row + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 GROUP BY a.id) SELECT id, CASE WHEN d <= 150 THEN v END AS v FROM w")
 def local_range_outliers(spark, sf):
     return morphology.local_range_outliers(c.raster(spark, sf), 1, 150.0).select("id", "v")

@@ -81,6 +81,16 @@ class Tiff:
         self.bw, self.bh = (get(322, 0), get(323, 0)) if self.tiled else (self.width, min(get(278, self.height), self.height))
         self.nodata = float(self.tags[42113]) if 42113 in self.tags else None
 
+    def camera(self) -> dict | None:
+        """The camera of the rational-polynomial tag (92 numbers), if there is one; the projection only."""
+        v = self.tags.get(50844)
+        if v is None or len(v) != 92:
+            return None
+        # fixed order of the tag: two errors, five offsets, five scales, four polynomials
+        names = ("row_offset", "col_offset", "lat_offset", "lon_offset", "alt_offset", "row_scale", "col_scale", "lat_scale", "lon_scale", "alt_scale")
+        out = dict(zip(names, v[2:12], strict=True))
+        return out | {k: list(v[12 + 20 * i : 32 + 20 * i]) for i, k in enumerate(("row_num", "row_den", "col_num", "col_den"))}
+
     def window(self, x: int, y: int, w: int, h: int) -> np.ndarray:
         """(bands, h, w) float64 with NaN for nodata and outside the image; only the blocks it touches are decoded."""
         out = np.full((self.bands, h, w), np.nan)

@@ -110,7 +110,7 @@ class PlySource(DataSource):
         return _Reader(self._files(), schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self.options["path"], schema, [c for c in self.options.get("comments", "").split("|") if c])
+        return _Writer(self.options["path"], schema, [c for c in self.options.get("comments", "").split("|") if c], overwrite)
 
 
 class _Reader(DataSourceReader):
@@ -142,8 +142,8 @@ class _Written(WriterCommitMessage):
 class _Writer(DataSourceArrowWriter):
     """A partition's file gets its name by its task's commit, so a lost attempt leaves only a hidden file."""
 
-    def __init__(self, path: str, schema: StructType, comments: list[str]):
-        self.path, self.types, self.comments = path, {f.name: f.dataType.simpleString() for f in schema}, comments
+    def __init__(self, path: str, schema: StructType, comments: list[str], overwrite: bool = False):
+        self.path, self.types, self.comments, self.overwrite = path, {f.name: f.dataType.simpleString() for f in schema}, comments, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         batches = list(iterator)
@@ -155,6 +155,9 @@ class _Writer(DataSourceArrowWriter):
         return _Written(at)
 
     def commit(self, messages) -> None:
+        if self.overwrite:
+            for old in glob.glob(os.path.join(self.path, "*.ply")):
+                os.remove(old)
         for m in messages:
             if m is not None:
                 os.rename(m.path, os.path.join(os.path.dirname(m.path), os.path.basename(m.path)[1:]))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,9 +10,11 @@ from ..operators import dsm
 
 
 class GrowingGrid:
-    """Sums and counts by cell, kept as one table a batch and compacted now and then.
+    """Sums and counts by cell, kept as one table a batch.
 
-    A batch writes to the folder of its number, so a batch that is run again replaces what it wrote: exactly once.
+    A batch writes to the folder of its number, so a batch that is run again replaces what it wrote.  The stream's
+    checkpoint lies beside the table and is the same at every start, so a restarted stream goes on with its numbers
+    and each point counts once.  Another stream needs another path.
     """
 
     def __init__(self, path: str, step: float, values: list[str] | None = None):
@@ -31,6 +30,6 @@ class GrowingGrid:
         return sums.select("cx", "cy", "n", *[(F.col(v) / F.col("n")).alias(v) for v in self.values])
 
     def start(self, stream: DataFrame, checkpoint: str | None = None, once: bool = True) -> StreamingQuery:
-        where = checkpoint or os.path.join(self.path + "-checkpoint", uuid.uuid4().hex)
+        where = checkpoint or self.path + "-checkpoint"
         writer = stream.writeStream.foreachBatch(self.add).option("checkpointLocation", where)
         return (writer.trigger(availableNow=True) if once else writer).start()

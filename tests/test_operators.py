@@ -242,3 +242,52 @@ def test_join_hot_and_components(spark):
     assert stage.components(edges.limit(0)).count() == 0
     desc = spark.createDataFrame([([1.0, 2.0], 1.5, 2.5, 1.0, 0.5)], "d array<double>, x double, y double, s double, o double")
     assert desc.select(matching.describe(*[F.col(c) for c in ("d", "x", "y", "s", "o")]).alias("t")).first().t.endswith("0.500000 1 2")
+
+
+def test_order_statistics_by_key(spark, monkeypatch):
+    from altiplano.operators import quantiles
+
+    r = np.random.default_rng(4)
+    rows = [(int(k), float(v)) for k, n in ((1, 1), (2, 2), (3, 7), (4, 3000)) for v in np.round(r.normal(size=n), 2 if k == 4 else 6) for _ in range(1) for k in [k]] + [(5, None)]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(4)
+    for small in (50_000, 10):
+        monkeypatch.setattr(quantiles, "SMALL", small)
+        got = {x.k: x.q for x in quantiles.upper_median(df, "v", ["k"]).collect()}
+        own = lambda k: sorted(v for q, v in rows if q == k and v is not None)
+        if small > 10:
+            assert got == {k: own(k)[len(own(k)) // 2] for k in (1, 2, 3, 4)}
+        assert got[4] == own(4)[1500]
+        for share in (0.0, 0.01, 0.25, 0.99, 1.0):
+            got = {x.k: x.q for x in quantiles.quantile(df, "v", ["k"], share).collect()}
+            assert abs(got[4] - np.quantile(own(4), share)) < 1e-9
+    one = quantiles.quantile(df.where("k = 3"), "v", [], 0.5).first()
+    assert abs(one.q - np.quantile(own(3), 0.5)) < 1e-12
+
+
+def test_matches_over_parts_equal_plain_search(spark, monkeypatch):
+    from altiplano.operators import matching
+
+    r = np.random.default_rng(6)
+    a, b = (np.round(r.normal(size=(n, 8)), 1) for n in (60, 75))
+    b[:20] = a[:20]
+    frame = lambda x, first: spark.createDataFrame([(i % 2, first + i, v.tolist()) for i, v in enumerate(x)], "tile int, kp_id long, desc array<float>")
+    want = []
+    for i, u in enumerate(a):
+        d = sorted((round(float(((np.float32(u).astype(float) - np.float32(v).astype(float)) ** 2).sum()), 9), 1000 + j) for j, v in enumerate(b) if j % 2 == i % 2)
+        if np.sqrt(d[0][0]) < 0.8 * np.sqrt(d[1][0]):
+            want.append((i % 2, i, d[0][1], round(float(np.sqrt(d[0][0])), 9)))
+    for part in (4000, 7):
+        monkeypatch.setattr(matching, "PART", part)
+        got = matching.match(frame(a, 0), frame(b, 1000), ["tile"], 0.8).collect()
+        assert sorted((x.tile, x.kp1, x.kp2, round(x.d1, 9)) for x in got) == sorted(want)
+
+
+def test_random_window_value_is_one_of_the_window(spark):
+    rows = [(i, j, float(10 * i + j) if (i, j) != (2, 2) else None) for i in range(6) for j in range(6)]
+    df = spark.createDataFrame(rows, "row int, col int, v double")
+    v = {(i, j): x for i, j, x in rows}
+    one, two = ({(x.row, x.col): x.v for x in morphology.window_statistic(df, 1, "random", 6, 6, seed=3).collect()} for _ in range(2))
+    assert one == two and len(one) == 36
+    at = lambda i: min(max(i, -1 - i), 11 - i)
+    for (i, j), x in one.items():
+        assert x in {v[at(i + a), at(j + b)] for a in (-1, 0, 1) for b in (-1, 0, 1)} - {None}

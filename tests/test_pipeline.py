@@ -60,6 +60,14 @@ def test_two_views_and_restart(spark, tmp_path):
     assert run.table("disparity").where("status = 'ok'").count() > 15000
     whole = {(r.cx, r.cy): r.n for r in dsm.grid(run.table("cloud"), 5.0).collect()}
     assert whole == {(a, b): n for a, b, n, _ in before}
+    from altiplano.sources import ply
+    from altiplano.sources.images import Tiff
+
+    files = list((tmp_path / "ply").glob("*.ply"))
+    assert files and f"projection: CRS {run.crs}" in ply.comments(str(files[0]))
+    assert spark.read.format("ply").load(str(tmp_path / "ply")).count() == run.table("cloud").where("z IS NOT NULL").count()
+    cells = sum(int(np.isfinite(Tiff(f.read_bytes()).read()[0]).sum()) for f in (tmp_path / "dsm_tif").glob("*.tif"))
+    assert cells == len(before) and abs(run.sampling_distance() - 1.04) < 0.05
 
 
 def test_three_views(spark, tmp_path):
@@ -114,12 +122,42 @@ def test_masks_and_region_are_applied(spark, tmp_path):
         Run(spark, config.build({**user, "use_srtm": True}), one, 32740)
 
 
+def test_cameras_and_polygons(spark, tmp_path):
+    from altiplano.plans import pipeline
+    from altiplano.sources import gml
+
+    cam = camera(0.3).values
+    tags = {"LINE_OFF": "row_offset", "SAMP_OFF": "col_offset", "LAT_OFF": "lat_offset", "LONG_OFF": "lon_offset", "HEIGHT_OFF": "alt_offset", "LINE_SCALE": "row_scale", "SAMP_SCALE": "col_scale", "LAT_SCALE": "lat_scale", "LONG_SCALE": "lon_scale", "HEIGHT_SCALE": "alt_scale"}
+    lines = [f"{k}: {float(cam[v])!r} pixels" for k, v in tags.items()]
+    for stem, name in (("LINE_NUM", "row_num"), ("LINE_DEN", "row_den"), ("SAMP_NUM", "col_num"), ("SAMP_DEN", "col_den")):
+        lines += [f"{stem}_COEFF_{i + 1}: {float(x)!r}" for i, x in enumerate(cam[name])]
+    (tmp_path / "rpc.txt").write_text("\n".join(lines))
+    got = pipeline.camera_of(spark, str(tmp_path / "rpc.txt"), None)
+    at = np.array([LON + 50 * STEP]), np.array([LAT - 70 * STEP]), np.array([7.0])
+    assert np.allclose(got.project(*at), camera(0.3).project(*at))
+
+    class Tagged:
+        camera = staticmethod(lambda: None)
+
+    with pytest.raises(config.ConfigError):
+        pipeline.camera_of(spark, None, Tagged)
+    text = '<gml:Polygon><gml:posList srsDimension="2">2 1 8 1 8 6 2 6 2 1</gml:posList></gml:Polygon><gml:coordinates>4,2 6,2 6,4 4,4</gml:coordinates><x>1 2</x>'
+    rings = spark.createDataFrame([(text,), ("none",)], "t string").select(gml.rings(F.col("t")).alias("r")).collect()
+    assert [len(r) for r in rings[0].r] == [5, 4] and rings[1].r == []
+    inside = images.inside_rings([[(p.x, p.y) for p in ring] for ring in rings[0].r], 8, 10)
+    want = np.zeros((8, 10), bool)
+    want[1:6, 2:8] = True
+    want[2:4, 4:6] = False
+    assert (inside == want).all()
+
+
 def test_growing_grid(spark, tmp_path):
     points = spark.range(3000).select((F.col("id") % 61 * 1.1).alias("x"), (F.col("id") % 47 * 0.9).alias("y"), F.cos("id").alias("z"))
     points.repartition(6).write.parquet(str(tmp_path / "in"))
     grid = GrowingGrid(str(tmp_path / "grid"), 4.0)
     stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
     grid.start(stream).awaitTermination()
+    grid.start(stream).awaitTermination()  # a restart goes on, and counts nothing again
     want = {(r.cx, r.cy): (r.n, round(r.z, 9)) for r in dsm.grid(points, 4.0).collect()}
     assert {(r.cx, r.cy): (r.n, round(r.z, 9)) for r in grid.read(spark).collect()} == want
     grid.add(points.limit(0), 0)  # a batch that runs again replaces itself
