@@ -32,10 +32,13 @@ DICTIONARY = "the and for with from this that name user item list test file path
 
 _NAME = "|".join(x.replace("-", "[-]") for x in SECRET_NAMES.split())
 _VALUE = r"[^\s\"'`,;<>()\[\]{}]{5,199}[^\s\"'`,;<>()\[\]{}.:!?]"
-#: A name is tried where a run of name characters begins, so that a long prefix is not looked at from every place.
-_ASSIGNED = rf"(?<![\w.\-])[\w.\-]{{0,60}}?(?i:{_NAME})\w{{0,20}}[\"']?\s{{0,3}}[:=]>?\s{{0,3}}[\"']?"
-_TOKEN = r"eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}|[A-Za-z0-9+/_\-]{12,}={0,2}"
+#: A name is looked for only in a run of name characters, from its beginning, that a : or = follows; a token begins where
+#: its run does.
+_ASSIGNED = rf"(?<![\w.\-])(?=[\w.\-]{{3,100}}+[\"']?\s{{0,3}}[:=])[\w.\-]{{0,60}}?(?i:{_NAME})\w{{0,20}}[\"']?\s{{0,3}}[:=]>?\s{{0,3}}[\"']?"
+_TOKEN = r"(?<![A-Za-z0-9+/_\-])(?:eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}|[A-Za-z0-9+/_\-]{12,}+={0,2})"
 _CANDIDATE = rf"{_ASSIGNED}{_VALUE}|{_TOKEN}"
+#: Stands around each match in a text that is scanned; where a text has it, it is read as the next character.
+_MARK, _FOR_MARK = "\u0001", "\u0002"
 _SMALL = "[a-z]{3,20}"
 FEATURES = ("length", "digits", "upper", "lower", "other", "distinct", "letter_digit", "digit_letter", "lower_upper", "upper_lower", "pair_odds", "vowels", "consonant_run", "same_run", "hex", "all_digits", "uuid", "dictionary", "named", "name_before", "plain_before", "plain_after", "quoted", "slashes", "slash_before", "extension", "dashes", "symbols", "source_path")
 
@@ -223,12 +226,14 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) ->
     """row, k, start, end (code points), v, named, before, after, path: a row for each candidate of every document, and
     one with v null for a document without.  row numbers the rows of docs; written, so that it stays the same.
 
-    The text is split once at its matches; places are running sums of the lengths, and the context is taken from the
+    One scan marks the matches, and the text is split at the marks; places are running sums of the lengths, and the context is taken from the
     matches and pieces beside, so that nothing is looked for, or copied, from the text's start.
     """
     text = F.coalesce(named(text_col), F.lit(""))
     path = F.coalesce(named(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    found = docs.select(F.monotonically_increasing_id().alias("row"), named(id_col).cast("long").alias("k"), path.alias("path"), F.regexp_extract_all(text, F.lit(_CANDIDATE), 0).alias("m"), F.split(text, _CANDIDATE, -1).alias("p"))
+    found = docs.select(F.monotonically_increasing_id().alias("row"), named(id_col).cast("long").alias("k"), path.alias("path"), F.split(F.regexp_replace(F.translate(text, _MARK, _FOR_MARK), f"({_CANDIDATE})", f"{_MARK}$1{_MARK}"), _MARK, -1).alias("x"))
+    # pieces and matches in turn
+    found = found.select("row", "k", "path", F.filter("x", lambda s, i: i % 2 == 1).alias("m"), F.filter("x", lambda s, i: i % 2 == 0).alias("p"))
     some = lambda a, i: F.coalesce(F.get(a, i), F.lit(""))
 
     def parts(both: Column) -> Column:
