@@ -126,18 +126,27 @@ def disparity_points(pixels: DataFrame, a: Camera, b: Camera, h1: list[float], h
     return triangulate(at.where(inside), a, b, [*keep, "row", "col"])
 
 
-def height_map_points(pixels: DataFrame, a: Camera, x0: float, y0: float, keep: list[str]) -> DataFrame:
-    """keep, row, col, lon, lat, alt of height map pixels (row, col, z) with the map's origin in the full image."""
-    prepare(pixels.sparkSession)
-    types = dict(pixels.dtypes)
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in [*keep, "row", "col"]], "lon double", "lat double", "alt double"])
+def localize(points: DataFrame, a: Camera, keep: list[str], col: str = "col", row: str = "row", alt: str = "alt") -> DataFrame:
+    """keep, lon, lat, alt of image points at heights: by the direct coefficients, else by iteration (null where it does
+    not settle); by Arrow batch, no shuffle."""
+    prepare(points.sparkSession)
+    types = dict(points.dtypes)
+    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keep], "lon double", "lat double", "alt double"])
 
     def run(batches):
         for part in batches:
-            lon, lat = a.localize(part["col"].to_numpy(float) + x0, part["row"].to_numpy(float) + y0, part["z"].to_numpy(float))
-            yield part[[*keep, "row", "col"]].assign(lon=lon, lat=lat, alt=part["z"].to_numpy(float))
+            z = part[alt].to_numpy(float)
+            lon, lat = a.localize(part[col].to_numpy(float), part[row].to_numpy(float), z)
+            yield part[keep].assign(lon=lon, lat=lat, alt=z)
+
+    out = points.select(*dict.fromkeys([*keep, col, row, alt])).mapInPandas(run, schema)
+    return out.select(*keep, *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("lon", "lat", "alt")])
 
-    return pixels.where("z IS NOT NULL").select(*keep, "row", "col", "z").mapInPandas(run, schema)
+
+def height_map_points(pixels: DataFrame, a: Camera, x0: float, y0: float, keep: list[str]) -> DataFrame:
+    """keep, row, col, lon, lat, alt of height map pixels (row, col, z) with the map's origin in the full image."""
+    at = pixels.where("z IS NOT NULL").select(*keep, "row", "col", "z", (F.col("col") + x0).alias("_x"), (F.col("row") + y0).alias("_y"))
+    return localize(at, a, [*keep, "row", "col"], "_x", "_y", "z")
 
 
 def fit_camera(project, lon: tuple[float, float], lat: tuple[float, float], alt: tuple[float, float], n: int = 12) -> dict:

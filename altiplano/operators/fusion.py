@@ -65,6 +65,12 @@ def _with(pixels: DataFrame, cut: DataFrame, keys: list[str]) -> DataFrame:
     return pixels.join(F.broadcast(cut), F.lit(True), "left")
 
 
+def edge_weight(x: Column) -> Column:
+    """How little an 8-bit edge response x counts: its distance to 255, squared, and at least a tenth."""
+    t = (255e0 - x) / 255e0
+    return F.greatest(t * t, F.lit(0.1))
+
+
 def stretch_8bit(pixels: DataFrame, percent: float = 1.0, v: str = "v", keys: list[str] = []) -> DataFrame:
     """pixels with `byte`: clipped to the percentiles `percent` and 100 - percent of their image (keys) and scaled to
     0..255, half to even.

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, planar
 from ..functions import rpc as R
-from ..operators import altitude, cloud, dsm, estimation, fusion, masks, matching, morphology, tiling
+from ..kernels import triangulate
+from ..operators import altitude, cloud, drawing, dsm, estimation, fusion, masks, matching, morphology, tiling
 from ..sources import geojson, rpcfile
 from . import carriers as c
 
@@ -440,7 +441,8 @@ def _gsd_sql(cam):
 @query("SELECT r_regionkey, round(sqrt(CASE r_regionkey % 3 " + " ".join(f"WHEN {i} THEN {_gsd_sql(cam)}" for i, cam in enumerate(_CAMERAS)) + " END), 3) AS gsd FROM region")
 def gsd(spark, sf):
     at = F.col("r_regionkey") % 3
-    found = F.coalesce(*[F.when(at == i, altitude.ground_sampling_distance(c.rpc(cam))) for i, cam in enumerate(_CAMERAS)])
+    cam = F.coalesce(*[F.when(at == i, c.rpc(cam)) for i, cam in enumerate(_CAMERAS)])
+    found = R.bind(lambda s: altitude.ground_sampling_distance(s["rpc"]), rpc=cam)
     return c.table(spark, sf, "region").select("r_regionkey", r(found, 3).alias("gsd"))
 
 
@@ -612,6 +614,83 @@ def rejection_mask(spark, sf):
     return p.join(there, ["row", "at"], "left").select("id", (F.col("v").isNotNull() & F.coalesce("hit", F.lit(False))).alias("ok"))
 
 
+@query(f"WITH {c.RASTER} SELECT id, greatest(((255e0 - least(greatest(v, 0), 255)) / 255e0) * ((255e0 - least(greatest(v, 0), 255)) / 255e0), 0.1e0) AS w FROM raster")
+def edge_weights(spark, sf):
+    return c.raster(spark, sf).select("id", fusion.edge_weight(F.least(F.greatest(F.col("v"), F.lit(0.0)), F.lit(255.0))).alias("w"))
+
+
+# --- triangulation ---
+
+_OTHER = c.camera(-0.25)
+
+
+def _seen_twice(spark, sf):
+    """Ground points with their images by two cameras."""
+    g = c.ground(spark, sf)
+    (x1, y1), (x2, y2) = (R.project(c.rpc(cam), F.col("lon"), F.col("lat"), F.col("alt")) for cam in (_CAM, _OTHER))
+    return g.select("pid", "alt", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+
+
+@query(f"WITH {c.GROUND} SELECT pid, round(lon, 6) AS lon, round(lat, 6) AS lat, round(alt, 2) AS alt, round(0e0, 3) AS err FROM ground")
+def triangulated_heights(spark, sf):
+    """Points seen by two cameras, triangulated: they come back where they are, with no error left."""
+    a, b = (triangulate.Camera.of(cam) for cam in (_CAM, _OTHER))
+    out = triangulate.triangulate(_seen_twice(spark, sf), a, b, ["pid"])
+    return out.select("pid", r("lon").alias("lon"), r("lat").alias("lat"), r("alt", 2).alias("alt"), F.abs(r("err", 3)).alias("err"))
+
+
+@query(f"WITH {c.GROUND} SELECT pid, round(lon, 6) AS lon, round(lat, 6) AS lat FROM ground")
+def iterated_localization(spark, sf):
+    """Image points localized at their heights by a camera without direct coefficients: back where they were."""
+    curved = triangulate.Camera.of({k: v for k, v in _CURVED.items() if k not in triangulate.DIRECT})
+    col, row = R.project(c.rpc(_CURVED), F.col("lon"), F.col("lat"), F.col("alt"))
+    seen = c.ground(spark, sf).select("pid", col.alias("u"), row.alias("v"), "alt")
+    out = triangulate.localize(seen, curved, ["pid"], "u", "v", "alt")
+    return out.select("pid", r("lon").alias("lon"), r("lat").alias("lat"))
+
+
+@query(f"""WITH {c.RECTANGLES}, h AS (SELECT rid, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, i, 800e0 * (i / 20e0) * (i / 20e0) AS alt FROM rectangles, range(21) a(i)), g AS (SELECT rid, i, alt, {c.ratio_sql(_CAM, 'lon', 'x', 'y', 'alt')} AS lon, {c.ratio_sql(_CAM, 'lat', 'x', 'y', 'alt')} AS lat FROM h)
+SELECT rid, CAST(i AS INT) AS i, round({c.ratio_sql(_CURVED, 'col', 'lon', 'lat', 'alt')}, 4) AS u, round({c.ratio_sql(_CURVED, 'row', 'lon', 'lat', 'alt')}, 4) AS v FROM g""")
+def epipolar_curves(spark, sf):
+    """Where the ray of a point is in another image, at 21 heights."""
+    at = c.rectangles(spark, sf).select("rid", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.posexplode(R.altitudes_of_curve(F.lit(0e0), F.lit(800e0))).alias("i", "alt"))
+    u, v = R.transfer(c.rpc(_CAM), c.rpc(_CURVED), F.col("x"), F.col("y"), F.col("alt"))
+    return at.select("rid", "i", r(u, 4).alias("u"), r(v, 4).alias("v"))
+
+
+# --- drawing ---
+
+
+@query(f"""WITH {c.MATCHES}, l AS (SELECT match_id, CAST(floor(x1) AS BIGINT) % 90 AS x1, CAST(floor(y1) AS BIGINT) % 90 AS y1, CAST(floor(x2) AS BIGINT) % 90 + 100 AS x2, CAST(floor(y2) AS BIGINT) % 90 AS y2 FROM matches),
+n AS (SELECT *, greatest(abs(x2 - x1), abs(y2 - y1)) AS n FROM l), i AS (SELECT *, unnest(range(n + 1)) AS i FROM n)
+SELECT match_id, count(*) AS n, CAST(sum(CAST(round_even(x1 + i * (x2 - x1)::DOUBLE / n, 0) AS BIGINT)) AS BIGINT) AS sx, CAST(sum(CAST(round_even(y1 + i * (y2 - y1)::DOUBLE / n, 0) AS BIGINT)) AS BIGINT) AS sy FROM i GROUP BY match_id""")
+def match_lines(spark, sf):
+    crop = lambda k: F.floor(F.col(k)).cast("long") % 90
+    m = c.matches(spark, sf).select("match_id", *[crop(k).alias(k) for k in _XY])
+    return drawing.plot_matches(m, ["match_id"], 100).groupBy("match_id").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"))
+
+
+_DIR = "format('tiles/row_{:07d}_height_{:d}/col_{:07d}_width_{:d}', y, h, x, w)"
+
+
+@query(f"""WITH {_ROIS}, t AS (SELECT rid, CAST(x + ix * tw AS INT) AS x, CAST(y + iy * th AS INT) AS y, CAST(least(tw, w - ix * tw) AS INT) AS w, CAST(least(th, h - iy * th) AS INT) AS h FROM tiles), d AS (SELECT *, {_DIR} AS dir FROM t)
+SELECT rid AS roi_id, '<svg xmlns="http://www.w3.org/2000/svg" version="1.1" width="1000px" height="1000px" viewBox="' || min(x) || ' ' || min(y) || ' ' || (max(x + w) - min(x)) || ' ' || (max(y + h) - min(y)) || '">'
+  || string_agg('<polygon style="fill:white;stroke:black;stroke-width:2" points="' || x || ' ' || y || ', ' || (x + w) || ' ' || y || ', ' || (x + w) || ' ' || (y + h) || ', ' || x || ' ' || (y + h) || '"/><image href="./' || dir || '/dsm.tif.png" x="' || x || '" y="' || y || '" width="' || w || '" height="' || h || '"/><a href="./' || dir || '/"><text x="' || (x + w // 2) || '" y="' || (y + h // 2) || '" text-anchor="middle">' || dir || '</text></a>', '' ORDER BY y, x) || '</svg>' AS svg
+FROM d GROUP BY rid""")
+def tile_map_svg(spark, sf):
+    tiles = tiling.tile_grid(_rois(spark, sf), 200)
+    return drawing.svg_map(tiles.withColumn("dir", tiling.tile_dir(*[F.col(k) for k in "xywh"])), ["roi_id"])
+
+
+@query(f"""WITH {c.GROUND}, q AS (SELECT pid, CASE WHEN pid % 3 = 0 THEN 'no dsm' ELSE 'ok' END AS status, printf('%.7f,%.7f,0', round(lon, 5), round(lat, 5)) AS a, printf('%.7f,%.7f,0', round(lon, 5) + 0.25e0, round(lat, 5)) AS b, printf('%.7f,%.7f,0', round(lon, 5) + 0.25e0, round(lat, 5) + 0.5e0) AS c FROM ground)
+SELECT pid, '<Placemark><name>tile ' || pid || '</name><description>' || status || '</description><styleUrl>' || CASE WHEN status = 'ok' THEN '#ok' ELSE '#error' END || '</styleUrl><Polygon><outerBoundaryIs><LinearRing><coordinates>' || a || ' ' || b || ' ' || c || ' ' || a || '</coordinates></LinearRing></outerBoundaryIs></Polygon></Placemark>' AS kml FROM q""")
+def tile_map_kml(spark, sf):
+    lon, lat = r("lon", 5), r("lat", 5)
+    ring = F.array(*[F.struct(x.alias("lon"), y.alias("lat")) for x, y in ((lon, lat), (lon + 0.25, lat), (lon + 0.25, lat + 0.5))])
+    status = F.when(F.col("pid") % 3 == 0, "no dsm").otherwise("ok")
+    return c.ground(spark, sf).select("pid", drawing.kml_placemark(F.concat(F.lit("tile "), F.col("pid").cast("string")), status, ring).alias("kml"))
+
+
 # --- text sources, status ---
 
 
