@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geo
+
 
 def finite(c: Column) -> Column:
     """Neither null, NaN nor infinite."""
@@ -57,6 +59,18 @@ def bounds(cloud: DataFrame, step: float, keys: list[str] = []) -> DataFrame:
     return found.select(*keys, F.col("xoff").cast("double").alias("xoff"), F.col("yoff").cast("double").alias("yoff"), xsize.cast("long").alias("xsize"), ysize.cast("long").alias("ysize"))
 
 
+def polygon_bounds(polygons: DataFrame, crs: int | str, step: float, keys: list[str], ring: str = "ring") -> DataFrame:
+    """keys, x0, x1, y0, y1: the box of a ring (array of struct lon, lat) in a CRS, moved outward to multiples of step.
+
+    A ring without points gives no row.
+    """
+    at = polygons.select(*keys, F.explode(ring).alias("p"))
+    x, y, _ = geo.transform(F.col("p.lon"), F.col("p.lat"), F.lit(0e0), 4979, crs)
+    found = at.select(*keys, x.alias("x"), y.alias("y")).groupBy(*keys).agg(*[f(c).alias(f"{c}{i}") for c in "xy" for i, f in enumerate((F.min, F.max))])
+    (x0, x1), (y0, y1) = (geo.align(F.col(f"{c}0"), F.col(f"{c}1"), step) for c in "xy")
+    return found.select(*keys, x0.alias("x0"), x1.alias("x1"), y0.alias("y0"), y1.alias("y1"))
+
+
 def first_wins(rasters: DataFrame, order: str, value: str = "z", keys: list[str] = ["cx", "cy"]) -> DataFrame:
     """keys, value: of the rasters that have a value in a cell, that of the first in order."""
     return rasters.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.min_by(value, order).alias(value))

@@ -114,6 +114,11 @@ def local_pointing(matches: DataFrame, keys: list[str], f: str = "f") -> DataFra
     return found.select(*keys, planar.translation(-F.col("ex"), -F.col("ey")).alias("a"))
 
 
+def corrections(tiles: DataFrame, matches: DataFrame, keys: list[str], f: str = "f") -> DataFrame:
+    """keys, a, cx, cy for every row of tiles: its correction and its matches' centre; all null without matches."""
+    return tiles.select(*keys).join(local_pointing(matches, keys, f), keys, "left").join(match_center(matches, keys), keys, "left")
+
+
 def global_pointing(local: DataFrame, keys: list[str] = ["pair"]) -> DataFrame:
     """keys, a: from the tiles' corrections (keys, a, cx, cy): none the identity, one that, two their mean translation,
     three or more the affine map from the centres to the corrected centres."""

@@ -252,8 +252,7 @@ class Run:
         f = self.spark.createDataFrame(rows, "tile_id long, pair int, a double, b double, c double, d double, e double").select("tile_id", "pair", F.struct(*"abcde").alias("f"))
         keys = ["tile_id", "pair"]
         m = self.table("matches").join(F.broadcast(f), keys)
-        local = f.select(*keys).join(estimation.local_pointing(m, keys), keys, "left").join(estimation.match_center(m, keys), keys, "left")
-        return self.save("pointing", estimation.global_pointing(local))
+        return self.save("pointing", estimation.global_pointing(estimation.corrections(f, m, keys)))
 
     def corrections(self) -> dict[int, list[float]]:
         """The pointing by pair: one small row each."""

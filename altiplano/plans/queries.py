@@ -407,6 +407,14 @@ def lonlat_to_utm(spark, sf):
     return c.ground(spark, sf).select("pid", r(east, 3).alias("east"), r(north, 3).alias("north"))
 
 
+@query(f"SELECT pid // 40 AS poly, floor(min(east) / 25e0) * 25e0 AS x0, ceil(max(east) / 25e0) * 25e0 AS x1, floor(min(north) / 25e0) * 25e0 AS y0, ceil(max(north) / 25e0) * 25e0 AS y1 FROM ({_UTM.replace('lon + 180e0', '57e0 + 180e0').replace('(zone * 6e0 - 183e0)', '57e0')}) GROUP BY 1")
+def polygon_bounds(spark, sf):
+    """Rings of forty points, in one zone."""
+    rings = c.ground(spark, sf).groupBy(F.expr("pid DIV 40").alias("poly")).agg(F.collect_list(F.struct("lon", "lat")).alias("ring"))
+    out = dsm.polygon_bounds(rings, 32740, 25.0, ["poly"])
+    return out.select("poly", *[F.col(k).cast("double").alias(k) for k in ("x0", "x1", "y0", "y1")])
+
+
 _E2 = geo.FLATTENING * (2 - geo.FLATTENING)
 
 

@@ -57,25 +57,54 @@ def write_tiff(im: np.ndarray, nodata: float | None = None, block: int = 256) ->
     return out + struct.pack("<I", 0) + extra + b"".join(tiles)
 
 
+def lzw_decode(data: bytes) -> bytes:
+    """Codes of 9 to 12 bits, the highest bit first; 256 clears the table, 257 ends; a width grows one code early."""
+    out, table, width, bits, held, last = [], [], 9, 0, 0, None
+    first = [bytes([i]) for i in range(256)] + [b"", b""]
+    for byte in data:
+        held, bits = held << 8 | byte, bits + 8
+        while bits >= width:
+            bits -= width
+            code, held = held >> bits, held & ((1 << bits) - 1)
+            if code == 257:
+                return b"".join(out)
+            if code == 256:
+                table, width, last = first.copy(), 9, None
+                continue
+            if last is None:
+                now = table[code]
+            else:
+                now = table[code] if code < len(table) else last + last[:1]
+                table.append(last + now[:1])
+            out.append(now)
+            last = now
+            width = min(12, max(9, (len(table) + 1).bit_length()))
+    return b"".join(out)
+
+
 class Tiff:
-    """A TIFF in memory: uncompressed or deflated, stripped or tiled, interleaved; reads whole images and windows."""
+    """A TIFF or BigTIFF in memory: uncompressed, deflated or LZW, stripped or tiled, interleaved; reads whole images and
+    windows."""
 
     def __init__(self, data: bytes):
         self.data, self.end = data, {b"II": "<", b"MM": ">"}[data[:2]]
-        at = struct.unpack(self.end + "I", data[4:8])[0]
+        big = struct.unpack_from(self.end + "H", data, 2)[0] == 43
+        offset, number, entry, inline = ("Q", "Q", "HHQ", 8) if big else ("I", "H", "HHI", 4)
+        at = struct.unpack_from(self.end + offset, data, 8 if big else 4)[0]
         self.tags = {}
-        for k in range(struct.unpack_from(self.end + "H", data, at)[0]):
-            tag, kind, count = struct.unpack_from(self.end + "HHI", data, at + 2 + 12 * k)
+        head, step = struct.calcsize(self.end + number), struct.calcsize(self.end + entry) + inline
+        for k in range(struct.unpack_from(self.end + number, data, at)[0]):
+            tag, kind, count = struct.unpack_from(self.end + entry, data, at + head + step * k)
             code, size = _FIELD.get(kind, ("B", 1))
-            where = at + 10 + 12 * k
-            if size * count > 4:
-                where = struct.unpack_from(self.end + "I", data, where)[0]
+            where = at + head + step * k + struct.calcsize(self.end + entry)
+            if size * count > inline:
+                where = struct.unpack_from(self.end + offset, data, where)[0]
             self.tags[tag] = data[where : where + count].rstrip(b"\0").decode() if kind == 2 else struct.unpack_from(f"{self.end}{count * len(code)}{code[0]}", data, where)
         get = lambda tag, default: self.tags.get(tag, (default,))[0]
         self.width, self.height, self.bands = get(256, 0), get(257, 0), get(277, 1)
         self.kind = np.dtype(self.end + _SAMPLES[(get(339, 1), get(258, 8))])
         self.codec, self.predictor, self.planar = get(259, 1), get(317, 1), get(284, 1)
-        if self.codec not in (1, 8, 32946) or self.planar != 1 or self.predictor not in (1, 2):
+        if self.codec not in (1, 5, 8, 32946) or self.planar != 1 or self.predictor not in (1, 2):
             raise NotImplementedError("TIFF compression, predictor or layout")
         self.tiled = 324 in self.tags
         self.bw, self.bh = (get(322, 0), get(323, 0)) if self.tiled else (self.width, min(get(278, self.height), self.height))
@@ -100,7 +129,7 @@ class Tiff:
             for bx in range(max(0, x) // self.bw, -(-min(self.width, x + w) // self.bw)):
                 k = by * across + bx
                 raw = self.data[starts[k] : starts[k] + sizes[k]]
-                raw = raw if self.codec == 1 else zlib.decompress(raw)
+                raw = raw if self.codec == 1 else lzw_decode(raw) if self.codec == 5 else zlib.decompress(raw)
                 rows = self.bh if self.tiled else min(self.bh, self.height - by * self.bh)
                 part = np.frombuffer(raw, self.kind, rows * self.bw * self.bands).reshape(rows, self.bw, self.bands)
                 if self.predictor == 2:

@@ -101,3 +101,50 @@ def test_config(tmp_path):
             config.build(bad)
     with pytest.warns(UserWarning):
         assert config.build({**user, "mystery": 1}).extra == {"mystery": 1}
+
+
+def _lzw(data):
+    """A plain encoder, for the decoder's test."""
+    table, codes, now = {bytes([i]): i for i in range(256)}, [(256, 9)], b""
+    size, width = 258, 9
+    for i in range(len(data)):
+        b = data[i : i + 1]
+        if now + b in table:
+            now += b
+            continue
+        codes.append((table[now], width))
+        table[now + b] = size
+        size += 1
+        width = min(12, max(9, size.bit_length()))
+        if size == 4094:
+            codes.append((256, width))
+            table, size, width = {bytes([i]): i for i in range(256)}, 258, 9
+        now = b
+    codes += [(table[now], width)] if now else []
+    codes.append((257, min(12, max(9, (size + 1).bit_length()))))
+    bits = "".join(format(c, f"0{w}b") for c, w in codes)
+    bits += "0" * (-len(bits) % 8)
+    return bytes(int(bits[i : i + 8], 2) for i in range(0, len(bits), 8))
+
+
+def test_lzw_and_big_tiff():
+    import struct
+
+    import numpy as np
+
+    from altiplano.sources import images
+
+    r = np.random.default_rng(2)
+    for n in (0, 1, 300, 9000):
+        data = r.integers(0, 4, n).astype(np.uint8).tobytes()
+        assert images.lzw_decode(_lzw(data)) == data
+    im = r.integers(0, 50, (20, 30)).astype("<u2")
+    raw = _lzw(im.tobytes())
+    entries = [(256, 4, 30), (257, 4, 20), (258, 3, 16), (259, 3, 5), (273, 16, 0), (277, 3, 1), (278, 4, 20), (279, 4, len(raw)), (339, 3, 1)]
+    start = 16 + 8 + 20 * len(entries) + 8
+    body = b"".join(struct.pack("<HHQQ", tag, kind, 1, start if tag == 273 else value) for tag, kind, value in entries)
+    tiff = images.Tiff(b"II" + struct.pack("<HHHQ", 43, 8, 0, 16) + struct.pack("<Q", len(entries)) + body + struct.pack("<Q", 0) + raw)
+    assert (tiff.read()[0] == im).all()
+    assert tiff.camera() is None
+    tiff.tags[50844] = tuple(range(92))
+    assert tiff.camera()["row_offset"] == 2 and tiff.camera()["col_den"][-1] == 91
