@@ -85,14 +85,26 @@ def error_vector(f: Column, x1: Column, y1: Column, x2: Column, y2: Column, side
     return t * u, t * v
 
 
+def levelling(a, b, c, d, e, hypot, sqrt) -> tuple[list, list]:
+    """The entries of the two similarities that level epipolar lines, for numbers or columns alike.
+
+    A line of the first image has the normal (c, d), its partner in the second (a, b).  Turning either normal onto the
+    vertical axis levels the lines; their scales share the ratio of the normals' lengths, so that the images keep their
+    mean scale, and the constant e is halved between them, which brings partners to one height.
+    """
+    first, second = hypot(c, d), hypot(a, b)
+    scale, lift = sqrt(first / second), e / (2 * sqrt(first * second))
+
+    def turned(nx, ny, size, up) -> list:
+        return [size * ny, -(size * nx), 0, size * nx, size * ny, up, 0, 0, 1]
+
+    return turned(c / first, d / first, scale, lift), turned(-a / second, -b / second, 1 / scale, -lift)
+
+
 def rectifying_similarities(f: Column) -> tuple[Column, Column]:
     """The two similarities that make epipolar lines horizontal and at equal height."""
-    a, b, c, d, e = (f[k] for k in "abcde")
-    r, s = F.hypot(c, d), F.hypot(a, b)
-    z, t = F.sqrt(r / s), e / (2 * F.sqrt(r * s))
-    one = matrix(z * d / r, -z * c / r, 0, z * c / r, z * d / r, t, 0, 0, 1)
-    two = matrix(-b / (z * s), a / (z * s), 0, -a / (z * s), -b / (z * s), -t, 0, 0, 1)
-    return one, two
+    one, two = levelling(*[f[k] for k in "abcde"], F.hypot, F.sqrt)
+    return matrix(*one), matrix(*two)
 
 
 def fundamental_of_cameras(p1: list[list[float]], p2: list[list[float]]) -> list[list[float]]:

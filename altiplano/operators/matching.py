@@ -19,13 +19,13 @@ def squared_distance(a: Column, b: Column) -> Column:
 PART = 4000
 
 
-def _nearest(a: np.ndarray, b: np.ndarray, xy: tuple, gate: float | None, f: tuple | None) -> tuple[np.ndarray, np.ndarray]:
+def nearest_two(a: np.ndarray, b: np.ndarray, xy: tuple, gate: float | None, f: tuple | None) -> tuple[np.ndarray, np.ndarray]:
     """Places and rounded squared distances of the two nearest of b (sorted by id) for each of a; inf where there is none.
 
     A matrix product gives approximate distances; what lies within its error of the second nearest is then computed
     exactly, so that ties go by id.
     """
-    near, far = (np.full((len(a), 2), x) for x in (0, np.inf))
+    near, far = np.zeros((len(a), 2), np.int64), np.full((len(a), 2), np.inf)
     for at in range(0, len(a), 256):
         part = a[at : at + 256]
         rough = np.maximum((part**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * part @ b.T, 0)
@@ -62,7 +62,7 @@ def match(first: DataFrame, second: DataFrame, keys: list[str], threshold: float
         b = b.sort_values("kp_id", kind="stable")
         left, right = (np.stack(x["desc"].to_numpy()).astype(np.float64) for x in (a, b))
         xy = tuple((x["x"].to_numpy(), x["y"].to_numpy()) for x in (a, b)) if gate is not None else None
-        near, d = _nearest(left, right, xy, gate, f)
+        near, d = nearest_two(left, right, xy, gate, f)
         i, k = np.nonzero(np.isfinite(d))
         return a[keys].iloc[i].assign(kp1=a["kp_id"].to_numpy()[i], d=d[i, k], kp2=b["kp_id"].to_numpy()[near[i, k]])
 

@@ -25,7 +25,7 @@ from ..operators import cloud, dsm, estimation, masks, matching, morphology
 from ..operators.tiling import neighbors, tile_grid
 from ..sources import geojson, gml, ply, rpcfile
 from ..sources.images import Tiff, write_image
-from ..stage import release
+from ..stage import mark, release
 
 STEPS = ("plan", "matches", "pointing", "rectification", "disparity", "points", "cloud", "dsm", "products")
 
@@ -126,11 +126,7 @@ def virtual_matches(a: triangulate.Camera, b: triangulate.Camera, box: tuple[flo
 
 def rectify(f: np.ndarray, box: tuple[float, float, float, float]) -> tuple[np.ndarray, np.ndarray]:
     """The two rectifying similarities of (a, b, c, d, e), with the box's image at the origin."""
-    a, b, c, d, e = f
-    r, s = np.hypot(c, d), np.hypot(a, b)
-    z, t = np.sqrt(r / s), e / (2 * np.sqrt(r * s))
-    one = np.array([[z * d / r, -z * c / r, 0], [z * c / r, z * d / r, t], [0, 0, 1]])
-    two = np.array([[-b / (z * s), a / (z * s), 0], [-a / (z * s), -b / (z * s), -t], [0, 0, 1]])
+    one, two = (np.reshape(h, (3, 3)) for h in planar.levelling(*f, np.hypot, np.sqrt))
     x, y, w, h = box
     corners = one @ np.array([[x, x + w, x + w, x], [y, y, y + h, y + h], [1, 1, 1, 1]])
     move = np.array([[1, 0, -corners[0].min()], [0, 1, -corners[1].min()], [0, 0, 1]])
@@ -218,13 +214,11 @@ class Run:
                 a = images.keypoints(shared.value[0][max(0, y) : y + h, max(0, x) : x + w], threshold, origin=(max(0, x), max(0, y)))
                 b = images.keypoints(shared.value[pair][y0:y1, x0:x1], threshold, origin=(x0, y0))
                 if len(a) and len(b) > 1:
-                    d = ((a[:, None, 4:] - b[None, :, 4:]) ** 2).sum(2) if len(a) * len(b) < 2_000_000 else np.maximum(0, (a[:, 4:] ** 2).sum(1)[:, None] + (b[:, 4:] ** 2).sum(1)[None] - 2 * a[:, 4:] @ b[:, 4:].T)
-                    r = np.abs(f[0] * b[:, 0][None] + f[1] * b[:, 1][None] + f[2] * a[:, 0][:, None] + f[3] * a[:, 1][:, None] + f[4])
-                    d[np.maximum(r / np.hypot(f[0], f[1]), r / np.hypot(f[2], f[3])) > c.max_pointing_error] = np.inf
-                    near = np.argsort(d, axis=1, kind="stable")[:, :2]
-                    one, two = (np.sqrt(np.take_along_axis(d, near[:, k : k + 1], 1)[:, 0]) for k in (0, 1))
-                    ok = np.isfinite(one) & (one < c.sift_match_thresh * np.where(np.isfinite(two), two, np.inf)) if c.relative_sift_match_thresh else one < c.sift_match_thresh
-                    m4 = np.column_stack([a[ok, :2], b[near[ok, 0], :2]])
+                    near, d = matching.nearest_two(a[:, 4:], b[:, 4:], (a[:, :2].T, b[:, :2].T), c.max_pointing_error, f)
+                    one, two = np.sqrt(d).T
+                    # as matching.match(): a lone candidate has no second and is no match
+                    ok = np.isfinite(two) & (one < c.sift_match_thresh * two) if c.relative_sift_match_thresh else one < c.sift_match_thresh
+                    m4 = np.column_stack([a[ok, :2], b[near[ok, 0].astype(int), :2]])
                     m4 = m4[images.ransac_fundamental(m4, x * 7919 + y * 104729 + pair)]
                     if len(m4) > 10:
                         return m4
@@ -458,13 +452,14 @@ class Run:
 
     def run(self, start_from: int = 0) -> DataFrame:
         """All stages from a number on; earlier ones are read from their tables."""
+        before = mark(self.spark)
         os.makedirs(self.cfg.out_dir, exist_ok=True)
         with open(os.path.join(self.cfg.out_dir, "config.json"), "w") as f:
             f.write(self.cfg.to_json())
         for k, step in enumerate([getattr(self, name) for name in STEPS]):
             if k >= start_from:
                 step()
-        release(self.spark)  # every stage's own table is written
+        release(self.spark, before)  # every stage's own table is written
         return self.table("dsm")
 
 

@@ -72,9 +72,15 @@ def dropped(spark: SparkSession, paths: list[str]) -> None:
     _STAGED[id(spark.sparkContext)] = [p for p in kept if p not in set(paths)]
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table staged so far.  DataFrames that operators gave before must have been written or collected."""
-    dropped(spark, list(_STAGED.get(id(spark.sparkContext), [])))
+def mark(spark: SparkSession) -> set[str]:
+    """The folders staged so far, for release()."""
+    return set(_STAGED.get(id(spark.sparkContext), []))
+
+
+def release(spark: SparkSession, since: set[str] = frozenset()) -> None:
+    """Delete every table staged so far, or since a mark.  DataFrames that operators gave must have been written or
+    collected."""
+    dropped(spark, [p for p in _STAGED.get(id(spark.sparkContext), []) if p not in since])
 
 
 def join_hot(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, parts: int = 2000) -> DataFrame:
