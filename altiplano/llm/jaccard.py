@@ -30,7 +30,7 @@ from .common import BROADCAST_BLOCKS, NO_ID, arrow_map, bloom, components, hash_
 from .token_counts import squeeze, unsqueeze
 
 #: Members of a partition's block, and documents of a block that is verified; two blocks meet in one task.
-LIST_BLOCK, BLOCK = 600, 1200
+LIST_BLOCK, BLOCK = 600, 500
 GRAMS = 10_000_000
 LEAF = 32
 _POSTING = np.dtype([("h", "<u8"), ("k", "<i8"), ("n", "<i4")])
