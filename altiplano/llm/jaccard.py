@@ -315,14 +315,19 @@ def _bound(num: int, den: int):
 
 
 def _verify(width: int, num: int, den: int):
+    """Links among the documents (node, text, side) of a part (root, i, j): all pairs of one block, or those across two."""
+
     def forest(batches) -> Iterator[tuple[int, int]]:
-        for _, rows in _grouped(batches, 2):
-            ks = [r[0] for r in rows]
+        for (_, first, second), rows in _grouped(batches, 3):
+            ks, side = [r[0] for r in rows], np.array([r[2] for r in rows])
             h, ends = shingle_sets([r[1] for r in rows], width)
             sets = np.split(h, ends[:-1])
             sizes = np.array([len(s) for s in sets], np.int64)
             links = Links(len(ks))
             for i, j, bound in bounded_pairs([vector(s) for s in sets], sizes, num, den):
+                if first != second:
+                    across = side[i] != side[j]
+                    i, j, bound = i[across], j[across], bound[across]
                 order = np.argsort(-bound, kind="stable")  # the likeliest first: they connect, and spare the others
                 for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
                     if links.root(x) != links.root(y):
@@ -371,13 +376,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         """Links between documents (root, node, k, t, parts) that meet in one of their parts."""
         table, size = bloom(dealt, "t", dealt.count(), BROADCAST_BLOCKS)
         near = maybe_in(rows, "t", table, size, "near").where("near").select("k", "t", "b").dropDuplicates(["k", "t"])
-        texts = near.join(dealt, ["k", "t"]).select("root", F.explode("parts").alias("part"), "node", "b")
-        return arrow_map(texts.repartition("root", "part").sortWithinPartitions("root", "part", "node"), _verify(width, num, den), "a long, b long")
+        texts = near.join(dealt, ["k", "t"]).select("root", F.inline("parts"), "node", "b").select("root", "i", "j", "node", "b", "side")
+        return arrow_map(texts.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "node"), _verify(width, num, den), "a long, b long")
 
-    # a part is a pair of blocks; here a block with itself, and the group's first document is in all of them
+    # a part is a pair of blocks, and which of them a document is in; here a block with itself, and the group's first
+    # document is in all of them
     block = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
-    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(i.alias("i"), i.alias("j")))
-    own = F.struct(block(F.col("blocks")).alias("i"), block(F.col("blocks")).alias("j"))
+    part = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: part(i, i, F.lit(0)))
+    own = part(block(F.col("blocks")), block(F.col("blocks")), F.lit(0))
     edges = staged(verified(placed.withColumn("parts", F.when(F.col("node") == F.col("root"), every).otherwise(F.array(own)))), "jaccard-verified")
     links = components(edges, tag="jaccard-links")
     large = placed.where("blocks > 1").join(links.withColumnRenamed("root", "found"), "node", "left").withColumn("loose", F.coalesce("found", "node") != F.col("root"))
@@ -389,8 +396,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         open_ = join_hot(large, staged(count.where("loose_blocks > 0"), "jaccard-open"), ["root"], "size", max(1, n_sets))
         upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
         i = block(F.col("loose_blocks"))
-        loose = F.concat(F.transform(upto("loose_blocks"), lambda j: F.struct(F.least(i, j).alias("i"), F.greatest(i, j).alias("j"))), F.when(F.col("fast_blocks") > 0, F.transform(upto("fast_blocks"), lambda j: F.struct(i.alias("i"), (-1 - j).alias("j")))).otherwise(F.array().cast("array<struct<i:int,j:int>>")))
-        fast = F.transform(upto("loose_blocks"), lambda x: F.struct(x.alias("i"), (-1 - block(F.col("fast_blocks"))).alias("j")))
+        loose = F.concat(F.transform(upto("loose_blocks"), lambda j: part(F.least(i, j), F.greatest(i, j), i > j)), F.transform(upto("fast_blocks"), lambda j: part(i, -1 - j, F.lit(0))))
+        fast = F.transform(upto("loose_blocks"), lambda x: part(x, -1 - block(F.col("fast_blocks")), F.lit(1)))
         dealt = open_.where("loose").withColumn("parts", loose).unionByName(open_.where("NOT loose").withColumn("parts", fast))
         edges = edges.unionByName(verified(dealt))
     # ids that several sets have link them
