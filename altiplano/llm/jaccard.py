@@ -5,11 +5,13 @@ two sets share at most the sum of the coordinates' minima, so a pair whose sum i
 needs is out, and so is a pair of R-tree nodes whose coordinate-wise maxima sum below it.  One tree over a whole corpus
 would not prune (unrelated documents all lie equally far apart in many dimensions, so the boxes of any two leaves
 overlap), so trees are built inside partitions that lose no pair: two sets above the threshold share one of their
-smallest (1 - t) * n + 1 hashes, and a partition is the documents that have one such hash.
+first (1 - t) * n + 1 hashes in any order that is the same for all, and a partition is the documents that have one such
+hash.  The order is by value, with frequent hashes last: a phrase that a share of the corpus has would make partitions
+that grow with it, and pairs with its square.
 
-1. A pass writes size, fingerprint, vector and smallest hashes of every document.
+1. A pass writes size, fingerprint, vector and smallest hashes of every document, and what hashes it saw repeatedly.
 2. Equal sets become one, with a number of its own (by fingerprint); one document stands for each.
-3. Partitions with two members or more, without repetitions, get their members' vectors, and a tree joins each.  A
+3. The frequent hashes go last; a document of which the pass kept too few others is read again.  Partitions with two members or more, without repetitions, get their members' vectors, and a tree joins each.  A
    partition of many members is dealt out as pairs of blocks by size.
 4. The pairs that survive the bound make candidate groups, by connected components.
 5. Each group's texts meet in one task; pairs not yet connected are bounded and then counted exactly.  A large group
@@ -31,6 +33,8 @@ from .token_counts import squeeze, unsqueeze
 
 #: Members of a partition's block, and documents of a block that is verified; two blocks meet in one task.
 LIST_BLOCK, BLOCK = 600, 500
+#: Frequent hashes at most (they go by broadcast), and hashes that a task counts at once.
+FREQUENT, COUNTED = 200_000, 2_000_000
 GRAMS = 10_000_000
 LEAF = 32
 _POSTING = np.dtype([("h", "<u8"), ("k", "<i8"), ("n", "<i4")])
@@ -162,8 +166,32 @@ def bounded_pairs(vectors: list[np.ndarray], sizes: np.ndarray, num: int, den: i
             yield at[i], at[j], bound
 
 
+def needed(n, num: int, den: int):
+    """Of a set of n: how many first hashes hold one that it shares with any set above the threshold."""
+    return n + (-num * n) // den + 1
+
+
+def first_hashes(h: np.ndarray, n: int, frequent: np.ndarray, num: int, den: int) -> np.ndarray | None:
+    """The first hashes of a set of n, frequent ones (sorted) last, from its smallest; None if these are too few."""
+    p = needed(n, num, den)
+    last = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h if len(frequent) else np.zeros(len(h), bool)
+    if len(h) < n and len(h) - last.sum() < p:
+        return None
+    return np.r_[h[~last], h[last]][:p]
+
+
 def _profiles(width: int, num: int, den: int):
+    """A row for each text, and rows without k: a hash (f1) and how many different sets of a chunk have it (f2)."""
+
     def run(batches) -> Iterator[dict]:
+        held, size, seen = [], 0, set()
+
+        def counted() -> dict:
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            h, c = h[c > 1].view(np.int64), c[c > 1]
+            none = [None] * len(h)
+            return {"k": none, "t": none, "n": none, "f1": h, "f2": c, "vector": none, "prefix": none}
+
         for batch in batches:
             h, ends = shingle_sets(batch.column(1).to_pylist(), width)
             ks = batch.column(0).to_pylist()
@@ -172,19 +200,58 @@ def _profiles(width: int, num: int, den: int):
             m1, m2 = mix(h), mix(h ^ np.uint64(0xA0761D6478BD642F))
             for end in ends.tolist():
                 own, n = h[start:end], end - start
-                out["n"].append(n)
-                out["f1"].append(int(m1[start:end].sum().view(np.int64)) if n else 0)
-                out["f2"].append(int(m2[start:end].sum().view(np.int64)) if n else 0)
+                mark = (n, int(m1[start:end].sum().view(np.int64)), int(m2[start:end].sum().view(np.int64))) if n else (0, 0, 0)
+                for name, value in zip(("n", "f1", "f2"), mark, strict=True):
+                    out[name].append(value)
+                # half as many again as needed, as frequent ones go last
+                p = needed(n, num, den)
+                first = own[: p + p // 2 + 4]
                 out["vector"].append(vector(own).astype("<u2").tobytes() if n else b"")
-                out["prefix"].append(own[: n + (-num * n) // den + 1].tobytes() if n else b"")
+                out["prefix"].append(first.tobytes())
+                if n and mark not in seen:
+                    seen.add(mark)
+                    held.append(first.copy())
+                    size += len(first)
                 start = end
             if ks:
                 yield out
+            if size >= COUNTED:
+                yield counted()
+                held, size, seen = [], 0, set()
+        if size:
+            yield counted()
 
     return run
 
 
-def _postings(n_buckets: int):
+def _short(frequent: np.ndarray, num: int, den: int):
+    """k, t of the documents (k, t, n, prefix) whose smallest hashes are too few."""
+
+    def run(batches) -> Iterator[dict]:
+        for batch in batches:
+            k, t, n, prefix = (c.to_pylist() for c in batch.columns)
+            at = [i for i, p in enumerate(prefix) if first_hashes(np.frombuffer(p, "<u8"), n[i], frequent, num, den) is None]
+            yield {"k": [k[i] for i in at], "t": [t[i] for i in at]}
+
+    return run
+
+
+def _first(width: int, frequent: np.ndarray, num: int, den: int):
+    """u, n, prefix of texts (u, b): all of the set's first hashes."""
+
+    def run(batches) -> Iterator[dict]:
+        for batch in batches:
+            if batch.num_rows:
+                h, ends = shingle_sets(batch.column(1).to_pylist(), width)
+                sets = np.split(h, ends[:-1])
+                yield {"u": batch.column(0).to_pylist(), "n": [len(s) for s in sets], "prefix": [first_hashes(s, len(s), frequent, num, den).tobytes() for s in sets]}
+
+    return run
+
+
+def _postings(n_buckets: int, frequent: np.ndarray, num: int, den: int):
+    """Lists, packed by bucket, of the first hashes of documents (k, n, prefix, whole: they are the first already)."""
+
     def run(batches) -> Iterator[dict]:
         held, size = [], 0
 
@@ -198,12 +265,15 @@ def _postings(n_buckets: int):
             return {"bucket": bucket[a].tolist(), "data": [squeeze(b"".join(np.ascontiguousarray(got[f][i:j]).tobytes() for f in _POSTING.names)) for i, j in zip(a, b, strict=True)]}
 
         for batch in batches:
-            prefix = batch.column(2).to_pylist()
+            given = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            none = np.empty(0, "<u8")  # what is read again comes in a row of its own
+            prefix = [h if whole else first_hashes(h, n, frequent, num, den) for n, h, whole in ((n, np.frombuffer(p, "<u8"), whole) for n, p, whole in given)]
+            prefix = [none if p is None else p for p in prefix]
             if not prefix:
                 continue
-            each = np.array([len(p) // 8 for p in prefix])
+            each = np.array([len(p) for p in prefix])
             rec = np.empty(int(each.sum()), _POSTING)
-            rec["h"] = np.frombuffer(b"".join(prefix), "<u8")
+            rec["h"] = np.concatenate(prefix)
             rec["k"], rec["n"] = np.repeat(batch.column(0).to_numpy(), each), np.repeat(batch.column(1).to_numpy(), each)
             held.append(rec)
             size += len(rec)
@@ -341,6 +411,13 @@ def _verify(width: int, num: int, den: int):
     return lambda batches: _emit(forest(batches))
 
 
+def _texts(rows: DataFrame, some: DataFrame, n: int) -> DataFrame:
+    """The n rows of `some` (k, t and others) with their text b, once each, from rows (k, b, t)."""
+    table, size = bloom(some, "t", n, BROADCAST_BLOCKS)
+    near = maybe_in(rows, "t", table, size, "near").where("near").select("k", "t", "b").dropDuplicates(["k", "t"])
+    return near.join(some, ["k", "t"])
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, n_shingles, component_id for every row of docs: the smallest id reachable by links, itself included.
 
@@ -352,15 +429,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     known = docs.where(named(id_col).isNotNull())
     # a document is known by its id and a hash of its text, as rows can repeat an id
     rows = raw(known, id_col, text_col).withColumn("t", F.xxhash64("b"))
-    profiles = staged(arrow_map(rows, _profiles(width, num, den), "k long, t long, n long, f1 long, f2 long, vector binary, prefix binary"), "jaccard-profiles")
+    written = staged(arrow_map(rows, _profiles(width, num, den), "k long, t long, n long, f1 long, f2 long, vector binary, prefix binary"), "jaccard-profiles")
+    profiles = written.where("k IS NOT NULL")
     same, some = ["n", "f1", "f2"], profiles.where("n > 0")
     sets = some.groupBy(*same).agg(F.min(F.struct("k", "t")).alias("f"), F.count(F.lit(1)).alias("copies"))
     # written, so that the numbers stay the same
     sets = staged(sets.select(*same, F.col("f.k").alias("k"), F.col("f.t").alias("t"), "copies", F.monotonically_increasing_id().alias("u")), "jaccard-sets")
     one = lambda col: some.select("k", "t", *same, col).join(sets.select("k", "t", *same, "u"), ["k", "t", *same]).select("u", "n", col)
     total, n_sets = profiles.agg(F.sum("n"), F.count(F.lit(1))).first()
-    n_buckets = int(min(1 << 20, max(16, (total or 0) * (den - num) // den // 250_000)))
-    postings = arrow_map(one("prefix"), _postings(n_buckets), "bucket int, data binary")
+    n_postings = (total or 0) * (den - num) // den
+    n_buckets = int(min(1 << 20, max(16, n_postings // 250_000)))
+    # counts by chunk miss some, which changes the order and no result
+    often = written.where("k IS NULL").groupBy("f1").agg(F.sum("f2").alias("c")).where(F.col("c") > max(LIST_BLOCK, 2 * n_postings // FREQUENT))
+    frequent = np.sort(np.array([r[0] for r in often.select("f1").collect()], np.int64).view(np.uint64))
+    first = one("prefix").withColumn("whole", F.lit(False))
+    if len(frequent):
+        short = arrow_map(some.select("k", "t", "n", "prefix"), _short(frequent, num, den), "k long, t long").distinct().join(sets.select("k", "t", "u"), ["k", "t"])
+        short = staged(short, "jaccard-short")
+        if n_short := short.count():
+            again = arrow_map(_texts(rows, short, n_short).select("u", "b"), _first(width, frequent, num, den), "u long, n long, prefix binary")
+            first = first.unionByName(again.withColumn("whole", F.lit(True)))
+    postings = arrow_map(first, _postings(n_buckets, frequent, num, den), "bucket int, data binary")
     lists = arrow_map(postings.repartition("bucket").sortWithinPartitions("bucket"), _members(num, den), "name binary, us array<long>")
     members = staged(lists.dropDuplicates(["name"]).select("name", F.explode("us").alias("u")), "jaccard-members")
     met = members.join(one("vector").dropDuplicates(["u"]), "u").select("name", "u", "n", "vector")
@@ -374,9 +463,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
 
     def verified(dealt: DataFrame) -> DataFrame:
         """Links between documents (root, node, k, t, parts) that meet in one of their parts."""
-        table, size = bloom(dealt, "t", dealt.count(), BROADCAST_BLOCKS)
-        near = maybe_in(rows, "t", table, size, "near").where("near").select("k", "t", "b").dropDuplicates(["k", "t"])
-        texts = near.join(dealt, ["k", "t"]).select("root", F.inline("parts"), "node", "b").select("root", "i", "j", "node", "b", "side")
+        texts = _texts(rows, dealt, dealt.count()).select("root", F.inline("parts"), "node", "b").select("root", "i", "j", "node", "b", "side")
         return arrow_map(texts.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "node"), _verify(width, num, den), "a long, b long")
 
     # a part is a pair of blocks, and which of them a document is in; here a block with itself, and the group's first

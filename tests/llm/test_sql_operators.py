@@ -198,6 +198,26 @@ def test_jaccard_blocks_and_bounds(spark, monkeypatch):
     assert {x.doc_id for x in kept.select("doc_id").collect()} == set(brute(4, 85, 100).values()) | {None}
 
 
+def test_jaccard_frequent_hashes_make_no_large_lists(spark, monkeypatch):
+    """A phrase that all share links nobody and makes no partition of all; a text of little else is read again."""
+    phrase = " ".join(f"p{j}" for j in range(40))
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)) + " " + phrase, "en", "s", 1) for i in range(300)]
+    rows += [(i + 300, f"{phrase} {' '.join(f'v{i // 2}x{j}' for j in range(20))} {'end' * (i % 2)}", "en", "s", 1) for i in range(20)]
+    rows += [(900, rows[7][1] + " end", "en", "s", 1), (901, phrase, "en", "s", 1), (902, phrase + " end", "en", "s", 1)]
+    sizes, write = {}, jaccard.staged
+
+    def counted(df, tag):
+        out = write(df, tag)
+        sizes[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", 20)
+    monkeypatch.setattr(jaccard, "staged", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(h.frame(spark, rows), 4, 85, 100).collect()}
+    assert got == {i: i for i in range(300)} | {i + 300: i // 2 * 2 + 300 for i in range(20)} | {900: 7, 901: 901, 902: 901}
+    assert 0 < sizes["jaccard-short"] and sizes["jaccard-members"] < 323
+
+
 def test_jaccard_repeated_ids_with_other_texts(spark, monkeypatch):
     a, b, c = (" ".join(f"{x}{j}" for j in range(40)) for x in "abc")
     rows = [(9, a, "en", "s", 1), (9, b, "en", "s", 1), (10, a + " z", "en", "s", 1), (11, b + " z", "en", "s", 1), (5, c, "en", "s", 1), (5, "d", "en", "s", 1)]
