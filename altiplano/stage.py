@@ -22,6 +22,8 @@ BATCH_DEFAULTS = ("10000", str(64 << 20))
 _STAGED: dict[int, list[str]] = {}
 #: Edges that one task turns into a forest at once.
 FOREST_EDGES = 1_000_000
+#: Edges of a graph that one task settles, however many tasks found them.
+FEW_EDGES = 50_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -137,17 +139,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", tag: str = "cc") ->
     """(node, root): the smallest node reachable, for every node (a long) of the edges.
 
     Alternating star contraction; before each round every task makes stars of the edges it has, so that a graph that
-    fits one task takes one round and a larger one few.  Each round writes its edges to the shared folder and drops
+    fits one task takes one round and a larger one few.  What is left below FEW_EDGES goes to one task.  Each round writes its edges to the shared folder and drops
     those of the round before; rounds end when nothing changes.  Rows are pre-aggregated by node, so a node with many
     edges is a few partial rows, and hot nodes are joined by broadcast.
     """
     spark = prepare(edges.sparkSession)
 
+    def stars(linked: DataFrame) -> DataFrame:
+        return staged(linked.mapInArrow(_forest, "u long, v long"), tag)
+
     def round_of(linked: DataFrame) -> DataFrame:
-        return staged(linked.where("u < v").distinct().mapInArrow(_forest, "u long, v long"), tag)
+        return stars(linked.where("u < v").distinct())
+
+    def settled(cur: DataFrame) -> DataFrame:
+        return cur.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(cur.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
     cur = round_of(edges.select(F.least(a, b).cast("long").alias("u"), F.greatest(a, b).cast("long").alias("v")))
     while True:
+        if cur.count() < min(FEW_EDGES, FOREST_EDGES):
+            few = stars(cur.coalesce(1))
+            dropped(spark, [cur.staged_at])
+            return settled(few)
         # every node's smallest known neighbour or itself, how often it is an edge's end, its larger end, its smaller end
         ends = cur.select(F.col("v").alias("x"), F.col("u").alias("m"), F.lit(1).alias("c")).unionByName(cur.select(F.col("u").alias("x"), F.col("u").alias("m"), F.lit(0).alias("c")))
         low = staged(ends.groupBy("x").agg(F.min("m").alias("m"), F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")), tag)
@@ -155,7 +167,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", tag: str = "cc") ->
         total, loose = low.agg(F.sum("c"), F.bool_or((F.col("c") > 1) | ((F.col("c") > 0) & (F.col("n") > F.col("c"))))).first()
         if not loose:
             dropped(spark, [low.staged_at])
-            return cur.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(cur.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+            return settled(cur)
         # each edge's ends are hooked to the smallest of both
         right = low.select(F.col("x").alias("v"), F.col("m").alias("mv"), F.col("n").alias("nv"))
         left = low.select(F.col("x").alias("u"), F.col("m").alias("mu"), F.col("n").alias("nu"))

@@ -244,6 +244,24 @@ def test_join_hot_and_components(spark):
     assert desc.select(matching.describe(*[F.col(c) for c in ("d", "x", "y", "s", "o")]).alias("t")).first().t.endswith("0.500000 1 2")
 
 
+def test_components_of_few_edges_in_one_round(spark, monkeypatch):
+    """A chain found by many tasks: one more task settles it; larger graphs contract, with the same result."""
+    edges = spark.range(2000).select("id", (F.col("id") + 1).alias("b")).withColumnRenamed("id", "a").repartition(40)
+    write, n = stage.staged, []
+    monkeypatch.setattr(stage, "staged", lambda df, tag: n.append(tag) or write(df, tag))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        one = rows(stage.components(edges), "node", "root")
+        assert one == [(i, 0) for i in range(2001)] and len(n) == 2
+        monkeypatch.setattr(stage, "FEW_EDGES", 0)
+        assert rows(stage.components(edges), "node", "root") == one and len(n) > 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    few = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (5, 5)], "a long, b long")
+    assert rows(stage.components(few), "node", "root") == [(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)]
+    assert stage.components(few.limit(0)).count() == 0
+
+
 def test_order_statistics_by_key(spark, monkeypatch):
     from altiplano.operators import quantiles
 
