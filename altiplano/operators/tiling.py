@@ -22,11 +22,15 @@ def tile_grid(rois: DataFrame, size: int, keys: list[str] = ["roi_id"]) -> DataF
 
 
 def neighbors(tiles: DataFrame, keys: list[str] = ["roi_id"]) -> DataFrame:
-    """keys, ix, iy, nx, ny: every tile with its up to nine neighbours, itself among them; an equi-join on the index."""
+    """keys, ix, iy, nx, ny: every tile with its up to nine neighbours, itself among them; an equi-join on the index.
+
+    Both sides are shuffled: the tiles of a region are rows that no estimate by the size of its file counts, and a
+    broadcast would gather them at the driver.
+    """
     around = F.explode(F.flatten(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda j: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.struct(i.alias("i"), j.alias("j"))))))
     asked = tiles.select(*keys, "ix", "iy", around.alias("o")).select(*keys, "ix", "iy", (F.col("ix") + F.col("o.i")).alias("nx"), (F.col("iy") + F.col("o.j")).alias("ny"))
     there = tiles.select(*keys, F.col("ix").alias("nx"), F.col("iy").alias("ny"))
-    return asked.join(there, [*keys, "nx", "ny"], "left_semi")
+    return asked.join(there.hint("merge"), [*keys, "nx", "ny"], "left_semi")
 
 
 def tile_dir(x: Column, y: Column, w: Column, h: Column) -> Column:

@@ -244,6 +244,15 @@ def test_join_hot_and_components(spark):
     assert desc.select(matching.describe(*[F.col(c) for c in ("d", "x", "y", "s", "o")]).alias("t")).first().t.endswith("0.500000 1 2")
 
 
+def test_neighbors_are_not_gathered_at_the_driver(spark, tmp_path):
+    """A file of few regions holds many tiles; the file's size must not make them a broadcast."""
+    spark.range(3).select("id", F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(600).alias("w"), F.lit(400).alias("h")).withColumnRenamed("id", "roi_id").write.parquet(str(tmp_path / "rois"))
+    pairs = tiling.neighbors(tiling.tile_grid(spark.read.parquet(str(tmp_path / "rois")), 200))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert pairs.groupBy("ix", "iy").count().collect() and pairs.count() == 3 * 28
+
+
 def test_components_of_few_edges_in_one_round(spark, monkeypatch):
     """A chain found by many tasks: one more task settles it; larger graphs contract, with the same result."""
     edges = spark.range(2000).select("id", (F.col("id") + 1).alias("b")).withColumnRenamed("id", "a").repartition(40)
