@@ -29,7 +29,9 @@ def query(sql: str | None = None):
 
 
 def r(col, n: int = 6):
-    return F.round(col, n)
+    """Rounded as the SQL does it, by way of a whole number; rounding the decimal digits differs in large values."""
+    one = F.lit(float(10**n))
+    return F.round((F.col(col) if isinstance(col, str) else col) * one, 0) / one
 
 
 # --- elevation models ---

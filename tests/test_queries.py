@@ -120,3 +120,12 @@ def test_pointing_and_neighbors_take_all_matches(spark):
     rows = df.select("ix", "iy", "n", "mx1").collect()
     assert sorted(map(tuple, rows)) == sorted(c.execute(queries.SQL["neighbor_matches_ellipse"]).fetchall())
     assert sum(r.n for r in rows) >= len(m) and max(r.ix for r in rows) > 2
+
+
+def test_large_values_are_rounded_as_in_sql(spark, tmp_path):
+    c = duckdb.connect()
+    c.execute(f"CREATE TABLE orders AS SELECT * REPLACE (o_custkey + 4000000000 AS o_custkey) FROM '{SF}/orders.parquet'")
+    c.execute(f"COPY orders TO '{tmp_path}/orders.parquet'")
+    for name in ("point_line_distance", "apply_homography", "epipolar_error_vectors"):
+        got = queries.QUERIES[name](spark, str(tmp_path)).collect()
+        assert sorted(map(tuple, got)) == sorted(c.execute(queries.SQL[name]).fetchall())
