@@ -12,7 +12,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain, repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -26,6 +26,8 @@ from .common import arrow_map, known_id, raw, staged
 GROUP_BINS, GROUP_PIECES = 2000, 60_000
 #: Text handled at once, word forms that a worker remembers (forgetting only costs time), and the longest of them.
 CHUNK_BYTES, KNOWN_FORMS, KNOWN_CHARS = 8 << 20, 700_000, 60
+#: Word forms that are tokenised in one text.
+JOINED = 64
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -40,7 +42,9 @@ class WordIds:
 
     The tokenizer drops white space, never merges across it, and lowers; so a text's ids are those of its words in
     turn, and ASCII letters may be lowered before.  A word's form is the word less a last . or , after an ASCII letter
-    or digit, as that is a token run of its own.  Texts that may hold a special token are tokenised whole.
+    or digit, as that is a token run of its own.  Texts that may hold a special token are tokenised whole.  New forms are
+    tokenised some at a time, with a full stop after each, whose id ends it; those that hold one, or a special token's
+    first characters, are tokenised alone.
     """
 
     def __init__(self, model_file: str):
@@ -58,19 +62,35 @@ class WordIds:
         self.rows: dict[str, int] = {}
         self.flat, self.starts = array("I"), array("q", [0])
 
+    def _encode(self, model, forms: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the forms, one after the other, and how many each has; joined: none holds a full stop or <|."""
+        if joined:
+            texts = [" . ".join([*forms[i : i + JOINED], ""]) for i in range(0, len(forms), JOINED)]
+            ids = np.fromiter(chain.from_iterable([g.ids for g in model.encode_batch_fast(texts, add_special_tokens=False)]), np.uint32)
+            stop = ids == self.tails[1][0]
+            ends = np.flatnonzero(stop)
+            if len(ends) == len(forms):
+                return ids[~stop], np.diff(ends, prepend=-1) - 1
+        each = [g.ids for g in model.encode_batch_fast(forms, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(each), np.uint32), np.array([len(x) for x in each], np.int64)
+
     def _learn(self, distinct: pa.Array) -> np.ndarray:
         """Rows of the forms in the store."""
         forms = distinct.to_pylist()
         rows = np.fromiter(map(self.rows.get, forms, repeat(-1)), np.int64, len(forms))
         new = rows < 0
         plain = pc.ascii_is_alnum(distinct).to_numpy(zero_copy_only=False)
-        for model, some in ((self.plain, np.flatnonzero(new & plain).tolist()), (self.model, np.flatnonzero(new & ~plain).tolist())):
-            ids = [g.ids for g in model.encode_batch_fast([forms[i] for i in some], add_special_tokens=False)]
-            first, at = len(self.starts) - 1, self.starts[-1]
-            self.flat.extend(chain.from_iterable(ids))
-            self.starts.extend(at + n for n in accumulate(map(len, ids)))
-            rows[some] = np.arange(first, first + len(some))
-            self.rows.update((forms[i], first + j) for j, i in enumerate(some) if len(forms[i]) <= KNOWN_CHARS)
+        alone = pc.match_substring_regex(distinct, r"\.|<\|").to_numpy(zero_copy_only=False)
+        for model, some, joined in ((self.plain, new & plain, True), (self.model, new & ~plain & ~alone, True), (self.model, new & alone, False)):
+            at = np.flatnonzero(some)
+            own = [forms[i] for i in at.tolist()]
+            ids, sizes = self._encode(model, own, joined)
+            first = len(self.starts) - 1
+            ends = self.starts[-1] + np.cumsum(sizes)
+            self.flat.frombytes(ids.tobytes())
+            self.starts.frombytes(ends.astype(np.int64).tobytes())
+            rows[at] = np.arange(first, first + len(own))
+            self.rows.update((f, first + j) for j, f in enumerate(own) if len(f) <= KNOWN_CHARS)
         return rows
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ import zlib
 
 import helpers as h
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from altiplano.llm import common, packing, pii, queries, secret_scan, token_counts
@@ -243,3 +244,19 @@ def test_components(spark):
             up[a] = up[b] = min(up[a], up[b])
     got = {x.node: x.root for x in common.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: m for x, m in up.items() if x in got} and all(up[x] == x for x in set(up) - set(got))
+
+
+def test_new_words_are_tokenised_some_at_a_time(monkeypatch):
+    """Few calls for many new forms, and the ids of every text as the tokenizer gives them, odd forms too."""
+    ids = packing.WordIds(queries.model_file("word_bpe_49k.json"))
+    texts, seen = [f"w{'abcdefghij'[i % 10]}x{i} Größe{i} naïve" for i in range(400)], []
+    texts += ["a.b . .. ... x. y,    . é ́x ․ 3.14 don't 's ' . İ ΣΣ &&& ok### \U0001f600.\U0001f600", "", " . ", "<|endoftext|> . a <|end .", "a​b\u0085c \x1c d\x1c. e"]
+    encode = ids._encode
+    monkeypatch.setattr(ids, "_encode", lambda model, forms, joined: seen.append((len(forms), joined)) or encode(model, forms, joined))
+    for _ in range(2):
+        got, ends = ids.of(pa.array(texts))
+        want = [ids.model.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in np.split(got, ends[:-1])] == want
+    assert sum(n for n, joined in seen if joined) >= 800 and sum(n for n, joined in seen if not joined) < 20
+    monkeypatch.setattr(ids, "tails", [[], [-1], [-1]])  # no id to part them by: each alone
+    assert [x.tolist() for x in np.split(*(lambda i, n: (i, np.cumsum(n)[:-1]))(*encode(ids.model, ["ab", "cdé"], True)))] == [ids.model.encode(x).ids for x in ("ab", "cdé")]
