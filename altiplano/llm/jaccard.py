@@ -34,7 +34,7 @@ from .token_counts import squeeze, unsqueeze
 #: Members of a partition's block, and documents of a block that is verified; two blocks meet in one task.
 LIST_BLOCK, BLOCK = 600, 500
 #: Frequent hashes at most (they go by broadcast), and hashes that a task counts at once.
-FREQUENT, COUNTED = 200_000, 2_000_000
+FREQUENT, COUNTED = 200_000, 1_000_000
 GRAMS = 10_000_000
 LEAF = 32
 _POSTING = np.dtype([("h", "<u8"), ("k", "<i8"), ("n", "<i4")])

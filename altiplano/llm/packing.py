@@ -25,7 +25,7 @@ from .common import arrow_map, known_id, raw, staged
 
 GROUP_BINS, GROUP_PIECES = 2000, 60_000
 #: Text handled at once, word forms that a worker remembers (forgetting only costs time), and the longest of them.
-CHUNK_BYTES, KNOWN_FORMS, KNOWN_CHARS = 8 << 20, 700_000, 60
+CHUNK_BYTES, KNOWN_FORMS, KNOWN_CHARS = 8 << 20, 400_000, 60
 #: Word forms that are tokenised in one text.
 JOINED = 64
 
