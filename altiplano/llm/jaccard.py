@@ -448,7 +448,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         short = staged(short, "jaccard-short")
         if n_short := short.count():
             again = arrow_map(_texts(rows, short, n_short).select("u", "b"), _first(width, frequent, num, den), "u long, n long, prefix binary")
-            first = first.unionByName(again.withColumn("whole", F.lit(True)))
+            # written, as two Arrow passes in one task would be two workers
+            first = first.unionByName(staged(again, "jaccard-again").withColumn("whole", F.lit(True)))
     postings = arrow_map(first, _postings(n_buckets, frequent, num, den), "bucket int, data binary")
     lists = arrow_map(postings.repartition("bucket").sortWithinPartitions("bucket"), _members(num, den), "name binary, us array<long>")
     members = staged(lists.dropDuplicates(["name"]).select("name", F.explode("us").alias("u")), "jaccard-members")
