@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,8 +50,29 @@ def known_id(col: str = "k") -> Column:
     return F.when(F.col(col) >= LOW, F.col(col))
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed: Arrow's pool and the C library keep it else.
+
+    A worker waits up to a minute for its next task, beside stages without Python whose executor needs the memory.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Callable) -> Callable:
+    """run, a function from batches to batches, with give_back() after the last one."""
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return through
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """fn(iterator of dict of columns) -> iterator of dict of columns, over Arrow batches."""
+    """fn(iterator of dict of columns) -> iterator of dict of columns, over Arrow batches; a task ends with give_back()."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -63,7 +85,7 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
             for at in range(0, n, 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name][at : at + 100_000], type=f.type) for f in target], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(giving_back(run), schema)
 
 
 class WordHash(dict):

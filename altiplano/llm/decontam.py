@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, known_id, named, prepare, raw, staged
+from .common import arrow_map, giving_back, known_id, named, prepare, raw, staged
 
 #: Item words in one automaton, which bounds what is broadcast; more items take more passes over the documents.
 ITEM_WORDS = 500_000
@@ -257,7 +257,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, width: int = 10, max_cover:
     keep = [c for c in docs.columns if c != text_col]
     packed = docs.select(named(text_col).cast("binary").alias("__b"), F.struct(*[named(c) for c in keep]).alias("__rest") if keep else F.struct(F.lit(0)).alias("__rest"))
     schema = T.StructType([T.StructField("__rest", packed.schema["__rest"].dataType), T.StructField("__b", T.BinaryType())])
-    done = packed.mapInArrow(_cutter(spark.sparkContext.broadcast(first), max_cover), schema)
+    done = packed.mapInArrow(giving_back(_cutter(spark.sparkContext.broadcast(first), max_cover)), schema)
     return done.select(*[F.col("__rest").getField(c).alias(c) if c != text_col else F.col("__b").cast("string").alias(c) for c in docs.columns])
 
 

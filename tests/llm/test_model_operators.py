@@ -260,3 +260,21 @@ def test_new_words_are_tokenised_some_at_a_time(monkeypatch):
     assert sum(n for n, joined in seen if joined) >= 800 and sum(n for n, joined in seen if not joined) < 20
     monkeypatch.setattr(ids, "tails", [[], [-1], [-1]])  # no id to part them by: each alone
     assert [x.tolist() for x in np.split(*(lambda i, n: (i, np.cumsum(n)[:-1]))(*encode(ids.model, ["ab", "cdé"], True)))] == [ids.model.encode(x).ids for x in ("ab", "cdé")]
+
+
+def test_a_worker_gives_back_what_a_task_freed(spark):
+    """Blocks of the C library below one that stays, as word forms and temporary lists leave them."""
+
+    def fn(batches):
+        import os
+
+        for _ in batches:
+            some = [b"x" * (2000 + i % 2) for i in range(100_000)]
+            common.kept = some[-1]
+            del some
+        yield {"pid": [os.getpid()]}
+
+    (pid,) = (r.pid for r in common.arrow_map(spark.range(1).coalesce(1), fn, "pid long").collect())
+    with open(f"/proc/{pid}/smaps_rollup") as f:
+        own = sum(int(x) for x in re.findall(r"\nPss_Anon:\s+(\d+)", f.read()))
+    assert own < 150_000
